@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesforge.llm import bpe, embedding_dedup, language_id, packing, quality_rules, sharding, simhash_dedup, token_counts, toxicity
 from seriesforge.llm.substring_dedup import remove_repeated_windows
 
+SHARDS = 40
+
+
+def _vocabulary(name: str) -> tuple[str, str]:
+    """Path of a public vocabulary file and the pattern that cuts texts into pieces."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name), public_tokenizers.PATTERN
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,10 +45,98 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k.n, 0))::BIGIN
 FROM d LEFT JOIN k USING (doc_id)
 """
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return simhash_dedup.simhash_groups(docs).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id")
+    )
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.clean_lines(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "punctuation_lines", "navigation_lines", "boilerplate_lines", "n_kept_words",
+    )
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(_table(spark, sf_dir, "embeddings")).select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept"
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", toxicity.fold("doc_id", 4) == 2)
+    model = language_id.learn(docs.filter(~F.col("held_out")))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "langs")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, _ = _vocabulary("byte_bpe_50k.tiktoken")
+    return token_counts.length_table(token_counts.token_lengths(_table(spark, sf_dir, "documents"), path))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode_documents(docs, *_vocabulary("byte_bpe_multi_50k.tiktoken"), digests=True)
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shard_rows(_table(spark, sf_dir, "documents"), SHARDS)
+    return rows.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "row_number",
+    )
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, _ = _vocabulary("byte_bpe_50k.tiktoken")
+    sized = token_counts.with_length(_table(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "n_tokens")
+    return packing.pack_sequences(sized)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", toxicity.fold("doc_id", 5) == 0)
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(toxicity.fold("doc_id", 5) != 0)
+    model = toxicity.fit(docs.filter(~F.col("held_out")), labels)
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+OP4_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+g AS (
+  SELECT vec_id, label, x, sqrt(list_sum(list_transform(x, lambda v: v * v))) AS norm FROM e
+  WHERE label IS NOT NULL AND x IS NOT NULL AND len(x) = len(list_filter(x, lambda v: v IS NOT NULL AND isfinite(v)))),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.x, b.x) / (a.norm * b.norm) >= 0.93),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT c.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, c.vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_simhash": op2_simhash,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_language_id": op5_language_id,
+    "op6_token_counts": op6_token_counts,
+    "op7_bpe": op7_bpe,
+    "op8_sharding": op8_sharding,
+    "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL = {
     "op1_substring_dedup": OP1_SQL,
+    "op4_embedding_dedup": OP4_SQL,
 }
