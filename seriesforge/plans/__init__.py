@@ -1,8 +1,8 @@
 """Registered queries, fixtures and the daily plan."""
 
-from seriesforge.plans import risk_queries, series_queries
+from seriesforge.plans import ingest_queries, risk_queries, series_queries
 from seriesforge.plans.registry import ORACLES, QUERIES
 
 flagship = QUERIES["c14_scoring_frame"]
 
-__all__ = ["ORACLES", "QUERIES", "flagship", "risk_queries", "series_queries"]
+__all__ = ["ORACLES", "QUERIES", "flagship", "ingest_queries", "risk_queries", "series_queries"]
