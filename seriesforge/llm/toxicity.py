@@ -24,6 +24,8 @@ SIZES = (3, 4, 5)
 MAX_ROWS = 20_000
 #: Common rounds, passes of a partition in each, and the share of its error that a row corrects.
 ROUNDS, PASSES, RATE = 5, 3, 1.0
+#: A toxic row, the rarer kind, counts this often; n-grams in fewer rows than LEAST have no ratio.
+TOXIC_WEIGHT, LEAST = 3.0, 5
 #: Partitions that train side by side; part of the model's definition, so fixed.
 TRAINERS = 8
 
@@ -45,7 +47,7 @@ def ngram_set(text: str | None, seen: np.ndarray) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, max_rows: int) -> DataFrame:
-    """(grams binary, y): at most about ``max_rows`` labelled documents, by a broadcast of their ids.
+    """(grams binary, y): at most ``max_rows`` labelled ids' documents, by a broadcast of their ids.
 
     An id with several labels counts as toxic if one of them is; null labels and ids are left out.
     """
@@ -54,32 +56,51 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col:
     if n > max_rows:  # exact bound: the rows with the smallest hashes
         share = max_rows / n
         one = one.filter(F.pmod(F.xxhash64(id_col, F.lit(10)), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64(id_col, F.lit(10))).limit(max_rows)
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("text")).join(F.broadcast(one), id_col)
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    rows = rows.join(F.broadcast(one.select(F.col(id_col).cast("string").alias("id"), "y")), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << BITS, bool)
         for b in batches:
-            grams = [ngram_set(t.as_py(), seen).astype("<u4").tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(grams, pa.binary()), b.column(2)], names=["id", "grams", "y"])
+            grams = [packed(ngram_set(t.as_py(), seen)) for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.binary()), b.column(1)], names=["grams", "y"])
 
-    return rows.select(F.col(id_col).cast("string").alias("id"), "text", "y").mapInArrow(run, "id string, grams binary, y int")
+    # the sampled texts are dealt out, not their n-grams, which take more room
+    dealt = rows.repartition(TRAINERS).sortWithinPartitions("id", "y", "text")
+    return dealt.select("text", F.when(F.col("y") > 0, 1).otherwise(0).alias("y")).mapInArrow(run, "grams binary, y int")
+
+
+def packed(at: np.ndarray) -> bytes:
+    """Sorted n-grams as 16-bit gaps; a gap of 65535 or more takes several."""
+    gaps = np.diff(at, prepend=0)
+    more = gaps // 65535
+    if more.any():
+        wide = np.full(len(gaps) + int(more.sum()), 65535, "<u2")
+        wide[np.cumsum(more + 1) - 1] = gaps % 65535
+        return wide.tobytes()
+    return gaps.astype("<u2").tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    gaps = np.frombuffer(raw, "<u2").astype(np.int64)
+    return np.cumsum(gaps)[gaps != 65535]
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> tuple[np.ndarray, float]:
     """(weight per n-gram, intercept). Without rows of both labels: no weights, and the smoothed prior."""
     rows = training_rows(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, max_rows=max_rows)
-    rows = cut(rows.repartition(TRAINERS, "id").sortWithinPartitions("id", "y", "grams"))
+    rows = cut(rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, n = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
         for b in batches:
             for g, y in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                sums[y][np.frombuffer(g.as_py(), "<u4")] += 1
+                sums[y][unpacked(g.as_py())] += 1
                 n[y] += 1
         yield pa.RecordBatch.from_arrays([pa.array([s.astype("<i8").tobytes() for s in sums]), pa.array(n)], names=["sums", "n"])
 
     total, n = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
-    told = rows.select("grams", F.when(F.col("y") > 0, 1).otherwise(0).alias("y")).mapInArrow(count, "sums binary, n bigint").toArrow()
+    told = rows.mapInArrow(count, "sums binary, n bigint").toArrow()
     for i, (s, k) in enumerate(zip(told["sums"], told["n"].to_pylist(), strict=True)):
         total[i % 2] += np.frombuffer(s.as_py(), "<i8")
         n[i % 2] += k
@@ -87,9 +108,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     if not n.all():
         return np.zeros(1 << BITS), prior
     share = total / n[:, None]
-    small = 2.0 / n.min()
+    small = 1.0 / n.min()
     ratio = np.log((share[1] + small) / (share[0] + small))
-    ratio[total.sum(0) < 3] = 0.0
+    ratio[total.sum(0) < LEAST] = 0.0
 
     weight, bias = np.zeros(1 << BITS, np.float32), prior
     for _ in range(ROUNDS):
@@ -98,18 +119,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         def train(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
             w, b0, r = state.value
             w = w.copy()
-            data = [(np.frombuffer(g.as_py(), "<u4"), y) for b in batches for g, y in zip(b.column(0), b.column(1).to_pylist(), strict=True)]
+            data = [(unpacked(g.as_py()).astype(np.int32), y) for b in batches for g, y in zip(b.column(0), b.column(1).to_pylist(), strict=True)]
             for _ in range(PASSES):
                 for at, y in data:
                     x = r[at]
                     z = max(-30.0, min(30.0, float(w[at] @ x) + b0))
-                    d = y - 1.0 / (1.0 + math.exp(-z))
+                    d = TOXIC_WEIGHT * (1.0 - 1.0 / (1.0 + math.exp(-z))) if y else -1.0 / (1.0 + math.exp(-z))
                     w[at] += np.float32(RATE * d / (float(x @ x) + 1.0)) * x
                     b0 += 0.01 * d
             seen = len(data)
             yield pa.RecordBatch.from_arrays([pa.array([w.astype("<f4").tobytes()]), pa.array([float(b0)]), pa.array([seen])], names=["w", "b", "n"])
 
-        told = rows.select("grams", F.when(F.col("y") > 0, 1).otherwise(0).alias("y")).mapInArrow(train, "w binary, b double, n bigint").toArrow()
+        told = rows.mapInArrow(train, "w binary, b double, n bigint").toArrow()
         parts = [(np.frombuffer(w.as_py(), "<f4"), b, k) for w, b, k in zip(told["w"], told["b"].to_pylist(), told["n"].to_pylist(), strict=True) if k]
         seen = sum(k for _, _, k in parts)
         weight = sum(w * np.float32(k / seen) for w, _, k in parts)
