@@ -220,7 +220,8 @@ def k9_diagnostics_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.diagnostics_summary(K.seasonal_strength(K.decompose(s)), K.ljung_box(s), K.integration(K.adf(s), K.kpss(s, 7)))
 
 
-_FC = f"""{_K}, fh AS (SELECT a.name, a.i, h, b.y AS actual, a.y AS naive, c.y AS seasonal_naive FROM ks a, (SELECT unnest([1, 3, 7]) AS h) JOIN ks b ON b.name = a.name AND b.i = a.i + h JOIN ks c ON c.name = a.name AND c.i = a.i + h - 7 WHERE a.i >= 60 AND a.i < a.n - 7)"""
+_FC = f"""{_K}, fw AS MATERIALIZED (SELECT name, i, n, y, lead(y, 1) OVER o AS l1, lead(y, 3) OVER o AS l3, lead(y, 7) OVER o AS l7, lag(y, 6) OVER o AS g6, lag(y, 4) OVER o AS g4 FROM ks WINDOW o AS (PARTITION BY name ORDER BY i)),
+fh AS (SELECT name, i, 1 AS h, l1 AS actual, y AS naive, g6 AS seasonal_naive FROM fw WHERE i >= 60 AND i < n - 7 UNION ALL SELECT name, i, 3, l3, y, g4 FROM fw WHERE i >= 60 AND i < n - 7 UNION ALL SELECT name, i, 7, l7, y, y FROM fw WHERE i >= 60 AND i < n - 7)"""
 
 
 @query(f"WITH {_FC} SELECT name, i, h, round(actual - naive, 6) AS naive_error, round(actual - seasonal_naive, 6) AS seasonal_error FROM fh")

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesforge.operators.series import CANDIDATES, FEATURES
 from seriesforge.plans import fixtures as X
-from seriesforge.plans.registry import query, rounded
-from seriesforge.plans.risk_queries import _LATEST, _SNAP, preds, snaps
+from seriesforge.plans.registry import query
+from seriesforge.plans.risk_queries import _LABEL, _LATEST, _SNAP, snaps
 from seriesforge.plans.series_queries import _H, brand
 from seriesforge.sources import payloads as P
 from seriesforge.sources import tables as T
@@ -258,9 +257,36 @@ def a14_landed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.select("name", F.size(F.from_json("payload", kind)["data"]).cast("bigint").alias("n"))
 
 
-def active_download_features(computed: list[str]) -> list[str]:
-    """The features in use: the default set as far as it is computed."""
-    return T.active_features(list(FEATURES), computed, list(FEATURES)) if set(FEATURES) & set(computed) else [c for c in CANDIDATES if c in computed]
+@query(f"WITH {_B1} SELECT name, date, CASE WHEN date >= DATE '2000-01-01' AND downloads > 0 THEN downloads + 5 ELSE downloads END AS downloads FROM b1")
+def m1_incremental_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings, the second one with corrections of late days; taken in by two incremental runs."""
+    import tempfile
+    from uuid import uuid4
 
+    from seriesforge.streaming import incremental as I
 
-__all__ = ["preds", "rounded"]
+    root = f"{(spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/m1-{uuid4().hex}"
+    first = series_payloads(spark, sf_dir).withColumn("fetched_at", F.lit(1).cast("bigint"))
+    kind = "struct<data: array<struct<category: string, date: string, downloads: bigint>>>"
+    late = F.filter(F.from_json("payload", kind)["data"], lambda r: (r["date"] >= "2000") & (r["downloads"] > 0) & (r["date"] != "not-a-date"))
+    fixed = F.transform(late, lambda r: F.struct(r["category"].alias("category"), r["date"].alias("date"), (r["downloads"] + 5).alias("downloads")))
+    second = first.select("name", F.to_json(F.struct(fixed.alias("data"))).alias("payload"), F.lit(2).cast("bigint").alias("fetched_at"))
+    for batch in (first, second):
+        batch.write.mode("append").parquet(f"{root}/landing")
+        I.upkeep(spark, f"{root}/landing", f"{root}/table", f"{root}/state")
+    return spark.read.parquet(f"{root}/table").select("name", "date", "downloads")
+
+
+@query(f"""WITH {_SNAP}, {_LATEST} SELECT 'now' AS run_id, name, category, vuln_new_28d::DOUBLE AS vuln_new_28d, days_since_last_release, {_LABEL} AS at_risk_label, true AS is_scoring_row FROM cur""")
+def c17_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide feature table of the latest run (suppliers' series with the suppliers' snapshots)."""
+    from seriesforge.operators import risk as R
+    from seriesforge.operators import series as S
+    from seriesforge.operators.reads import latest_run
+
+    h = X.read(spark, sf_dir, X.history_supplier())
+    names = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("key"), F.col("s_name").alias("name"))
+    named = h.join(names.withColumnRenamed("name", "n"), h["name"] == names["key"]).select(F.col("n").alias("name"), "date", "downloads")
+    cur = latest_run(snaps(spark, sf_dir), "snapshot_date").drop("run_id")
+    table = S.feature_table(S.scoring_frame(named), R.risk_frame(cur), cur, "now")
+    return table.select("run_id", "name", "category", "vuln_new_28d", "days_since_last_release", "at_risk_label", "is_scoring_row")
