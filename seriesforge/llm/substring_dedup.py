@@ -84,7 +84,7 @@ def _wide(raw: bytes, n: int) -> np.ndarray:
 def _split(blocks: np.ndarray) -> list[tuple[int, int, int]]:
     """(block, from, to) of the runs of a sorted array."""
     at = _runs(blocks)
-    return [(int(blocks[i]), int(i), int(j)) for i, j in zip(at, [*at[1:], len(blocks)], strict=True)]
+    return [(int(blocks[i]), int(i), int(j)) for i, j in zip(at, [*at[1:], len(blocks)], strict=True)] if len(at) else []
 
 
 _SKETCH = pa.schema([("block", pa.int64()), ("chunk", pa.int64()), ("n", pa.int64()), ("gaps", pa.binary()), ("multi", pa.binary())])
