@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.textkit import cut
+from seriesforge.llm.textkit import cut, hot_join
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -27,8 +27,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
             break
         before = now
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select("lo", "hi"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("held")).select("u", F.least("u", "m").alias("m"), "held")
+        large = hot_join(both.filter("v > u"), low, "u", "held", 2 * now["n"]).select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         low2 = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low2, "hi").select(F.explode(F.array("hi", "lo")).alias("hi"), F.col("m").alias("lo"))
         edges = cut(small.filter("hi > lo").distinct())

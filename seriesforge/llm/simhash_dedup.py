@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesforge.llm.components import connected_components
-from seriesforge.llm.textkit import ODD, WordHasher, cut, joined, mix64, roll, word_spans
+from seriesforge.llm.textkit import ODD, WordHasher, cut, hot_join, joined, mix64, roll, word_spans
 
 SEED = 42
 _HASHER = WordHasher(4)
@@ -129,15 +129,16 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     null id takes no part in naming a group: its component is the smallest non-null id it reaches, or null.
     """
     rows = cut(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle))
-    distinct = cut(rows.groupBy("fp").agg(F.min("id").alias("id")))
+    counted = cut(rows.groupBy("fp").agg(F.min("id").alias("id"), F.count("*").alias("held")))
+    distinct = counted.select("fp", "id")
     named = distinct.filter("id IS NOT NULL")
     # fingerprints met only in rows without an id still carry links, under stand-in ids above all others
     links = near_links(distinct.withColumn("id", F.col("fp")), radius)
     parts = connected_components(links)
     least = parts.join(named, parts["node"] == named["fp"]).groupBy("component").agg(F.min("id").alias("least"))
     label = parts.join(least, "component").select(F.col("node").alias("fp"), "least")
-    group = distinct.join(label, "fp", "left").select("fp", F.coalesce("least", "id").alias("component"))
-    return rows.join(group, "fp").select("id", "fp", "component")
+    group = counted.join(label, "fp", "left").select("fp", F.coalesce("least", "id").alias("component"), "held")
+    return hot_join(rows, group, "fp", "held", rows.count()).select("id", "fp", "component")
 
 
 #: Candidate keys of ``similar_groups``: bands of least hashes; a pair of similarity 0.8 misses them all with

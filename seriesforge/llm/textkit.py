@@ -101,3 +101,16 @@ def cut(df: DataFrame) -> DataFrame:
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of all texts (one column-pruned pass)."""
     return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
+
+
+def hot_join(rows: DataFrame, table: DataFrame, key: str, held_by: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table`` on a key, where ``held_by`` says how many of the ``total`` rows hold a key.
+
+    Keys that hold more than a thousandth of all rows, of which there are fewer than a thousand, go by broadcast, so
+    the rows of such a key stay spread as they are; all other keys are shuffled.
+    """
+    bound = max(100, total // 1000)
+    hot = F.broadcast(table.filter(F.col(held_by) > bound).drop(held_by))
+    cold = table.filter(F.col(held_by) <= bound).drop(held_by)
+    spread = rows.join(hot, key)
+    return spread.union(rows.join(hot.select(key), key, "left_anti").join(cold, key).select(spread.columns))
