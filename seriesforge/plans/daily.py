@@ -14,6 +14,11 @@ from seriesforge.operators.reads import latest_run
 from seriesforge.sources.payloads import carry_forward, failures
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """A frame that later steps read several times: a reliable checkpoint where a shared folder is set, else cached."""
+    return df.checkpoint() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.cache()
+
+
 def run(history: DataFrame, snapshots: DataFrame, earlier_predictions: DataFrame | None, run_id: str, features: list[str] | None = None, rounds: int = 20) -> dict[str, DataFrame]:
     """Heal, featurise, train, gate, score and compare with the run before.
 
@@ -21,25 +26,26 @@ def run(history: DataFrame, snapshots: DataFrame, earlier_predictions: DataFrame
     are the only actions besides the one-row frames that decide which model serves.
     """
     features = features or list(S.FEATURES)
+    snapshots = _cut(snapshots)  # read by healing, both risk frames and the composite score
     current = latest_run(snapshots, "snapshot_date").select(snapshots.columns)
     earlier = snapshots.join(current.select("run_id").distinct(), "run_id", "left_anti").select(snapshots.columns)
-    healed = carry_forward(current.withColumn("origin", F.lit("ingested")), earlier)
-    split = M.time_split(S.training_frame(history)).cache()
+    healed = _cut(carry_forward(current.withColumn("origin", F.lit("ingested")), earlier))
+    split = _cut(M.time_split(S.training_frame(history)))
     growth = M.fit_growth(split.filter("NOT is_test"), features, rounds)
     metrics = M.growth_metrics(split, growth, features)
     checks = M.gate_checks(metrics.select(F.lit("growth").alias("model_name"), "n", "r2", "spearman", F.lit(None).cast("double").alias("oof_r2"), F.lit(None).cast("double").alias("oof_spearman")))
     scoring = S.scoring_frame(history)
     risk = R.choose_training(R.risk_frame(healed), R.forward_frame(snapshots))
     columns = list(R.RISK_FEATURES)
-    model = M.fit_risk(R.impute_medians(risk.drop("label_mode"), columns), columns)
+    model = M.fit_risk(_cut(R.impute_medians(risk.drop("label_mode"), columns)), columns)
     probabilities = M.predict_risk(model, R.impute_medians(R.risk_frame(healed), columns), columns)
     scores = M.predict_growth(growth, scoring, features).select("name", "growth_pred")
     reasons = C.reason_texts(M.attributions(growth, scoring, features))
-    predictions = C.assemble_predictions(scores, R.composite_score(healed), probabilities, reasons, run_id).withColumn("predicted_at", F.current_timestamp())
+    predictions = _cut(C.assemble_predictions(scores, R.composite_score(healed), probabilities, reasons, run_id).withColumn("predicted_at", F.current_timestamp()))
     out = {
         "features": S.feature_table(scoring, R.risk_frame(healed), healed, run_id), "metrics": metrics, "gate": M.gate_result(checks, ["model_name"]),
         "predictions": predictions, "quality": Q.quality_report(healed), "failures": failures(current),
     }
     if earlier_predictions is not None:
-        out["drift"] = C.drift_report(latest_run(earlier_predictions, "predicted_at").unionByName(predictions, allowMissingColumns=True))
+        out["drift"] = C.drift_report(_cut(latest_run(earlier_predictions, "predicted_at").unionByName(predictions, allowMissingColumns=True)))
     return out
