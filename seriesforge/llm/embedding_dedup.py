@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesforge.llm.components import connected_components
+from seriesforge.llm.components import connected_components, forest
 from seriesforge.llm.textkit import cut
 
 BINS = 2000
@@ -62,21 +62,6 @@ def principal_axes(vectors: DataFrame, dim: int) -> np.ndarray:
     return np.linalg.eigh(v[: dim * dim].reshape(dim, dim) / n - np.outer(mean, mean))[1][:, ::-1]
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest row reachable from each of n rows over the links (a, b), by label passing with shortcuts."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, label[a], low)
-        np.minimum.at(label, label[b], low)
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        label = label[label]
-        if (label == before).all():
-            return label
-
-
 def compare(left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of PCA-ordered unit vectors whose product may reach the threshold (all that do among them)."""
     dim, slack, floor = left.shape[1], 1e-9, threshold - 1e-9

@@ -10,7 +10,7 @@ verified by the distance itself. Links go to the distributed component search.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.components import connected_components
+from seriesforge.llm.components import connected_components, forest
 from seriesforge.llm.textkit import ODD, WordHasher, cut, hot_join, joined, mix64, roll, word_spans
 
 SEED = 42
@@ -72,8 +72,50 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def near_links(distinct: DataFrame, radius: int = 4, blocks: int | None = None) -> DataFrame:
-    """(a, b): ids of distinct fingerprints ``(fp, id)`` that differ in at most ``radius`` bits."""
+def _inside_runs(
+    batches: Iterator[pa.RecordBatch], width: int, pairs: Callable[..., Iterator[pa.RecordBatch]]
+) -> Iterator[pa.RecordBatch]:
+    """Calls ``pairs`` with the columns of whole buckets, runs of equal values in the first two of ``width`` sorted columns."""
+    held: list[np.ndarray] | None = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        now = [b.column(c).to_numpy() for c in range(width)]
+        if held is not None:
+            now = [np.concatenate(p) for p in zip(held, now, strict=True)]
+        last = np.flatnonzero((now[0] == now[0][-1]) & (now[1] == now[1][-1]))[0]
+        held = [x[last:] for x in now]  # its bucket may go on in the next batch
+        if last:
+            yield from pairs(*[x[:last] for x in now])
+    if held is not None:
+        yield from pairs(*held)
+
+
+def _partners(run: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one run, for all runs at once, distance by distance; ``run`` numbers the sorted rows."""
+    i, step = np.arange(len(run)), 1
+    while True:
+        i = i[i + step < len(run)]
+        i = i[run[i] == run[i + step]]
+        if not len(i):
+            return
+        yield i, i + step
+        step += 1
+
+
+def _run_numbers(m: np.ndarray, k: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.concatenate([[0], (m[1:] != m[:-1]) | (k[1:] != k[:-1])]))
+
+
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def near_links(distinct: DataFrame, radius: int = 4, blocks: int | None = None, spanning: bool = False) -> DataFrame:
+    """(a, b): ids of distinct fingerprints ``(fp, id)`` that differ in at most ``radius`` bits.
+
+    ``spanning``: a link between two fingerprints that earlier links of their bucket already connect is left out, so a
+    tight group gives a number of links that is linear in its size; what is reachable stays the same.
+    """
     if blocks is None:
         n = distinct.count()
         blocks = radius + (2 if n < 1 << 20 else 3 if n < 1 << 26 else 4)
@@ -83,41 +125,28 @@ def near_links(distinct: DataFrame, radius: int = 4, blocks: int | None = None)
         "fp", "id",
         F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")).alias("k")) for i, m in enumerate(masks)])).alias("x"),
     ).select(F.col("x.m").alias("m"), F.col("x.k").alias("k"), "fp", "id")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def links(m: np.ndarray, k: np.ndarray, fp: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Links inside runs of one bucket, all runs at once, partner distance by partner distance."""
-        run = np.cumsum(np.concatenate([[0], (m[1:] != m[:-1]) | (k[1:] != k[:-1])]))
+        run = _run_numbers(m, k)
         paired = np.bincount(run)[run] > 1
-        run, fp, ids = run[paired], fp[paired], ids[paired]
+        run, fp, ids = run[paired], fp[paired].view(np.uint64), ids[paired]
         rows = np.bitwise_count(fp[:, None] ^ table[None, :]).astype(np.int8)
-        i, step = np.arange(len(run)), 1
-        while True:
-            i = i[i + step < len(run)]
-            i = i[run[i] == run[i + step]]
-            if not len(i):
-                return
-            j = i + step
+        label = np.arange(len(run))
+        for i, j in _partners(run):
+            if spanning:
+                apart = label[i] != label[j]
+                i, j = i[apart], j[apart]
             near = np.abs(rows[i] - rows[j]).max(axis=1) <= radius
             x, y = i[near], j[near]
             same = np.bitwise_count(fp[x] ^ fp[y]) <= radius
-            if same.any():
-                yield pa.RecordBatch.from_arrays([pa.array(ids[x[same]]), pa.array(ids[y[same]])], schema=schema)
-            step += 1
+            x, y = x[same], y[same]
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(ids[y])], schema=_PAIR)
+                if spanning:
+                    label = forest(len(run), label[x], label[y])[label]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
-        for b in batches:
-            now = [b.column(c).to_numpy() for c in range(4)]
-            now[2] = now[2].view(np.uint64)
-            if held is not None:
-                now = [np.concatenate(p) for p in zip(held, now, strict=True)]
-            last = np.flatnonzero((now[0] == now[0][-1]) & (now[1] == now[1][-1]))[0]
-            held = [x[last:] for x in now]  # its bucket may go on in the next batch
-            if last:
-                yield from links(*[x[:last] for x in now])
-        if held is not None:
-            yield from links(*held)
+        return _inside_runs(batches, 4, links)
 
     return keyed.repartition("m", "k").sortWithinPartitions("m", "k", "fp").mapInArrow(run, "a bigint, b bigint")
 
@@ -133,7 +162,7 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     distinct = counted.select("fp", "id")
     named = distinct.filter("id IS NOT NULL")
     # fingerprints met only in rows without an id still carry links, under stand-in ids above all others
-    links = near_links(distinct.withColumn("id", F.col("fp")), radius)
+    links = near_links(distinct.withColumn("id", F.col("fp")), radius, spanning=True)
     parts = connected_components(links)
     least = parts.join(named, parts["node"] == named["fp"]).groupBy("component").agg(F.min("id").alias("least"))
     label = parts.join(least, "component").select(F.col("node").alias("fp"), "least")
@@ -162,24 +191,33 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(1, len(a) + len(b) - both)
 
 
-def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+#: Rows of either side of a tile in which the rest of a bucket is compared.
+TILE = 2048
+
+
+def similar_groups(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, tile_rows: int = TILE
+) -> DataFrame:
     """(id, component) of the documents that have a near copy: Jaccard similarity of word shingles of 0.8 or more.
 
-    A SimHash of 64 bits differs in about ten bits at that similarity, too many for blocks of agreeing bits, so the
-    candidates come from bands of least shingle hashes. Every member of a band bucket is paired with the bucket's
-    smallest and largest id (linear in the bucket, however large a group of copies is); the pivot distance table
-    discards pairs whose fingerprints cannot be near, the fingerprints' own distance more, and the exact
-    similarity of the two whole texts decides. Groups are the components of the links. Texts without words and null
-    ids take no part; an input of one row per id is expected (further rows of an id follow its first).
+    Documents with one set of shingles collapse to the smallest id. A SimHash of 64 bits differs in about ten bits at
+    that similarity, too many for blocks of agreeing bits, so the candidates come from bands of least shingle hashes.
+    First every member of a band bucket is paired with the bucket's smallest and largest id, which is linear in the
+    bucket and settles buckets of one group. In buckets that still hold several groups the members outside the
+    first one's group are then compared with all members of other groups, in tiles of bounded size: every pair that
+    shares a bucket is tested or already connected. In both steps the pivot distance table discards pairs whose
+    fingerprints cannot be near, the fingerprints' own distance more, and the exact similarity of the two whole texts
+    decides. Groups are the components of the links. Texts without words and null ids take no part; an input of one
+    row per id is expected (further rows of an id follow its first).
     """
     table, rows_per = pivots(), BANDS * BAND_ROWS
     keys = np.random.default_rng(5).integers(1, 1 << 62, rows_per, np.int64).view(np.uint64) * np.uint64(2) + np.uint64(1)
     sized = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = pa.schema([("id", pa.int64()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    schema = pa.schema([("id", pa.int64()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64())), ("same", pa.binary())])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, fps, bands = [], [], []
+            ids, fps, bands, sets = [], [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 h = shingle_hashes(text, shingle)
                 if not len(h):
@@ -192,16 +230,8 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 for k in range(1, BAND_ROWS):
                     key[:, 0] = mix64(key[:, 0] * ODD + key[:, k])
                 ids.append(i), fps.append(_signed(fingerprint(text, shingle))), bands.append(key[:, 0].view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], schema=schema)
-
-    signed = cut(sized.mapInArrow(sign, "id bigint, fp bigint, keys array<bigint>"))
-    keyed = signed.select("id", "fp", F.posexplode("keys").alias("band", "key"))
-    hubs = keyed.groupBy("band", "key").agg(F.min(F.struct("id", "fp")).alias("lo"), F.max(F.struct("id", "fp")).alias("hi")).filter("lo.id < hi.id")
-    pairs = keyed.join(hubs, ["band", "key"]).select("id", "fp", F.explode(F.array("lo", "hi")).alias("hub")).filter("id <> hub.id").select(
-        F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"),
-        F.when(F.col("id") < F.col("hub.id"), F.col("fp")).otherwise(F.col("hub.fp")).alias("fa"),
-        F.when(F.col("id") < F.col("hub.id"), F.col("hub.fp")).otherwise(F.col("fp")).alias("fb"),
-    ).distinct()
+                sets.append(xxhash.xxh3_128_digest(h.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, fps, bands, sets), schema, strict=True)], schema=schema)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,7 +244,63 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             same = [jaccard(shingle_hashes(x, shingle), shingle_hashes(y, shingle)) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.filter(pa.array(same, pa.bool_())).select(["a", "b"])
 
-    kept = cut(pairs.mapInArrow(near, "a bigint, b bigint"))
-    left, right = sized.select(F.col("id").alias("a"), F.col("text").alias("ta")), sized.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    links = kept.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(verify, "a bigint, b bigint")
-    return connected_components(links).select(F.col("node").alias("id"), "component")
+    def similar(candidates: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose whole texts are similar."""
+        left, right = sized.select(F.col("id").alias("a"), F.col("text").alias("ta")), sized.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+        return candidates.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(verify, "a bigint, b bigint")
+
+    def across(m: np.ndarray, k: np.ndarray, fp: np.ndarray, ids: np.ndarray, group: np.ndarray, stray: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Pairs of a stray and a member of another group, inside one tile, that the pivot table cannot discard."""
+        run, fp = _run_numbers(m, k), fp.view(np.uint64)
+        rows = np.bitwise_count(fp[:, None] ^ table[None, :]).astype(np.int8)
+        edges = np.searchsorted(run, np.arange(run[-1] + 2))
+        for at in np.flatnonzero(stray == 1):
+            j = np.arange(edges[run[at]], edges[run[at] + 1])
+            j = j[(stray[j] == 0) & (group[j] != group[at])]
+            j = j[np.abs(rows[j] - rows[at]).max(axis=1, initial=0) <= WIDE_RADIUS]
+            j = j[np.bitwise_count(fp[j] ^ fp[at]) <= WIDE_RADIUS]
+            if len(j):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[j], ids[at])), pa.array(np.maximum(ids[j], ids[at]))], schema=_PAIR)
+
+    def across_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _inside_runs(batches, 6, across)
+
+    signed = cut(sized.mapInArrow(sign, "id bigint, fp bigint, keys array<bigint>, same binary"))
+    copies = cut(signed.groupBy("same").agg(F.min("id").alias("id"), F.min_by("fp", "id").alias("fp"), F.first("keys").alias("keys"), F.count("*").alias("held")))
+    keyed = copies.select("id", "fp", F.posexplode("keys").alias("band", "key"))
+    total = copies.count()
+
+    hubs = keyed.groupBy("band", "key").agg(F.min(F.struct("id", "fp")).alias("lo"), F.max(F.struct("id", "fp")).alias("hi"), F.count("*").alias("held")).filter("lo.id < hi.id")
+    met = hot_join(keyed, hubs, ["band", "key"], "held", BANDS * total)
+    pairs = met.select("id", "fp", F.explode(F.array("lo", "hi")).alias("hub")).filter("id <> hub.id").select(
+        F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"),
+        F.when(F.col("id") < F.col("hub.id"), F.col("fp")).otherwise(F.col("hub.fp")).alias("fa"),
+        F.when(F.col("id") < F.col("hub.id"), F.col("hub.fp")).otherwise(F.col("fp")).alias("fb"),
+    ).distinct()
+    tested = cut(pairs.mapInArrow(near, "a bigint, b bigint"))
+    links = cut(similar(tested))
+    groups = connected_components(links)
+
+    # buckets of three members or more in several groups; a stray is a member outside the group of the smallest id
+    grouped = copies.join(groups, copies["id"] == groups["node"], "left").select("id", "fp", F.coalesce("component", "id").alias("group"), "keys")
+    members = cut(grouped).select("id", "fp", "group", F.posexplode("keys").alias("band", "key"))
+    mixed = members.groupBy("band", "key").agg(
+        F.min_by("group", "id").alias("first"), F.min("group").alias("g0"), F.max("group").alias("g1"), F.count("*").alias("held")
+    ).filter("g0 < g1 AND held > 2").select("band", "key", "first", "held", F.ceil(F.col("held") / tile_rows).alias("tiles"))
+    open_ = cut(hot_join(members, mixed, ["band", "key"], "held", BANDS * total))
+    strays = open_.filter(F.col("group") != F.col("first")).groupBy("band", "key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / tile_rows).alias("stray_tiles"))
+    dealt = hot_join(open_, strays, ["band", "key"], "n", BANDS * total)
+    place, mine = F.pmod(F.xxhash64("id"), F.col("tiles")), F.pmod(F.xxhash64("id", F.lit(1)), F.col("stray_tiles"))
+    kind = ("band", "key", "fp", "id", "group")
+    every = dealt.select(*kind, place.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("stray_tiles") - 1)).alias("j"), F.lit(0).cast("long").alias("stray"))
+    some = dealt.filter(F.col("group") != F.col("first")).select(
+        *kind, F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("i"), mine.alias("j"), F.lit(1).cast("long").alias("stray")
+    )
+    tile = (F.shiftleft("i", 34) + F.shiftleft("j", 4) + F.col("band")).alias("m")
+    tiles = every.union(some).select(tile, F.col("key").alias("k"), "fp", "id", "group", "stray").repartition("m", "k").sortWithinPartitions("m", "k", "id", "stray")
+    rest = cut(tiles.mapInArrow(across_tiles, "a bigint, b bigint").distinct().join(tested, ["a", "b"], "left_anti"))
+    groups = connected_components(links.union(similar(rest)))
+
+    final = copies.join(groups, copies["id"] == groups["node"], "left").filter("component IS NOT NULL OR held > 1")
+    named = final.select("same", F.coalesce("component", "id").alias("component"), "held")
+    return hot_join(signed.select("id", "same"), named, "same", "held", total).select("id", "component").groupBy("id").agg(F.min("component").alias("component"))

@@ -103,8 +103,8 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
 
 
-def hot_join(rows: DataFrame, table: DataFrame, key: str, held_by: str, total: int) -> DataFrame:
-    """``rows`` joined with ``table`` on a key, where ``held_by`` says how many of the ``total`` rows hold a key.
+def hot_join(rows: DataFrame, table: DataFrame, key: str | list[str], held_by: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table`` on a key (or several columns), where ``held_by`` says how many of the ``total`` rows hold a key.
 
     Keys that hold more than a thousandth of all rows, of which there are fewer than a thousand, go by broadcast, so
     the rows of such a key stay spread as they are; all other keys are shuffled.

@@ -224,3 +224,43 @@ def test_packing_keeps_every_token_once(spark):
     assert packing.pack_sequences(df.limit(0)).count() == 0
 
 
+
+
+def test_similar_groups_equal_brute_force_where_hubs_differ(spark):
+    """Similar texts whose buckets begin and end with texts that are like neither of them."""
+    rng = random.Random(21)
+    core = _words(rng, 240, 100_000).split()
+
+    def changed(words, n):
+        out = list(words)
+        for at in rng.sample(range(len(out)), n):
+            out[at] = f"z{rng.randrange(10**9)}"
+        return " ".join(out)
+
+    twin = changed(core, 2).split()
+    texts = [changed(core, 10) for _ in range(25)] + [" ".join(twin), changed(twin, 2), changed(twin, 3)] + [changed(core, 10) for _ in range(25)]
+    texts += [texts[26], texts[3], texts[26].upper()]
+    rows = list(enumerate(texts, 1)) + [(None, texts[0]), (900, None), (901, " ")]
+    sets = {i: simhash_dedup.shingle_hashes(t, 5) for i, t in rows if i is not None and (t or "").split()}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and simhash_dedup.jaccard(sets[a], sets[b]) >= 0.8:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    sizes = {}
+    for i in sets:
+        sizes[find(i)] = sizes.get(find(i), 0) + 1
+    want = {i: find(i) for i in sets if sizes[find(i)] > 1}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {find(26), find(27), find(28)} == {26} and want[54] == 26
+    for tile in (4, 2048):
+        got = {r["id"]: r["component"] for r in simhash_dedup.similar_groups(df, tile_rows=tile).collect()}
+        assert got == want
+    assert simhash_dedup.similar_groups(df.limit(0)).count() == 0
