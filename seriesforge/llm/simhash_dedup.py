@@ -33,6 +33,14 @@ def pivots(n: int = PIVOTS) -> np.ndarray:
     return np.random.default_rng(64).integers(0, 1 << 63, n, np.int64).view(np.uint64) * np.uint64(2)
 
 
+def majority(h: np.ndarray) -> int:
+    """Bit i is set if it is set in over half of the 64-bit hashes."""
+    ones = np.zeros(64, np.int64)
+    for i in range(0, len(h), 4096):
+        ones += np.unpackbits(h[i : i + 4096].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(h), bitorder="little").tobytes(), "little")
+
+
 def fingerprint(text: str | None, shingle: int = 4) -> int:
     """SimHash: bit i is set if it is set in over half of the shingles' XXH64 (seed 42); no words give zero."""
     words = (text or "").encode("utf-8").lower().split()
@@ -42,11 +50,7 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     ends = np.cumsum([len(w) + 1 for w in words]).tolist()
     starts = [0, *ends]
     digest, last = xxhash.xxh64_intdigest, min(shingle, len(words)) - 1
-    h = np.fromiter((digest(line[starts[i] : ends[i + last] - 1], SEED) for i in range(n)), np.uint64, n)
-    ones = np.zeros(64, np.int64)
-    for i in range(0, n, 4096):
-        ones += np.unpackbits(h[i : i + 4096].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
+    return majority(np.fromiter((digest(line[starts[i] : ends[i + last] - 1], SEED) for i in range(n)), np.uint64, n))
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
@@ -173,8 +177,10 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 #: Candidate keys of ``similar_groups``: bands of least hashes; a pair of similarity 0.8 misses them all with
 #: a chance of (1 - 0.8**4)**14 < 0.001, one of 0.9 with less than 1e-6.
 BANDS, BAND_ROWS = 14, 4
-#: Fingerprint radius that the pivot table tests there: at similarity 0.8 about 10 of 64 bits differ, deviation 3.
-WIDE_RADIUS = 24
+#: Fingerprint radius that the pivot table tests there. Those fingerprints are of the distinct shingles, as the similarity
+#: is: at 0.8 a bit differs with a chance of 0.152 in long texts and of at most 0.1875 (4 and 5 shingles), so more than
+#: 28 of 64 differ with a chance below 1e-8, and of 1.1e-6 at most.
+WIDE_RADIUS = 28
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -200,8 +206,8 @@ def similar_groups(
 ) -> DataFrame:
     """(id, component) of the documents that have a near copy: Jaccard similarity of word shingles of 0.8 or more.
 
-    Documents with one set of shingles collapse to the smallest id. A SimHash of 64 bits differs in about ten bits at
-    that similarity, too many for blocks of agreeing bits, so the candidates come from bands of least shingle hashes.
+    Documents with one set of shingles collapse to the smallest id. A SimHash of the distinct shingles differs in about
+    ten of 64 bits at that similarity, too many for blocks of agreeing bits, so the candidates come from bands of least shingle hashes.
     First every member of a band bucket is paired with the bucket's smallest and largest id, which is linear in the
     bucket and settles buckets of one group. In buckets that still hold several groups the members outside the
     first one's group are then compared with all members of other groups, in tiles of bounded size: every pair that
@@ -229,7 +235,7 @@ def similar_groups(
                 key = mix64(least.reshape(BANDS, BAND_ROWS) * ODD)
                 for k in range(1, BAND_ROWS):
                     key[:, 0] = mix64(key[:, 0] * ODD + key[:, k])
-                ids.append(i), fps.append(_signed(fingerprint(text, shingle))), bands.append(key[:, 0].view(np.int64).tolist())
+                ids.append(i), fps.append(_signed(majority(h))), bands.append(key[:, 0].view(np.int64).tolist())
                 sets.append(xxhash.xxh3_128_digest(h.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, fps, bands, sets), schema, strict=True)], schema=schema)
 

@@ -264,3 +264,16 @@ def test_similar_groups_equal_brute_force_where_hubs_differ(spark):
         got = {r["id"]: r["component"] for r in simhash_dedup.similar_groups(df, tile_rows=tile).collect()}
         assert got == want
     assert simhash_dedup.similar_groups(df.limit(0)).count() == 0
+
+
+def test_similar_groups_link_copies_with_a_repeated_phrase(spark):
+    """Jaccard 0.97 and more on distinct shingles, though a phrase fills up to 30 % of one copy."""
+    rng, rows, want = random.Random(30), [], {}
+    for n, phrase, times in 8 * [(700, 10, 28), (1500, 12, 50), (400, 6, 27)]:
+        text, more, i = _words(rng, n, 5000), " ".join([_words(rng, phrase, 5000)] * times), len(rows)
+        rows += [(i, text), (i + 1, f"{text} {more}")]
+        want |= {i: i, i + 1: i}
+        a, b = (simhash_dedup.shingle_hashes(t, 5) for _, t in rows[-2:])
+        assert simhash_dedup.jaccard(a, b) > 0.95
+    got = simhash_dedup.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["id"]: r["component"] for r in got} == want
