@@ -234,7 +234,7 @@ def out_of_fold(frame: DataFrame, features: list[str], k: int, label: str = "at_
     return out
 
 
-def experiment(split: DataFrame, active: list[str], candidates: list[str], rounds: int = 10) -> DataFrame:
+def experiment(split: DataFrame, active: list[str], candidates: list[str], rounds: int = 20) -> DataFrame:
     """(candidate, base, new, delta): rank skill with each candidate feature added, best first."""
     def rho(features: list[str]) -> float | None:
         model = fit_growth(split.filter("NOT is_test"), features, rounds)

@@ -397,7 +397,7 @@ def e9_out_of_fold_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def e15_candidate_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = M.time_split(training(spark, sf_dir)).cache()
-    return M.experiment(split, FEATURES[:6], list(S.CANDIDATES)[:2], rounds=5)
+    return M.experiment(split, FEATURES, list(S.CANDIDATES), rounds=20)
 
 
 @query()
