@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -133,12 +135,16 @@ def assemble(frame: DataFrame, features: list[str]) -> DataFrame:
 
 
 def fit_growth(train: DataFrame, features: list[str], rounds: int = 20, seed: int = 42) -> GBTRegressionModel:
-    """Boosted trees on the clipped target; every tenth date of the training part watches for early stopping."""
+    """Boosted trees on the clipped target; every tenth date of the training part watches for early stopping.
+
+    Where the hash picks none of few dates, or all of them, every row trains and all rounds run.
+    """
     watch = F.pmod(F.xxhash64("feature_date", F.lit(seed)), F.lit(10)) == 0
     rows = assemble(train.withColumn("_y", clip_target(TARGET)).withColumn("_watch", watch), features)
     gbt = GBTRegressor(labelCol="_y", maxIter=rounds, stepSize=0.1, maxDepth=5, minInstancesPerNode=30, subsamplingRate=0.8, featureSubsetStrategy="0.9",
-                       validationIndicatorCol="_watch", seed=seed, maxBins=32)
-    return gbt.fit(rows)
+                       seed=seed, maxBins=32)
+    sides = rows.agg(F.count_if("_watch").alias("watch"), F.count_if(~F.col("_watch")).alias("fit")).first()
+    return gbt.setValidationIndicatorCol("_watch").fit(rows) if sides["watch"] and sides["fit"] else gbt.fit(rows)
 
 
 def predict_growth(model: GBTRegressionModel, frame: DataFrame, features: list[str]) -> DataFrame:
@@ -156,6 +162,37 @@ def growth_metrics(split: DataFrame, model: GBTRegressionModel, features: list[s
     return m.crossJoin(split.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test")))
 
 
+def walk_forward(frame: DataFrame, folds: DataFrame, features: list[str], rounds: int = 20) -> DataFrame:
+    """(fold, n_train, n_test, r2, mae, rmse, spearman, persistence_..., skill): one fit per fold of ``fold_rows``.
+
+    ``frame`` as of ``validation_frame``, ``folds`` as of ``walk_forward_folds``; the few folds are looped over.
+    """
+    rows = frame.withColumns({"feature_date": F.col("t"), TARGET: F.col("y")}).persist()
+    out = []
+    for f in stats.fold_rows(rows, folds).join(folds, "fold").orderBy("fold").collect():
+        train, test = rows.filter(F.col("t") <= f["train_until"]), rows.filter(F.col("t").between(f["test_from"], f["test_until"]))
+        told = predict_growth(fit_growth(train, features, rounds), test, features).select("y", "persistence", F.col("growth_pred").alias("yhat"))
+        figures = stats.regression_metrics(told).drop("n").crossJoin(stats.spearman(told, "y", "yhat"))
+        plain = stats.regression_metrics(told, yhat="persistence").drop("n").crossJoin(stats.spearman(told, "y", "persistence"))
+        both = figures.crossJoin(plain.select(*[F.col(c).alias(f"persistence_{c}") for c in plain.columns])).crossJoin(stats.skill(told)).first()
+        out.append((f["fold"], f["n_train"], f["n_test"], *both))
+    rows.unpersist()
+    names = ["r2", "mae", "rmse", "spearman"]
+    doubles = ", ".join(f"{c} double" for c in [*names, *[f"persistence_{c}" for c in names], "skill"])
+    return frame.sparkSession.createDataFrame(out, f"fold bigint, n_train bigint, n_test bigint, {doubles}")
+
+
+def disjoint_cv(frame: DataFrame, features: list[str], k: int = 5, rounds: int = 20) -> DataFrame:
+    """(n, r2, mae, rmse, spearman) of forecasts by models that saw no row of the name: k fits on whole-name folds."""
+    rows = frame.join(stats.group_folds(frame, k), "name").persist()
+    held = [r["fold"] for r in rows.select("fold").distinct().orderBy("fold").collect()]
+    if len(held) < 2:  # no other names to fit on
+        return frame.sparkSession.createDataFrame([(0, None, None, None, None)], "n bigint, r2 double, mae double, rmse double, spearman double")
+    parts = [predict_growth(fit_growth(rows.filter(F.col("fold") != i), features, rounds), rows.filter(F.col("fold") == i), features) for i in held]
+    told = reduce(DataFrame.unionByName, parts).select(F.col(TARGET).alias("y"), F.col("growth_pred").alias("yhat"))
+    return stats.regression_metrics(told).crossJoin(stats.spearman(told, "y", "yhat"))
+
+
 def attributions(model: GBTRegressionModel, frame: DataFrame, features: list[str], top: int = 3) -> DataFrame:
     """(name, feature_date, feature, value, pos): what each feature's splits move along a row's path through the trees.
 

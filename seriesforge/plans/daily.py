@@ -33,7 +33,8 @@ def run(history: DataFrame, snapshots: DataFrame, earlier_predictions: DataFrame
     split = _cut(M.time_split(S.training_frame(history)))
     growth = M.fit_growth(split.filter("NOT is_test"), features, rounds)
     metrics = M.growth_metrics(split, growth, features)
-    checks = M.gate_checks(metrics.select(F.lit("growth").alias("model_name"), "n", "r2", "spearman", F.lit(None).cast("double").alias("oof_r2"), F.lit(None).cast("double").alias("oof_spearman")))
+    unseen = M.disjoint_cv(split, features, rounds=rounds).select(F.col("r2").alias("oof_r2"), F.col("spearman").alias("oof_spearman"))
+    checks = _cut(M.gate_checks(metrics.crossJoin(unseen).select(F.lit("growth").alias("model_name"), "n", "r2", "spearman", "oof_r2", "oof_spearman")))
     scoring = S.scoring_frame(history)
     risk = R.choose_training(R.risk_frame(healed), R.forward_frame(snapshots))
     columns = list(R.RISK_FEATURES)
@@ -43,7 +44,7 @@ def run(history: DataFrame, snapshots: DataFrame, earlier_predictions: DataFrame
     reasons = C.reason_texts(M.attributions(growth, scoring, features))
     predictions = _cut(C.assemble_predictions(scores, R.composite_score(healed), probabilities, reasons, run_id).withColumn("predicted_at", F.current_timestamp()))
     out = {
-        "features": S.feature_table(scoring, R.risk_frame(healed), healed, run_id), "metrics": metrics, "gate": M.gate_result(checks, ["model_name"]),
+        "features": S.feature_table(scoring, R.risk_frame(healed), healed, run_id), "metrics": metrics, "gate": M.gate_result(checks, ["model_name"]), "gate_checks": checks,
         "predictions": predictions, "quality": Q.quality_report(healed), "failures": failures(current),
     }
     if earlier_predictions is not None:

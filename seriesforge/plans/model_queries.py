@@ -20,6 +20,9 @@ _BIN = f"bn AS ({X.binary(True)})"
 _RUNS = f"mr AS MATERIALIZED ({X.model_runs(True)})"
 
 
+FEATURES = list(S.FEATURES)
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.read(spark, sf_dir, X.scored())
 
@@ -131,6 +134,30 @@ def j9_unpurged_walk_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.fold_rows(v, J.walk_forward_folds(v, purge=False))
 
 
+def _walk_forward(spark: SparkSession, sf_dir: str, purge: bool) -> DataFrame:
+    v = S.validation_frame(brand(spark, sf_dir))
+    return M.walk_forward(v, J.walk_forward_folds(v.select("t"), purge=purge), FEATURES)
+
+
+@query()
+def j8_purged_fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fits on the folds of ``j8_purged_walk_forward``."""
+    return _walk_forward(spark, sf_dir, True)
+
+
+@query()
+def j9_unpurged_fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fits on the folds of ``j9_unpurged_walk_forward``: optimistic, as training targets reach into the tests."""
+    return _walk_forward(spark, sf_dir, False)
+
+
+@query()
+def j10_disjoint_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Out-of-fold figures of the growth model on names it did not see."""
+    v = S.validation_frame(brand(spark, sf_dir))
+    return M.disjoint_cv(v.withColumns({"feature_date": F.col("t"), M.TARGET: F.col("y")}), FEATURES)
+
+
 _GROUP = """gs AS (SELECT name, row_number() OVER (ORDER BY count(*) DESC, name) - 1 AS pos FROM {src} GROUP BY name),
 gf AS (SELECT name, (CASE WHEN floor(pos / 5) % 2 = 0 THEN pos % 5 ELSE 4 - pos % 5 END)::INT AS fold FROM gs)"""
 
@@ -343,9 +370,6 @@ def e26_champion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.champion_metrics(runs(spark, sf_dir))
 
 
-FEATURES = list(S.FEATURES)
-
-
 def _growth(spark: SparkSession, sf_dir: str):
     split = M.time_split(training(spark, sf_dir)).cache()
     return split, M.fit_growth(split.filter("NOT is_test"), FEATURES)

@@ -1,8 +1,16 @@
 """Model experiments and cross-validation on the smallest tables."""
 
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from seriesforge.operators import models as M
 from seriesforge.operators import series as S
+from seriesforge.operators import stats as J
+from seriesforge.plans import daily
 from seriesforge.plans import model_queries as Q
 
 
@@ -17,3 +25,35 @@ def test_experiment_tries_every_candidate_on_all_features(spark, sf_dir, monkeyp
     rows = entry.queries()["e15_candidate_experiment"](spark, sf_dir).collect()
     assert sorted(r["candidate"] for r in rows) == sorted(S.CANDIDATES)
     assert fits == [(tuple(f), 20) for f in (Q.FEATURES, *[[*Q.FEATURES, c] for c in S.CANDIDATES])]
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    """Names with a level of their own; the target follows x inside a name."""
+    rng, rows = random.Random(4), []
+    for k in range(20):
+        for i in range(60):
+            x = rng.random()
+            rows.append((f"n{k:02}", dt.date(2024, 1, 1) + dt.timedelta(5 * i), x, 2 * x - 1 + rng.gauss(0, 0.1), rng.gauss(0, 0.5)))
+    return spark.createDataFrame(rows, "name string, t date, x double, y double, persistence double").cache()
+
+
+def test_walk_forward_fits_in_each_fold(frame):
+    folds = J.walk_forward_folds(frame).cache()
+    got = sorted(M.walk_forward(frame, folds, ["x"], rounds=2).collect())
+    assert [tuple(r)[:3] for r in got] == sorted(tuple(r) for r in J.fold_rows(frame, folds).collect()) and len(got) == 4
+    assert all(r["spearman"] > 0.9 and r["r2"] > 0.2 and abs(r["persistence_spearman"]) < 0.4 and r["persistence_r2"] < 0 and r["skill"] > 0.4 for r in got)
+
+
+def test_disjoint_cv_and_the_gate_see_unseen_names(frame):
+    named = frame.withColumns({"feature_date": F.col("t"), M.TARGET: F.col("y")})
+    got = M.disjoint_cv(named, ["x"], rounds=5).first()
+    assert got["n"] == 1200 and got["spearman"] > 0.9 and got["r2"] > 0.2
+
+
+def test_daily_gate_gets_unseen_name_figures(spark, sf_dir):
+    from seriesforge.plans import fixtures as X
+
+    history = X.read(spark, sf_dir, X.history_brand())
+    checks = {r["check"]: r["value"] for r in daily.run(history, X.read(spark, sf_dir, X.snapshots()), None, "now", rounds=1)["gate_checks"].collect()}
+    assert checks["generalises_spearman"] is not None and checks["not_leaky_gap"] is not None
