@@ -162,6 +162,30 @@ def growth_metrics(split: DataFrame, model: GBTRegressionModel, features: list[s
     return m.crossJoin(split.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test")))
 
 
+def growth_backtest(split: DataFrame, features: list[str], rounds: int = 20, scatter: int = 300, least: int = 50) -> DataFrame:
+    """One row (metrics, calibration, scatter) of the test rows, whose targets are clipped; all null under ``least`` rows in all.
+
+    Calibration holds the ten deciles, scatter a sample of bounded size.
+    """
+    known = split.filter(F.col(TARGET).isNotNull()).withColumn(TARGET, clip_target(TARGET))
+    parts = known.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test")).first()
+    if parts["n_train"] + parts["n_test"] < least:
+        nothing = [F.lit(None).cast(t) for t in (_METRICS, _DECILES, _SCATTER)]
+        return split.sparkSession.range(1).select(*[c.alias(n) for c, n in zip(nothing, ("metrics", "calibration", "scatter"), strict=True)])
+    model = fit_growth(known.filter("NOT is_test"), features, rounds)
+    test = predict_growth(model, known.filter("is_test"), features).select("name", F.col("feature_date").alias("t"), F.col(TARGET).alias("y"), F.col("growth_pred").alias("yhat")).persist()
+    m = stats.regression_metrics(test).crossJoin(stats.spearman(test, "y", "yhat"))
+    metrics = m.select(F.struct("spearman", "mae", "rmse", "r2", F.lit(parts["n_test"]).alias("n_test"), F.lit(parts["n_train"]).alias("n_train")).cast(_METRICS).alias("metrics"))
+    deciles = calibration_deciles(test).agg(F.array_sort(F.collect_list(F.struct("decile", "n", "mean_pred", "mean_actual"))).cast(_DECILES).alias("calibration"))
+    points = scatter_sample(test, scatter).agg(F.collect_list(F.struct(F.col("yhat").alias("pred"), F.col("y").alias("actual"))).cast(_SCATTER).alias("scatter"))
+    return metrics.crossJoin(deciles).crossJoin(points)
+
+
+_METRICS = "struct<spearman:double,mae:double,rmse:double,r2:double,n_test:bigint,n_train:bigint>"
+_DECILES = "array<struct<decile:int,n:bigint,mean_pred:double,mean_actual:double>>"
+_SCATTER = "array<struct<pred:double,actual:double>>"
+
+
 def walk_forward(frame: DataFrame, folds: DataFrame, features: list[str], rounds: int = 20) -> DataFrame:
     """(fold, n_train, n_test, r2, mae, rmse, spearman, persistence_..., skill): one fit per fold of ``fold_rows``.
 

@@ -6,6 +6,8 @@ inside each range, and one row per range carries the offsets.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -194,6 +196,19 @@ def diebold_mariano(losses: DataFrame, horizon: int, by: list[str] | None = None
     return told.select(*by, "n", F.col("m").alias("mean_loss_diff"), dm.alias("dm_stat"), two_sided_p(dm).alias("p_value"), F.when(F.col("m") < 0, "model").otherwise("benchmark").alias("favored"))
 
 
+def dm_by_horizon(forecasts: DataFrame, model: str, benchmark: str, horizons: tuple[int, ...] = (1, 3, 7)) -> DataFrame:
+    """(name, h, n, dm_stat, p_value): the test of each series at each horizon h over h - 1 lags.
+
+    Null figures for fewer than 8 origins or where both forecasts lose the same everywhere.
+    """
+    d = (F.col("actual") - F.col(model)) ** 2 - (F.col("actual") - F.col(benchmark)) ** 2
+    rows = forecasts.select("name", "i", "h", d.alias("d"))
+    told = reduce(DataFrame.unionByName, [diebold_mariano(rows.filter(F.col("h") == h), h, ["name", "h"], ["i"]) for h in horizons])
+    flat = rows.groupBy("name", "h").agg(F.max(F.abs("d")).alias("most"))
+    fit = (F.col("n") >= 8) & (F.col("most") > 1e-8)
+    return told.join(flat, ["name", "h"]).select("name", "h", "n", *[F.when(fit, F.col(c)).alias(c) for c in ("dm_stat", "p_value")])
+
+
 def between_within(scored: DataFrame) -> DataFrame:
     """R2 of name means, and of values less their name's mean where the median name has three rows or more."""
     means = scored.groupBy("name").agg(F.avg("y").alias("y"), F.avg("yhat").alias("yhat"), F.count("*").alias("k"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from seriesforge.functions.columns import lookup
 from seriesforge.operators import audit as G
 from seriesforge.operators import forecast as K
-from seriesforge.operators.stats import diebold_mariano
+from seriesforge.operators.stats import diebold_mariano, dm_by_horizon
 from seriesforge.plans import fixtures as X
 from seriesforge.plans.model_queries import _dm
 from seriesforge.plans.registry import query, rounded
@@ -257,6 +257,12 @@ def k14_dm_by_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(diebold_mariano(d, 7, ["name"], ["i"]).filter("n >= 8").select("name", "n", "dm_stat"), 4)
 
 
+@query()
+def k14_dm_by_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test of ``k14_dm_by_series`` at every horizon."""
+    return rounded(dm_by_horizon(K.origins(admitted(spark, sf_dir)), "naive", "seasonal_naive", K.HORIZONS), 4)
+
+
 @query(f"WITH {_FC}, sg AS (SELECT name, stddev_pop(y) AS s FROM ks GROUP BY name) SELECT fh.name, round(avg((abs(actual - seasonal_naive) <= 1.96 * s)::INT), 6) AS coverage FROM fh JOIN sg ON sg.name = fh.name WHERE h = 1 GROUP BY fh.name")
 def k15_interval_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = admitted(spark, sf_dir)

@@ -426,6 +426,4 @@ def e15_candidate_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def e17_growth_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split, model = _growth(spark, sf_dir)
-    test = M.predict_growth(model, split.filter("is_test"), FEATURES).select("name", F.col("feature_date").alias("t"), F.col(M.TARGET).alias("y"), F.col("growth_pred").alias("yhat"))
-    return M.calibration_deciles(test)
+    return M.growth_backtest(M.time_split(training(spark, sf_dir)).cache(), FEATURES)

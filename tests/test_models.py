@@ -57,3 +57,31 @@ def test_daily_gate_gets_unseen_name_figures(spark, sf_dir):
     history = X.read(spark, sf_dir, X.history_brand())
     checks = {r["check"]: r["value"] for r in daily.run(history, X.read(spark, sf_dir, X.snapshots()), None, "now", rounds=1)["gate_checks"].collect()}
     assert checks["generalises_spearman"] is not None and checks["not_leaky_gap"] is not None
+
+
+def test_growth_backtest_reports_all_parts_and_guards_few_rows(frame):
+    named = frame.select("name", "x", F.col("t").alias("feature_date"), F.col("y").alias(M.TARGET))
+    got = M.growth_backtest(M.time_split(named), ["x"], rounds=1).first()
+    assert got["metrics"]["n_test"] == 240 and got["metrics"]["n_train"] == 960 and got["metrics"]["spearman"] > 0.9
+    assert [d["decile"] for d in got["calibration"]] == list(range(1, 11)) and sum(d["n"] for d in got["calibration"]) == 240
+    assert len(got["scatter"]) == 240
+    few = M.growth_backtest(M.time_split(named.limit(49)), ["x"], rounds=1).first()
+    assert tuple(few) == (None, None, None)
+
+
+def test_diebold_mariano_at_each_horizon(spark):
+    rng = random.Random(6)
+    e = {(n, h): [(rng.gauss(0, 1), rng.gauss(0, 2)) for _ in range(7 if n == "few" else 30)] for n in ("a", "few") for h in (1, 3, 7)}
+    e |= {("flat", h): [(1.0, 1.0)] * 30 for h in (1, 3, 7)}
+    rows = [(n, i, h, 0.0, a, b) for (n, h), es in e.items() for i, (a, b) in enumerate(es)]
+    got = {(r["name"], r["h"]): r["dm_stat"] for r in J.dm_by_horizon(spark.createDataFrame(rows, "name string, i int, h int, actual double, m double, b double"), "m", "b").collect()}
+    assert set(got) == set(e)
+    for (n, h), es in e.items():
+        if n != "a":
+            assert got[n, h] is None
+            continue
+        d = [a * a - b * b for a, b in es]
+        mean = sum(d) / len(d)
+        c = [v - mean for v in d]
+        var = sum(v * v for v in c) / len(c) + sum(2 * (1 - g / h) * sum(x * y for x, y in zip(c[g:], c)) / (len(c) - g) for g in range(1, h))
+        assert got[n, h] == pytest.approx(mean / (max(var, 1e-12) / len(d)) ** 0.5)
