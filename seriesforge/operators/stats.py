@@ -138,11 +138,22 @@ def group_folds(frame: DataFrame, k: int = 5) -> DataFrame:
     return sizes.withColumn("pos", pos).select("name", snake.cast("int").alias("fold"))
 
 
-def cluster_bootstrap(scored: DataFrame, b: int = 500, seed: int = 11) -> DataFrame:
+def _weighted_ranks(drawn: DataFrame, column: str, part: str, out: str) -> DataFrame:
+    """All columns plus the average rank of ``column`` in each replicate b, where a row counts m times; ``part``: its value range."""
+    per = drawn.groupBy("b", part, column).agg(F.sum("m").alias("_n"))
+    over = Window.partitionBy("b").orderBy(part)
+    offsets = per.groupBy("b", part).agg(F.sum("_n").alias("_t")).select("b", part, (F.sum("_t").over(over) - F.col("_t")).alias("_o"))
+    inside = F.sum("_n").over(Window.partitionBy("b", part).orderBy(column))
+    ranks = per.withColumn("_c", inside).join(offsets, ["b", part]).select("b", part, column, (F.col("_o") + F.col("_c") - (F.col("_n") - 1) / 2).alias(out))
+    return drawn.join(ranks, ["b", part, column])
+
+
+def cluster_bootstrap(scored: DataFrame, b: int = 2000, seed: int = 11) -> DataFrame:
     """(metric, lo, median, hi): resamples of whole names; each replicate draws as many names as there are.
 
     Draws come from a hash of (replicate, slot), so they do not depend on partitioning; R2 and skill need only each
-    name's sums, so a replicate costs names, not rows.
+    name's sums. Spearman's ranks are taken inside (replicate, value range) over rows that count as often as their name
+    was drawn. Replicates with fewer than three distinct targets are left out.
     """
     e, p = F.col("y") - F.col("yhat"), F.col("y") - F.col("persistence")
     sums = scored.groupBy("name").agg(F.count("*").alias("n"), F.sum("y").alias("sy"), F.sum(F.col("y") ** 2).alias("syy"), F.sum(e * e).alias("see"), F.sum(p * p).alias("spp"))
@@ -150,16 +161,27 @@ def cluster_bootstrap(scored: DataFrame, b: int = 500, seed: int = 11) -> DataFr
     n = numbered.count()
     spark = scored.sparkSession
     draws = spark.range(b * n).select(F.floor(F.col("id") / max(n, 1)).alias("b"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(n, 1))).cast("int").alias("i"))
-    per = draws.groupBy("b", "i").agg(F.count("*").alias("m")).join(numbered, "i").groupBy("b").agg(
+    times = draws.groupBy("b", "i").agg(F.count("*").alias("m"))
+    rows = _ranged(_ranged(scored, "y").withColumnRenamed("_r", "_ry"), "yhat").withColumnRenamed("_r", "_rp")
+    drawn = times.join(numbered.select("i", "name"), "i").join(rows.select("name", "y", "yhat", "_ry", "_rp"), "name").select("b", "m", "y", "yhat", "_ry", "_rp")
+    ranked = _weighted_ranks(_weighted_ranks(drawn, "y", "_ry", "ry"), "yhat", "_rp", "rp")
+    m, ry, rp = F.col("m"), F.col("ry"), F.col("rp")
+    sums_ranked = ranked.groupBy("b").agg(
+        F.sum(m).alias("k"), F.sum(m * ry).alias("a"), F.sum(m * rp).alias("p"), F.sum(m * ry * rp).alias("ap"), F.sum(m * ry * ry).alias("aa"), F.sum(m * rp * rp).alias("pp")
+    )
+    spread = (F.col("aa") - F.col("a") ** 2 / F.col("k")) * (F.col("pp") - F.col("p") ** 2 / F.col("k"))
+    rho = sums_ranked.select("b", F.when(spread > 0, (F.col("ap") - F.col("a") * F.col("p") / F.col("k")) / F.sqrt(spread)).alias("rho"))
+    varied = drawn.groupBy("b").agg(F.count_distinct("y").alias("distinct_y")).filter("distinct_y >= 3").select("b")
+    per = times.join(numbered, "i").groupBy("b").agg(
         *[F.sum(F.col("m") * F.col(c)).alias(c) for c in ("n", "sy", "syy", "see", "spp")]
     )
     r2 = 1 - F.col("see") / (F.col("syy") - F.col("sy") ** 2 / F.col("n"))
-    long = per.select("b", F.explode(F.create_map(F.lit("r2"), r2, F.lit("skill"), 1 - F.col("see") / F.greatest("spp", F.lit(1e-9)))).alias("metric", "v"))
+    long = per.join(rho, "b").join(varied, "b").select("b", F.explode(F.create_map(F.lit("spearman"), F.col("rho"), F.lit("r2"), r2, F.lit("skill"), 1 - F.col("see") / F.greatest("spp", F.lit(1e-9)))).alias("metric", "v"))
     q = F.percentile("v", F.array(F.lit(0.025), F.lit(0.5), F.lit(0.975)))
     return long.groupBy("metric").agg(q.alias("q")).select("metric", *[F.get("q", F.lit(i)).alias(c) for i, c in enumerate(("lo", "median", "hi"))])
 
 
-def permutation_p(scored: DataFrame, b: int = 200, blocks: bool = True, seed: int = 11) -> DataFrame:
+def permutation_p(scored: DataFrame, b: int = 2000, blocks: bool = True, seed: int = 11) -> DataFrame:
     """(observed, p): share of permutations with at least the observed rank correlation, one added to both sides.
 
     ``blocks``: whole names' targets change places (concatenated in the drawn order); else single rows do. Ranks are

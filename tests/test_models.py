@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +86,28 @@ def test_diebold_mariano_at_each_horizon(spark):
         c = [v - mean for v in d]
         var = sum(v * v for v in c) / len(c) + sum(2 * (1 - g / h) * sum(x * y for x, y in zip(c[g:], c)) / (len(c) - g) for g in range(1, h))
         assert got[n, h] == pytest.approx(mean / (max(var, 1e-12) / len(d)) ** 0.5)
+
+
+def test_bootstrap_spearman_equals_brute_force(spark):
+    rng, b, names = random.Random(8), 40, 9
+    rows = [(f"n{k}", dt.date(2024, 1, 1 + i), float(rng.randrange(12)), float(rng.randrange(12)), 0.0) for k in range(names) for i in range(5)]
+    scored = spark.createDataFrame(rows, "name string, t date, y double, yhat double, persistence double")
+    picks = spark.range(b * names).select(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(names)).alias("i")).collect()
+
+    def ranks(v):
+        return [sum(x < a for x in v) + (v.count(a) + 1) / 2 for a in v]
+
+    rhos = []
+    for k in range(b):
+        drawn = [r for p in picks[k * names : (k + 1) * names] for r in rows if r[0] == f"n{p['i']}"]
+        rhos.append(np.corrcoef(ranks([r[2] for r in drawn]), ranks([r[3] for r in drawn]))[0, 1])
+    got = {r["metric"]: (r["lo"], r["median"], r["hi"]) for r in J.cluster_bootstrap(scored, b).collect()}
+    assert set(got) == {"r2", "spearman", "skill"}
+    assert got["spearman"] == pytest.approx(np.percentile(rhos, [2.5, 50, 97.5]), abs=1e-9)
+
+
+def test_resampling_takes_2000_replicates(spark):
+    rows = [(f"n{k}", dt.date(2024, 1, 1), float(k), float(k), 0.0) for k in range(12)]
+    scored = spark.createDataFrame(rows, "name string, t date, y double, yhat double, persistence double")
+    for blocks in (True, False):
+        assert J.permutation_p(scored, blocks=blocks).first()["p"] == pytest.approx(1 / 2001)
