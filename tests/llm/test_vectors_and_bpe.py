@@ -81,3 +81,46 @@ def test_prefix_table_appends_and_edits(vocabulary):
     table.replace(6, 9, b"XyZq")
     assert table.ids() == bpe.merge_bytes(text[:6] + b"XyZq" + text[9:], v.ranks)
     assert bpe.Prefixes(v).ids() == []
+
+
+def test_seam_test_equals_merging_both_tokens(vocabulary):
+    v = bpe.Vocabulary.load(*vocabulary)
+    rng = np.random.default_rng(7)
+    pairs = [tuple(rng.integers(0, len(v.token), 2).tolist()) for _ in range(4000)]
+    for word in ("internationalisation", "Donaudampfschifffahrt", "aaaaaaaaaa", "don't-they", "0123456789"):
+        data = word.encode()
+        for cut in range(1, len(data)):
+            pairs += [(a, b) for a in [v.ranks.get(data[i:cut]) for i in range(cut)] for b in [v.ranks.get(data[cut:j]) for j in range(cut + 1, len(data) + 1)] if a is not None and b is not None]
+    for a, b in pairs:
+        assert v.apart(a, b) == (bpe.merge_bytes(v.token[a] + v.token[b], v.ranks) == [a, b])
+
+
+def test_edits_stop_where_the_table_rejoins(vocabulary):
+    v, rng = bpe.Vocabulary.load(*vocabulary), np.random.default_rng(3)
+    data = bytes(rng.choice(list(b"abcdefgh"), 4000).tolist())
+    table = bpe.Prefixes(v, data)
+    for at, end, new in ((1000, 1003, b"XYZ"), (5, 5, b"more"), (3900, 4000, b""), (0, 2, b""), (200, 230, b"e")):
+        data = data[:at] + new + data[end:]
+        again = table.replace(at, end, new)
+        assert table.data == data and table.last == bpe.Prefixes(v, data).last and again < 300
+
+
+def test_text_edits_cut_only_the_pieces_around_them(vocabulary):
+    v, rng = bpe.Vocabulary.load(*vocabulary), np.random.default_rng(11)
+    parts = ["don't", " we'll", "  ", "\n\n", " 12", "345", "über", " =-=", "x", "'", "re", "\t ", " naïve"]
+    text = "".join(rng.choice(parts, 400))
+    held = bpe.Encoded(v, text)
+    for _ in range(300):
+        a, b = sorted(rng.integers(0, len(text) + 1, 2).tolist())
+        b = min(b, a + int(rng.integers(0, 6)))
+        new = "".join(rng.choice(parts, int(rng.integers(0, 3))))
+        text = text[:a] + new + text[b:]
+        cut = held.replace(a, b, new)
+        assert held.text == text and held.pieces == v.pattern.findall(text) and held.ids() == v.encode(text) and cut < 40
+    held.append(" tail")
+    assert held.ids() == v.encode(text + " tail") and bpe.Encoded(v).ids() == b""
+
+
+def test_repeated_rows_are_encoded_alike(spark, vocabulary):
+    df = spark.createDataFrame([(1, "same text"), (1, "same text"), (None, "same text")], "doc_id bigint, text string")
+    assert len({bytes(r["ids"]) for r in bpe.encode_documents(df, *vocabulary).collect()}) == 1
