@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
-import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
-_MASK = (1 << 64) - 1
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -31,38 +28,9 @@ def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-class WordHasher:
-    """64-bit hashes of byte spans: a random-table polynomial by prefix sums, then ``mix64``.
-
-    The whole buffer is hashed with a handful of vector operations; no loop over words.
-    """
-
-    def __init__(self, seed: int):
-        rng = np.random.default_rng(seed)
-        self.table = rng.integers(0, 1 << 63, 256, np.int64).view(np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(rng.integers(1 << 60, 1 << 62)) | 5
-        self.inverse = pow(self.base, -1, 1 << 64)
-        self.powers = self.inverses = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        def table(base: int) -> np.ndarray:
-            out, step = np.ones(1, np.uint64), base
-            while len(out) < n:
-                out = np.concatenate([out, out * np.uint64(step)])
-                step = step * step & _MASK
-            return out
-
-        if len(self.powers) < n:
-            self.powers, self.inverses = table(self.base), table(self.inverse)
-
-    def hash(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if not len(starts):
-            return np.zeros(0, np.uint64)
-        self._grow(len(buf) + 1)
-        sums = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(self.table[buf] * self.powers[: len(buf)], out=sums[1:])
-        length = (ends - starts).astype(np.uint64)
-        return mix64((sums[ends] - sums[starts]) * self.inverses[starts] + length * ODD)
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """XXH3 (64 bits) of every word."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
 
 
 def roll(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -77,24 +45,24 @@ def roll(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix64(out)
 
 
-def joined(texts: list) -> tuple[np.ndarray, np.ndarray]:
-    """The texts as one UTF-8 buffer with a line feed after each, and the start of each text."""
-    parts = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
-    offsets = np.zeros(len(parts) + 1, np.int64)
-    np.cumsum([len(p) + 1 for p in parts], out=offsets[1:])
-    return np.frombuffer(b"\n".join([*parts, b""]), np.uint8), offsets
-
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors see, as ``spark.checkpoint.dir`` names it.
 
-def batch_of(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+    A local session needs no other machine, so there the folder may be unset; Spark's own local folder is used then.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{spark.conf.get('spark.local.dir', '/tmp').split(',')[0]}/spark-{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir`` (set here only where it is unset)."""
-    spark: SparkSession = df.sparkSession
-    sc = spark.sparkContext
+    """Cut lineage with a reliable checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoints-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
