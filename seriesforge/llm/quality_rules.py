@@ -13,35 +13,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.textkit import WordHasher, joined, roll, word_spans
-
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
-#: Phrases (lower case) of notices and page furniture; fixed values of the boilerplate rule.
+#: Phrases (lower case) of notices and page furniture in English, German, French and Spanish; fixed values of the boilerplate rule.
 BOILERPLATE = (
-    "all rights reserved",
-    "cookie policy",
-    "privacy policy",
-    "terms of service",
-    "terms of use",
-    "subscribe to our newsletter",
-    "sign up for our newsletter",
-    "click here to",
-    "enable javascript",
-    "licensed under the",
-    "skip to content",
+    "all rights reserved", "cookie policy", "we use cookies", "accept all cookies", "privacy policy", "terms of service", "terms of use",
+    "subscribe to our newsletter", "sign up for our newsletter", "click here to", "enable javascript", "licensed under the", "skip to content",
+    "alle rechte vorbehalten", "datenschutzerklärung", "datenschutz |", "nutzungsbedingungen", "cookie-richtlinie", "wir verwenden cookies",
+    "newsletter abonnieren", "zum inhalt springen", "klicken sie hier",
+    "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "mentions légales", "nous utilisons des cookies",
+    "abonnez-vous à notre newsletter", "aller au contenu", "cliquez ici",
+    "todos los derechos reservados", "política de privacidad", "términos de uso", "condiciones de uso", "aviso legal", "utilizamos cookies",
+    "suscríbete a nuestro boletín", "saltar al contenido", "haga clic aquí",
+)
+#: Entries (lower case) of site menus in the same languages; fixed values of the navigation rule.
+MENU = frozenset(
+    """home about contact login logout register search news blog shop cart basket help faq faqs sitemap menu account profile products services
+    support careers jobs press downloads forum archive categories tags next previous back top more share subscribe sign in up us
+    startseite über kontakt anmelden abmelden registrieren suche suchen nachrichten warenkorb hilfe konto produkte leistungen karriere presse
+    impressum datenschutz agb weiter zurück mehr teilen uns
+    accueil propos connexion déconnexion inscription recherche rechercher actualités boutique panier aide compte produits carrières
+    suivant précédent retour plus partager nous
+    inicio acerca contacto entrar salir registro registrarse buscar noticias tienda carrito ayuda cuenta productos servicios empleo
+    siguiente anterior volver más compartir nosotros""".split()
 )
 #: Separators that stand alone between the entries of menus and bread crumbs.
 SEPARATORS = ("|", ">", "»", "/", "•", "·")
 LONG_LINE_WORDS = 20
 MAX_LOST = 0.5
-_HASHER = WordHasher(8)
+_SENTENCE = re.compile(r"[.!?:;…。！？]")
 
 
 def line_verdict(line: str) -> str | None:
-    """The first rule that a line fails: punctuation, navigation, boilerplate; None if it passes (blank lines do).
+    """The first rule that a line fails: navigation, punctuation, boilerplate; None if it passes (blank lines do).
 
-    navigation: at least three lone separators, and one for every four other words or more;
+    navigation: at least three lone separators, and one for every four other words or more; or four entries or more
+    of at most three words, parted by tabs, without a sentence mark; or at most 15 words, without a sentence mark,
+    of which three or more and at least two thirds are menu entries;
     punctuation: symbols or exclamation marks end at least 30 % of 5 words or more, or a line of 20 words or more
     has no sentence mark at all;
     boilerplate: the line holds a known phrase and has at most 40 words.
@@ -50,28 +57,45 @@ def line_verdict(line: str) -> str | None:
     if not words:
         return None
     n = len(words)
-    alone = sum(w in SEPARATORS for w in words)
+    alone = sum(map(words.count, SEPARATORS))
     if alone >= 3 and 4 * alone >= n - alone:
         return "navigation"
+    if n >= 3 and (n <= 15 or "\t" in line) and not _SENTENCE.search(line):
+        entries = [e.split() for e in line.strip().split("\t") if e.strip()]
+        if len(entries) >= 4 and max(map(len, entries)) <= 3:
+            return "navigation"
+        if n <= 15 and (known := sum(w.lower() in MENU for w in words)) >= 3 and 3 * known >= 2 * n:
+            return "navigation"
     odd = sum(w[-1] in SYMBOLS or w.endswith("!!") for w in words)
     if n >= 5 and 10 * odd >= 3 * n:
         return "punctuation"
-    if n >= LONG_LINE_WORDS and not re.search(r"[.!?:;…。！？]", line):
+    if n >= LONG_LINE_WORDS and not _SENTENCE.search(line):
         return "punctuation"
-    low = line.lower()
-    if n <= 40 and any(p in low for p in BOILERPLATE):
-        return "boilerplate"
+    if n <= 40:
+        low = line.lower()
+        if any(p in low for p in BOILERPLATE):
+            return "boilerplate"
     return None
 
 
-def n_repeat_words(hashes: np.ndarray, width: int = 8) -> int:
-    """Words inside windows of ``width`` words that the text has twice or more, the first included."""
-    windows = roll(hashes, width)
-    if len(windows) < 2:
+def n_repeat_words(words: list[bytes], width: int = 8) -> int:
+    """Words inside windows of ``width`` words that the text has twice or more, the first included.
+
+    Words are numbered by value and windows by the numbers of two shorter windows that cover them, so equal numbers
+    are equal words and nothing is hashed.
+    """
+    n, seen = len(words), {}
+    number = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, n)
+    if n <= width or len(seen) == n:
         return 0
-    _, inverse, counts = np.unique(windows, return_inverse=True, return_counts=True)
-    at = np.flatnonzero(counts[inverse] > 1)
-    edge = np.zeros(len(hashes) + 1, np.int64)
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        left, right = number[: len(number) - step], number[step:]
+        number = np.unique(left * (int(number.max()) + 1) + right, return_inverse=True)[1]
+        have += step
+    at = np.flatnonzero(np.bincount(number)[number] > 1)
+    edge = np.zeros(n + 1, np.int64)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + width, -1)
     return int((np.cumsum(edge)[:-1] > 0).sum())
@@ -80,14 +104,12 @@ def n_repeat_words(hashes: np.ndarray, width: int = 8) -> int:
 def measure(text: str | None) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lines lost by rule, words kept, cleaned text."""
     text = text or ""
-    buf, _ = joined([text])
-    starts, ends = word_spans(buf)
-    lead = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
-    chars = int((lead[ends] - lead[starts]).sum())
-    symbols = sum(text.count(c) for c in SYMBOLS)
+    words = text.encode("utf-8", "surrogatepass").split()  # the bytes 0x20 and 0x09-0x0D part words
+    chars = len(b"".join(words).decode("utf-8", "surrogatepass"))
+    symbols = sum(map(text.count, SYMBOLS))
     seen, dup, lost, kept, kept_words = set(), 0, {"punctuation": 0, "navigation": 0, "boilerplate": 0}, [], 0
     for line in text.split("\n"):
-        n = len(WORD.findall(line.encode("utf-8")))
+        n = len(line.encode("utf-8", "surrogatepass").split())
         if n:
             dup += line in seen
             seen.add(line)
@@ -98,7 +120,7 @@ def measure(text: str | None) -> tuple:
             kept.append(line)
             kept_words += n
     clean = text if not any(lost.values()) else "\n".join(kept)
-    return len(starts), chars, symbols, dup, n_repeat_words(_HASHER.hash(buf, starts, ends)), *lost.values(), kept_words, clean
+    return len(words), chars, symbols, dup, n_repeat_words(words), *lost.values(), kept_words, clean
 
 
 _NEW = (
