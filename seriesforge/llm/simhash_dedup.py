@@ -1,38 +1,54 @@
 """SimHash near-dedup with pivot distance tables.
 
-Documents collapse to distinct fingerprints first, so exact copies cost one partial aggregate. Pairs to look at come
-from fingerprints that agree on all but ``radius`` of a few bit blocks (any two that differ in at most ``radius``
-bits must agree on the others), dealt out by the agreeing bits. Within such a bucket every fingerprint has its
-row of the pivot distance table, its Hamming distances to many reference fingerprints: by the triangle inequality a
-pair whose rows differ by more than ``radius`` in any coordinate cannot be near and is discarded; survivors are
-verified by the distance itself. Links go to the distributed component search.
+Documents collapse to distinct fingerprints first, so exact copies cost one partial aggregate. Every distinct
+fingerprint gets its row of the pivot distance table once: its Hamming distances to many reference fingerprints, one
+byte each. Pairs to look at come from fingerprints that agree on all but ``radius`` of a few bit blocks (any two that
+differ in at most ``radius`` bits must agree on the others), dealt out by the agreeing bits; a bucket of agreeing bits that
+holds more than a tile is cut into chunks, and pairs of chunks are the tiles. Inside a tile rows are in the order of
+their distance to the first reference: by the triangle inequality partners lie in a window of ``radius`` around it, pairs
+whose rows differ by more than ``radius`` in any other coordinate are discarded too, and survivors are verified by the
+distance itself. Links go to the distributed component search.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesforge.llm.components import connected_components, forest
-from seriesforge.llm.textkit import ODD, WordHasher, cut, hot_join, joined, mix64, roll, word_spans
+from seriesforge.llm.textkit import ODD, cut, hot_join, mix64, roll, word_hashes
 
 SEED = 42
-_HASHER = WordHasher(4)
-#: Reference fingerprints of the pivot table, and how many there are.
+#: Reference fingerprints of the pivot table; a row of it fills three 64-bit integers.
 PIVOTS = 24
+FAR = ("far0", "far1", "far2")
+#: Rows of a chunk; a tile compares one chunk with itself or with another.
+TILE = 2048
+#: Hot buckets that may be broadcast (bucket key and number of chunks, some 20 bytes each).
+MAX_BROADCAST_ROWS = 100_000
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
     return np.random.default_rng(64).integers(0, 1 << 63, n, np.int64).view(np.uint64) * np.uint64(2)
 
 
+def pivot_rows(fp: np.ndarray) -> np.ndarray:
+    """The pivot distance table of some fingerprints, one row of ``PIVOTS`` bytes each, as three integers."""
+    return np.ascontiguousarray(np.bitwise_count(fp[:, None] ^ pivots()[None, :]).astype(np.uint8)).view("<i8")
+
+
+def distances(far: np.ndarray) -> np.ndarray:
+    """Rows of three integers as rows of distances."""
+    return np.ascontiguousarray(far).view(np.uint8).astype(np.int8)
+
+
 def majority(h: np.ndarray) -> int:
     """Bit i is set if it is set in over half of the 64-bit hashes."""
     ones = np.zeros(64, np.int64)
@@ -76,72 +92,103 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _inside_runs(
-    batches: Iterator[pa.RecordBatch], width: int, pairs: Callable[..., Iterator[pa.RecordBatch]]
-) -> Iterator[pa.RecordBatch]:
-    """Calls ``pairs`` with the columns of whole buckets, runs of equal values in the first two of ``width`` sorted columns."""
-    held: list[np.ndarray] | None = None
+def with_pivots(distinct: DataFrame) -> DataFrame:
+    """The rows with ``far0`` to ``far2``, the pivot distances of ``fp``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            far = pivot_rows(b.column("fp").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(far[:, c]) for c in range(3)]], names=[*b.schema.names, *FAR])
+
+    return distinct.mapInArrow(run, distinct.withColumns({c: F.lit(0).cast("long") for c in FAR}).schema)
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Whole runs of rows that agree in the key columns, several runs to a table, of rows sorted by them."""
+    held = None
     for b in batches:
-        if not b.num_rows:
+        t = pa.Table.from_batches([b])
+        t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+        if not t.num_rows:
             continue
-        now = [b.column(c).to_numpy() for c in range(width)]
-        if held is not None:
-            now = [np.concatenate(p) for p in zip(held, now, strict=True)]
-        last = np.flatnonzero((now[0] == now[0][-1]) & (now[1] == now[1][-1]))[0]
-        held = [x[last:] for x in now]  # its bucket may go on in the next batch
-        if last:
-            yield from pairs(*[x[:last] for x in now])
-    if held is not None:
-        yield from pairs(*held)
-
-
-def _partners(run: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows of one run, for all runs at once, distance by distance; ``run`` numbers the sorted rows."""
+        last = np.logical_and.reduce([(x := t[k].to_numpy()) == x[-1] for k in keys])
+        end = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+        held = t.slice(end)  # this run may go on in the next batch
+        if end:
+            yield t.slice(0, end)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _run_numbers(t: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    new = np.logical_or.reduce([(x := t[k].to_numpy())[1:] != x[:-1] for k in keys])
+    return np.cumsum(np.concatenate([[0], new]))
+
+
+def _partners(run: np.ndarray, near: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one run, for all runs at once, distance by distance, while ``near`` (sorted in a run) differs by ``reach`` at most."""
     i, step = np.arange(len(run)), 1
     while True:
         i = i[i + step < len(run)]
-        i = i[run[i] == run[i + step]]
+        i = i[(run[i] == run[i + step]) & (near[i + step] - near[i] <= reach)]
         if not len(i):
             return
         yield i, i + step
         step += 1
 
 
-def _run_numbers(m: np.ndarray, k: np.ndarray) -> np.ndarray:
-    return np.cumsum(np.concatenate([[0], (m[1:] != m[:-1]) | (k[1:] != k[:-1])]))
+def _either(small: DataFrame) -> DataFrame:
+    """The table to join: broadcast below ``MAX_BROADCAST_ROWS`` rows, by shuffle beyond."""
+    return F.broadcast(small) if small.count() <= MAX_BROADCAST_ROWS else small
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_TILE = ("m", "k", "i", "j")
+
+
+def _upto(n: Column, start: Column | int = 0) -> Column:
+    """start, ..., n - 1 (empty where start is n)."""
+    start = start if isinstance(start, Column) else F.lit(start).cast("long")
+    return F.when(start < n, F.sequence(start, n - 1)).otherwise(F.array().cast("array<bigint>"))
 
 
-def near_links(distinct: DataFrame, radius: int = 4, blocks: int | None = None, spanning: bool = False) -> DataFrame:
+def near_links(distinct: DataFrame, radius: int = 4, blocks: int | None = None, spanning: bool = False, tile_rows: int = TILE) -> DataFrame:
     """(a, b): ids of distinct fingerprints ``(fp, id)`` that differ in at most ``radius`` bits.
 
-    ``spanning``: a link between two fingerprints that earlier links of their bucket already connect is left out, so a
+    ``spanning``: a link between two fingerprints that earlier links of their tile already connect is left out, so a
     tight group gives a number of links that is linear in its size; what is reachable stays the same.
     """
+    table = cut(distinct if FAR[0] in distinct.columns else with_pivots(distinct))
     if blocks is None:
-        n = distinct.count()
+        n = table.count()
         blocks = radius + (2 if n < 1 << 20 else 3 if n < 1 << 26 else 4)
     masks = block_masks(radius, blocks)
-    table = pivots()
-    keyed = distinct.select(
-        "fp", "id",
+    keyed = table.select(
+        "fp", "id", *FAR,
         F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")).alias("k")) for i, m in enumerate(masks)])).alias("x"),
-    ).select(F.col("x.m").alias("m"), F.col("x.k").alias("k"), "fp", "id")
-
-    def links(m: np.ndarray, k: np.ndarray, fp: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-        run = _run_numbers(m, k)
-        paired = np.bincount(run)[run] > 1
-        run, fp, ids = run[paired], fp[paired].view(np.uint64), ids[paired]
-        rows = np.bitwise_count(fp[:, None] ^ table[None, :]).astype(np.int8)
+    ).select("x.m", "x.k", "fp", "id", *FAR)
+    hot = cut(keyed.groupBy("m", "k").agg(F.ceil(F.count("*") / tile_rows).alias("parts")).filter("parts > 1"))
+    split = keyed.join(_either(hot), ["m", "k"], "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    mine = split.withColumn("side", F.pmod(F.xxhash64("fp"), F.col("parts")))
+    low = F.transform(_upto(F.col("parts"), F.col("side")), lambda j: F.struct(F.col("side").alias("i"), j.alias("j")))
+    high = F.transform(_upto(F.col("side")), lambda i: F.struct(i.alias("i"), F.col("side").alias("j")))
+    tiles = mine.withColumn("t", F.explode(F.concat(low, high))).select("m", "k", "t.i", "t.j", "side", "fp", "id", *FAR)
+
+    def links(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        run = _run_numbers(t, _TILE)
+        t = t.filter(pa.array(np.bincount(run)[run] > 1))
+        if not t.num_rows:
+            return
+        run, fp, ids = _run_numbers(t, _TILE), t["fp"].to_numpy().view(np.uint64), t["id"].to_numpy()
+        rows, side, within = distances(np.stack([t[c].to_numpy() for c in FAR], axis=1)), t["side"].to_numpy(), t["i"].to_numpy() == t["j"].to_numpy()
         label = np.arange(len(run))
-        for i, j in _partners(run):
+        for x, y in _partners(run, rows[:, 0], radius):
+            new = within[x] | (side[x] != side[y])
             if spanning:
-                apart = label[i] != label[j]
-                i, j = i[apart], j[apart]
-            near = np.abs(rows[i] - rows[j]).max(axis=1) <= radius
-            x, y = i[near], j[near]
+                new &= label[x] != label[y]
+            x, y = x[new], y[new]
+            near = np.abs(rows[x] - rows[y]).max(axis=1, initial=0) <= radius
+            x, y = x[near], y[near]
             same = np.bitwise_count(fp[x] ^ fp[y]) <= radius
             x, y = x[same], y[same]
             if len(x):
@@ -150,9 +197,11 @@ def near_links(distinct: DataFrame, radius: int = 4, blocks: int | None = None,
                     label = forest(len(run), label[x], label[y])[label]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _inside_runs(batches, 4, links)
+        for t in sorted_groups(batches, _TILE):
+            yield from links(t)
 
-    return keyed.repartition("m", "k").sortWithinPartitions("m", "k", "fp").mapInArrow(run, "a bigint, b bigint")
+    ordered = tiles.repartition(*_TILE).sortWithinPartitions(*_TILE, F.col("far0").bitwiseAND(F.lit(255).cast("long")))
+    return ordered.mapInArrow(run, "a bigint, b bigint")
 
 
 def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
@@ -166,7 +215,7 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     distinct = counted.select("fp", "id")
     named = distinct.filter("id IS NOT NULL")
     # fingerprints met only in rows without an id still carry links, under stand-in ids above all others
-    links = near_links(distinct.withColumn("id", F.col("fp")), radius, spanning=True)
+    links = near_links(with_pivots(distinct.withColumn("id", F.col("fp"))), radius, spanning=True)
     parts = connected_components(links)
     least = parts.join(named, parts["node"] == named["fp"]).groupBy("component").agg(F.min("id").alias("least"))
     label = parts.join(least, "component").select(F.col("node").alias("fp"), "least")
@@ -183,13 +232,14 @@ BANDS, BAND_ROWS = 14, 4
 WIDE_RADIUS = 28
 
 
+#: Members and shingles of a chunk of a hub's group; a tile holds two chunks at most.
+CHUNK_ROWS, CHUNK_SHINGLES = 512, 1 << 19
+
+
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     """Distinct 64-bit hashes of the lower-cased word shingles (fewer words: the whole sequence; none: none)."""
-    buf, _ = joined([(text or "").encode("utf-8").lower().decode("utf-8")])
-    starts, ends = word_spans(buf)
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    return np.unique(roll(_HASHER.hash(buf, starts, ends), min(shingle, len(starts))))
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return np.unique(roll(word_hashes(words), min(shingle, len(words)))) if words else np.zeros(0, np.uint64)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -197,33 +247,52 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(1, len(a) + len(b) - both)
 
 
-#: Rows of either side of a tile in which the rest of a bucket is compared.
-TILE = 2048
+def similar(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the Jaccard similarity of each pair of sets reaches ``similarity``: few pairs one by one, many by
+    products of blocks of the 0/1 membership matrix."""
+    if len(i) <= 2 * len(sets):
+        return np.array([jaccard(sets[x], sets[y]) >= similarity for x, y in zip(i.tolist(), j.tolist(), strict=True)], bool)
+    size = np.array(list(map(len, sets)))
+    row = np.repeat(np.arange(len(sets)), size)
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = held[column] > 1  # members of one set alone are in no intersection
+    row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, [start, start + 4096])
+        member = np.zeros((len(sets), 4096), np.float32)
+        member[row[a:b], column[a:b] - start] = 1
+        both += member @ member.T
+    inside = both[i, j].astype(np.float64)
+    return inside >= similarity * np.maximum(size[i] + size[j] - inside, 1) - 1e-9
 
 
 def similar_groups(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, tile_rows: int = TILE
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """(id, component) of the documents that have a near copy: Jaccard similarity of word shingles of 0.8 or more.
 
     Documents with one set of shingles collapse to the smallest id. A SimHash of the distinct shingles differs in about
-    ten of 64 bits at that similarity, too many for blocks of agreeing bits, so the candidates come from bands of least shingle hashes.
-    First every member of a band bucket is paired with the bucket's smallest and largest id, which is linear in the
-    bucket and settles buckets of one group. In buckets that still hold several groups the members outside the
-    first one's group are then compared with all members of other groups, in tiles of bounded size: every pair that
-    shares a bucket is tested or already connected. In both steps the pivot distance table discards pairs whose
-    fingerprints cannot be near, the fingerprints' own distance more, and the exact similarity of the two whole texts
-    decides. Groups are the components of the links. Texts without words and null ids take no part; an input of one
-    row per id is expected (further rows of an id follow its first).
+    ten of 64 bits at that similarity, too many for blocks of agreeing bits, so candidates share a band of least
+    shingle hashes. All that share a band bucket meet in the group of its smallest id, the hub, so a document is sent
+    once per hub, not once per band. Groups are cut into chunks of bounded size, each with the hub in it. Inside a
+    chunk the pivot distances and then the fingerprints discard pairs that cannot be near, and the survivors' whole
+    texts are compared, with the hub first and then all pairs not yet connected; a chunk returns a spanning forest
+    of its links, never a row per pair. In groups of several chunks the members that did not join their hub are then
+    compared with all members of the other chunks that are not in their component. So every pair that shares a bucket is tested
+    or already connected. Texts without words and null ids take no part; an input of one row per id is expected
+    (further rows of an id follow its first).
     """
-    table, rows_per = pivots(), BANDS * BAND_ROWS
+    rows_per = BANDS * BAND_ROWS
     keys = np.random.default_rng(5).integers(1, 1 << 62, rows_per, np.int64).view(np.uint64) * np.uint64(2) + np.uint64(1)
     sized = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    schema = pa.schema([("id", pa.int64()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64())), ("same", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("fp", pa.int64()), *[(c, pa.int64()) for c in FAR], ("n", pa.int64()), ("keys", pa.list_(pa.int64())), ("same", pa.binary())])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, fps, bands, sets = [], [], [], []
+            ids, fps, sizes, bands, sets = [], [], [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 h = shingle_hashes(text, shingle)
                 if not len(h):
@@ -235,77 +304,98 @@ def similar_groups(
                 key = mix64(least.reshape(BANDS, BAND_ROWS) * ODD)
                 for k in range(1, BAND_ROWS):
                     key[:, 0] = mix64(key[:, 0] * ODD + key[:, k])
-                ids.append(i), fps.append(_signed(majority(h))), bands.append(key[:, 0].view(np.int64).tolist())
+                ids.append(i), fps.append(majority(h)), sizes.append(len(h)), bands.append(key[:, 0].view(np.int64).tolist())
                 sets.append(xxhash.xxh3_128_digest(h.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, fps, bands, sets), schema, strict=True)], schema=schema)
+            fp = np.array(fps, np.uint64)
+            columns = (ids, fp.view(np.int64), *pivot_rows(fp).T, sizes, bands, sets)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    def forest_of(t: pa.Table, across: bool) -> pa.RecordBatch:
+        """Spanning links of one chunk, or between the strays and the members of a pair of chunks."""
+        ids, fp, size = t["id"].to_numpy(), t["fp"].to_numpy().view(np.uint64), t["n"].to_numpy()
+        rows = distances(np.stack([t[c].to_numpy() for c in FAR], axis=1))
+        if across:
+            stray, group = t["stray"].to_numpy() == 1, t["group"].to_numpy()
+            one, two = np.flatnonzero(stray), np.flatnonzero(~stray)
+        else:
+            one = two = np.arange(len(ids))
+        near = np.ones((len(one), len(two)), bool)
+        for c in range(PIVOTS):
+            near &= np.abs(rows[one, c][:, None] - rows[two, c][None, :]) <= WIDE_RADIUS
+        near &= np.bitwise_count(fp[one][:, None] ^ fp[two][None, :]) <= WIDE_RADIUS
+        near &= np.minimum(size[one][:, None], size[two][None, :]) >= similarity * np.maximum(size[one][:, None], size[two][None, :])
+        near &= (group[one][:, None] != group[two][None, :]) if across else (one[:, None] < two[None, :])
+        i, j = np.nonzero(near)
+        i, j = one[i], two[j]
+        used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+        if not len(used):
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, schema=_PAIR)
+        i, j = at[: len(i)], at[len(i) :]
+        texts, same = t["text"].take(pa.array(used)).to_pylist(), t["same"].take(pa.array(used)).to_pylist()
+        sets = [shingle_hashes(x, shingle) for x in texts]
+        # another row of the same id has another set; it is not the one that was signed
+        signed = np.array([xxhash.xxh3_128_digest(h.tobytes()) == s for h, s in zip(sets, same, strict=True)])
+        valid = signed[i] & signed[j]
+        i, j = i[valid], j[valid]
+        label = np.arange(len(used))
+        if not across:
+            hub = ids[used] == t["hub"][0].as_py()
+            first = hub[i] | hub[j]
+            on = similar(sets, i[first], j[first], similarity)
+            label = forest(len(used), i[first][on], j[first][on])
+            rest = ~first & (label[i] != label[j])
+            i, j = i[rest], j[rest]
+        on = similar(sets, i, j, similarity)
+        label = forest(len(used), label[i[on]], label[j[on]])[label]
+        moved = np.flatnonzero(label != np.arange(len(used)))
+        return pa.RecordBatch.from_arrays([pa.array(ids[used[moved]]), pa.array(ids[used[label[moved]]])], schema=_PAIR)
+
+    def tiled(keys: tuple[str, ...], across: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for t in sorted_groups(batches, keys):
+                edges = np.flatnonzero(np.diff(_run_numbers(t, keys))) + 1
+                for a, b in zip([0, *edges], [*edges, t.num_rows], strict=True):
+                    if b - a > 1:
+                        yield forest_of(t.slice(a, b - a), across)
+
+        return run
+
+    signed = cut(sized.mapInArrow(sign, f"id bigint, fp bigint, {', '.join(f'{c} bigint' for c in FAR)}, n bigint, keys array<bigint>, same binary"))
+    copies = cut(signed.groupBy("same").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("fp", *FAR, "n", "keys")], F.count("*").alias("held")))
+    keyed = copies.select("id", "n", F.posexplode("keys").alias("band", "key"))
+    total = copies.count()
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (batch.column(c).to_numpy().view(np.uint64) for c in (2, 3))
-            far = np.abs(np.bitwise_count(x[:, None] ^ table).astype(np.int8) - np.bitwise_count(y[:, None] ^ table).astype(np.int8)).max(axis=1)
-            yield batch.filter(pa.array((far <= WIDE_RADIUS) & (np.bitwise_count(x ^ y) <= WIDE_RADIUS))).select(["a", "b"])
+    buckets = keyed.groupBy("band", "key").agg(F.min("id").alias("hub"), F.count("*").alias("held")).filter("held > 1")
+    members = cut(hot_join(keyed, buckets, ["band", "key"], "held", BANDS * total).select("hub", "id", "n").distinct())
+    cost = F.greatest(F.count("*") / chunk_rows, F.sum("n") / CHUNK_SHINGLES)
+    hubs = members.groupBy("hub").agg(F.count("*").alias("held"), F.ceil(cost).alias("parts"))
+    placed = cut(hot_join(members, hubs, "hub", "held", members.count()).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts"))))
+    told = copies.select("id", "fp", *FAR, "n", "same")
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same = [jaccard(shingle_hashes(x, shingle), shingle_hashes(y, shingle)) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield batch.filter(pa.array(same, pa.bool_())).select(["a", "b"])
-
-    def similar(candidates: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose whole texts are similar."""
-        left, right = sized.select(F.col("id").alias("a"), F.col("text").alias("ta")), sized.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-        return candidates.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(verify, "a bigint, b bigint")
-
-    def across(m: np.ndarray, k: np.ndarray, fp: np.ndarray, ids: np.ndarray, group: np.ndarray, stray: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Pairs of a stray and a member of another group, inside one tile, that the pivot table cannot discard."""
-        run, fp = _run_numbers(m, k), fp.view(np.uint64)
-        rows = np.bitwise_count(fp[:, None] ^ table[None, :]).astype(np.int8)
-        edges = np.searchsorted(run, np.arange(run[-1] + 2))
-        for at in np.flatnonzero(stray == 1):
-            j = np.arange(edges[run[at]], edges[run[at] + 1])
-            j = j[(stray[j] == 0) & (group[j] != group[at])]
-            j = j[np.abs(rows[j] - rows[at]).max(axis=1, initial=0) <= WIDE_RADIUS]
-            j = j[np.bitwise_count(fp[j] ^ fp[at]) <= WIDE_RADIUS]
-            if len(j):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[j], ids[at])), pa.array(np.maximum(ids[j], ids[at]))], schema=_PAIR)
-
-    def across_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _inside_runs(batches, 6, across)
-
-    signed = cut(sized.mapInArrow(sign, "id bigint, fp bigint, keys array<bigint>, same binary"))
-    copies = cut(signed.groupBy("same").agg(F.min("id").alias("id"), F.min_by("fp", "id").alias("fp"), F.first("keys").alias("keys"), F.count("*").alias("held")))
-    keyed = copies.select("id", "fp", F.posexplode("keys").alias("band", "key"))
-    total = copies.count()
+    def with_texts(tiles: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        return tiles.join(told, "id").join(sized, "id").repartition(*keys).sortWithinPartitions(*keys, "id")
 
-    hubs = keyed.groupBy("band", "key").agg(F.min(F.struct("id", "fp")).alias("lo"), F.max(F.struct("id", "fp")).alias("hi"), F.count("*").alias("held")).filter("lo.id < hi.id")
-    met = hot_join(keyed, hubs, ["band", "key"], "held", BANDS * total)
-    pairs = met.select("id", "fp", F.explode(F.array("lo", "hi")).alias("hub")).filter("id <> hub.id").select(
-        F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"),
-        F.when(F.col("id") < F.col("hub.id"), F.col("fp")).otherwise(F.col("hub.fp")).alias("fa"),
-        F.when(F.col("id") < F.col("hub.id"), F.col("hub.fp")).otherwise(F.col("fp")).alias("fb"),
-    ).distinct()
-    tested = cut(pairs.mapInArrow(near, "a bigint, b bigint"))
-    links = cut(similar(tested))
+    chunk = F.when(F.col("id") == F.col("hub"), _upto(F.col("parts"))).otherwise(F.array("part"))
+    chunks = with_texts(placed.select("hub", "id", F.explode(chunk).alias("part")), ("hub", "part"))
+    links = cut(chunks.mapInArrow(tiled(("hub", "part"), False), "a bigint, b bigint"))
     groups = connected_components(links)
 
-    # buckets of three members or more in several groups; a stray is a member outside the group of the smallest id
-    grouped = copies.join(groups, copies["id"] == groups["node"], "left").select("id", "fp", F.coalesce("component", "id").alias("group"), "keys")
-    members = cut(grouped).select("id", "fp", "group", F.posexplode("keys").alias("band", "key"))
-    mixed = members.groupBy("band", "key").agg(
-        F.min_by("group", "id").alias("first"), F.min("group").alias("g0"), F.max("group").alias("g1"), F.count("*").alias("held")
-    ).filter("g0 < g1 AND held > 2").select("band", "key", "first", "held", F.ceil(F.col("held") / tile_rows).alias("tiles"))
-    open_ = cut(hot_join(members, mixed, ["band", "key"], "held", BANDS * total))
-    strays = open_.filter(F.col("group") != F.col("first")).groupBy("band", "key").agg(F.count("*").alias("n"), F.ceil(F.count("*") / tile_rows).alias("stray_tiles"))
-    dealt = hot_join(open_, strays, ["band", "key"], "n", BANDS * total)
-    place, mine = F.pmod(F.xxhash64("id"), F.col("tiles")), F.pmod(F.xxhash64("id", F.lit(1)), F.col("stray_tiles"))
-    kind = ("band", "key", "fp", "id", "group")
-    every = dealt.select(*kind, place.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("stray_tiles") - 1)).alias("j"), F.lit(0).cast("long").alias("stray"))
-    some = dealt.filter(F.col("group") != F.col("first")).select(
-        *kind, F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("i"), mine.alias("j"), F.lit(1).cast("long").alias("stray")
-    )
-    tile = (F.shiftleft("i", 34) + F.shiftleft("j", 4) + F.col("band")).alias("m")
-    tiles = every.union(some).select(tile, F.col("key").alias("k"), "fp", "id", "group", "stray").repartition("m", "k").sortWithinPartitions("m", "k", "id", "stray")
-    rest = cut(tiles.mapInArrow(across_tiles, "a bigint, b bigint").distinct().join(tested, ["a", "b"], "left_anti"))
-    groups = connected_components(links.union(similar(rest)))
+    # groups of several chunks; a stray is a member outside the hub's component
+    large = placed.filter("parts > 1")
+    if not large.isEmpty():
+        known = cut(large.join(groups, large["id"] == groups["node"], "left").select("hub", "id", "parts", "part", "n", F.coalesce("component", "id").alias("group")))
+        first = known.filter("id = hub").select("hub", F.col("group").alias("first"), (F.col("parts") * chunk_rows).alias("held"))
+        apart = cut(hot_join(known, first, "hub", "held", known.count()))
+        strays = apart.filter(F.col("group") != F.col("first"))
+        counts = cut(strays.groupBy("hub").agg(F.count("*").alias("held"), F.ceil(cost).alias("stray_parts")))
+        open_ = hot_join(apart, counts, "hub", "held", known.count()).withColumn("mine", F.pmod(F.xxhash64("id", F.lit(1)), F.col("stray_parts")))
+        kind = ("hub", "id", "group")
+        every = open_.select(*kind, F.col("part").alias("i"), F.explode(_upto(F.col("stray_parts"))).alias("j"), F.lit(0).alias("stray"))
+        others = F.filter(_upto(F.col("parts")), lambda i: i != F.col("part"))  # its own chunk has compared it
+        some = open_.filter(F.col("group") != F.col("first")).select(*kind, F.explode(others).alias("i"), F.col("mine").alias("j"), F.lit(1).alias("stray"))
+        pairs = with_texts(every.union(some), ("hub", "i", "j"))
+        more = pairs.mapInArrow(tiled(("hub", "i", "j"), True), "a bigint, b bigint")
+        groups = connected_components(links.union(more))
 
     final = copies.join(groups, copies["id"] == groups["node"], "left").filter("component IS NOT NULL OR held > 1")
     named = final.select("same", F.coalesce("component", "id").alias("component"), "held")

@@ -125,7 +125,7 @@ def test_quality_counts_and_verdicts(spark):
     assert got[6]["n_repeat_words"] == 119 and got[6]["base_failed"]
     assert got[7]["word_chars"] == 60000
     text = "a b c d e f g h i a b c d e f g h z"
-    assert quality_rules.measure(text)[4] == 16
+    assert quality_rules.measure(text)[4] == 16 and quality_rules.n_repeat_words(text.encode().split()[:9]) == 0
     assert quality_rules.clean_lines(df.limit(0)).count() == 0
 
 
@@ -260,8 +260,8 @@ def test_similar_groups_equal_brute_force_where_hubs_differ(spark):
     want = {i: find(i) for i in sets if sizes[find(i)] > 1}
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert {find(26), find(27), find(28)} == {26} and want[54] == 26
-    for tile in (4, 2048):
-        got = {r["id"]: r["component"] for r in simhash_dedup.similar_groups(df, tile_rows=tile).collect()}
+    for rows_per_chunk in (4, 512):
+        got = {r["id"]: r["component"] for r in simhash_dedup.similar_groups(df, chunk_rows=rows_per_chunk).collect()}
         assert got == want
     assert simhash_dedup.similar_groups(df.limit(0)).count() == 0
 
@@ -277,3 +277,134 @@ def test_similar_groups_link_copies_with_a_repeated_phrase(spark):
         assert simhash_dedup.jaccard(a, b) > 0.95
     got = simhash_dedup.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r["id"]: r["component"] for r in got} == want
+
+
+def _parity_words(n=1024):
+    """Two words that a polynomial hash modulo 2**64 cannot tell apart, whatever its base and letter values."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_fool_polynomial_hashes_are_kept_apart(spark):
+    x, y = _parity_words()
+    lead = " ".join(f"w{i}" for i in range(12))
+    df = spark.createDataFrame([(1, f"{lead} {x}"), (2, f"{lead} {y}")], "doc_id bigint, text string")
+    assert {r["dedup_removed"] for r in remove_repeated_windows(df).collect()} == {0}
+    seven = " ".join(f"w{i}" for i in range(7))
+    assert quality_rules.measure(f"{seven} {x} {seven} {y}")[4] == 0
+    assert len(simhash_dedup.shingle_hashes(x, 1)) == 1 and simhash_dedup.shingle_hashes(x, 1)[0] != simhash_dedup.shingle_hashes(y, 1)[0]
+
+
+def _brute_repeats(words, width=8):
+    windows = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
+    inside = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(width)}
+    return len(inside)
+
+
+def _brute_quality(text):
+    """The base counts in plain Python, by the words of the contract."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), sum(x in lines[:k] for k, x in enumerate(lines)), _brute_repeats(words)
+
+
+def test_quality_counts_equal_brute_force(spark, sf_dir):
+    rng = random.Random(12)
+    made = ["", None, " \t\n", "x", "a b c d", "line\r\nline\r\nother", "| a | b <c> #d\n| a | b <c> #d", " ".join(rng.choice("abc") for _ in range(90))]
+    made += [" ".join(rng.choice("ab") for _ in range(rng.randrange(30))) for _ in range(40)]
+    real = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect() if len(r["text"] or "") < 4000][:120]
+    rows = list(enumerate(made + real)) + [(0, "x"), (3, "x"), (3, "x")]  # repeated rows and ids
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(quality_rules.clean_lines(df).collect(), key=lambda r: (r["doc_id"], r["text"] or ""))
+    assert len(got) == len(rows)
+    for r in got:
+        want = _brute_quality(r["text"])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want, r["text"]
+        assert r["base_failed"] == (want[0] < 20 or 100 * want[4] > 30 * want[0])
+        lost = sum(len(x.encode().split()) for x in (r["text"] or "").split("\n") if quality_rules.line_verdict(x))
+        assert r["kept"] == (not r["base_failed"] and 2 * lost <= want[0])
+
+
+@pytest.mark.parametrize("line, rule", [
+    ("Home About Contact Login Register Search", "navigation"),
+    ("Home\tNews\tSport\tLocal Weather\tMore", "navigation"),
+    ("Startseite Über Kontakt Anmelden", "navigation"),
+    ("Home > Shop > Shoes > Red", "navigation"),
+    ("Alle Rechte vorbehalten. Datenschutz", "boilerplate"),
+    ("Tous droits réservés", "boilerplate"),
+    ("Todos los derechos reservados.", "boilerplate"),
+    ("WOW!! BUY!! NOW!! HERE!! TODAY!!", "punctuation"),
+    ("We went home and read more about the news of the day.", None),
+    ("Anna Maria Schmidt and Peter Jones", None),
+    ("", None),
+])
+def test_line_rules(line, rule):
+    assert quality_rules.line_verdict(line) == rule
+
+
+def test_hot_bucket_of_fingerprints_is_tiled(spark):
+    """Thousands of fingerprints share their upper bits, and so a bucket of every mask that keeps those."""
+    rng = np.random.default_rng(8)
+    low = rng.integers(0, 1 << 40, 3000, np.int64).view(np.uint64)
+    flips = [low[i] ^ np.bitwise_or.reduce([np.uint64(1) << np.uint64(b) for b in rng.choice(40, n, replace=False)]) for i in range(60) for n in (1, 3, 4, 5)]
+    fps = np.unique(np.concatenate([low, np.array(flips, np.uint64)])) | np.uint64(0xABCDEF << 40)
+    df = spark.createDataFrame([(int(x), i) for i, x in enumerate(fps.view(np.int64))], "fp bigint, id bigint")
+    far = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4
+    want = {(int(i), int(j)) for i, j in np.argwhere(np.triu(far, 1))}
+    got = simhash_dedup.near_links(df, 4, tile_rows=400)
+    assert {tuple(sorted((r["a"], r["b"]))) for r in got.collect()} == want and len(want) > 180
+    root = list(range(len(fps)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in want:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    links = [(r["a"], r["b"]) for r in simhash_dedup.near_links(df, 4, spanning=True, tile_rows=400).collect()]
+    told = list(range(len(fps)))
+
+    def find2(x):
+        while told[x] != x:
+            x = told[x]
+        return x
+
+    for a, b in links:
+        told[max(find2(a), find2(b))] = min(find2(a), find2(b))
+    assert [find(i) for i in root] == [find2(i) for i in told]
+
+
+def test_similar_pairs_by_matrix_equal_pair_by_pair():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 9000, np.int64).view(np.uint64)
+    sets = [np.unique(np.concatenate([base[: 200 + 40 * k], base[rng.integers(200, 9000, 60)]])) for k in range(30)] + [np.zeros(0, np.uint64)]
+    i, j = np.triu_indices(len(sets), 1)
+    want = [simhash_dedup.jaccard(sets[a], sets[b]) >= 0.8 for a, b in zip(i, j, strict=True)]
+    assert simhash_dedup.similar(sets, i, j, 0.8).tolist() == want and any(want) and not all(want)
+
+
+def test_similar_groups_on_documents_equal_brute_force(spark, sf_dir):
+    """Components of all pairs at 0.8 or more, over whole documents; the bands may miss one pair in a thousand there."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    sets = {i: simhash_dedup.shingle_hashes(t, 5) for i, t in rows if len((t or "").split())}
+    holders, root = {}, {i: i for i in sets}
+    for i, h in sets.items():
+        for x in h.tolist():
+            holders.setdefault(x, []).append(i)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    tested = {(a, b) for held in holders.values() if len(held) > 1 for a in held for b in held if a < b}
+    linked = [(a, b) for a, b in tested if simhash_dedup.jaccard(sets[a], sets[b]) >= 0.8]
+    for a, b in linked:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r["id"]: r["component"] for r in simhash_dedup.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    found = sum(got.get(a, a) == got.get(b, b) for a, b in linked)
+    assert linked and found >= 0.999 * len(linked) - 1
+    assert all(find(i) == find(c) for i, c in got.items())
