@@ -2,19 +2,21 @@
 
 Vectors are scaled to length one in double precision and turned into the principal axes of the whole table (the
 covariance is a sum over partitions, its size fixed by the dimension). Equal vectors of a label collapse first.
-Inside a label, vectors are cut into blocks along the first axis; two blocks further apart on it than any pair at
-the threshold can be are never compared. Within a tile of two blocks the leading axes are multiplied first; what
-the remaining axes can still add is at most the product of the two suffix norms, so a pair stops as soon as the
-sum cannot reach the threshold. Survivors are verified with the vectors as given.
+Inside a label, vectors of one length are ordered by their cell on the leading axes (the bits of the axes' bins taken in turn,
+so cells that follow each other lie close on all of them) and cut into blocks. Two blocks whose boxes on these axes are
+further apart than any pair at the threshold can be are never compared. Within a tile of two blocks the leading axes
+are multiplied first; what the remaining axes can still add is at most the product of the two suffix norms, so a pair
+stops as soon as the sum cannot reach the threshold. Survivors are verified with the vectors as given.
 
 A tile returns link counts per vector and a spanning forest of its links, so its output is linear in its rows
-however tight a group is.
+however tight a group is. Vectors travel in the precision they were given in.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesforge.llm.components import connected_components, forest
-from seriesforge.llm.textkit import cut
+from seriesforge.llm.textkit import cut, hot_join
 
-BINS = 2000
+#: Leading axes of the cells, and bits of each axis's bin.
+AXES, AXIS_BITS = 4, 5
 STEPS = (8, 24, 48)
 
 
@@ -44,6 +47,16 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def cells(leading: np.ndarray) -> np.ndarray:
+    """Number of the cell of each row: the bits of its bins on the leading axes, from the highest down, in turn."""
+    bins = np.clip(np.floor((leading + 1) / 2 * (1 << AXIS_BITS)), 0, (1 << AXIS_BITS) - 1).astype(np.int32)
+    out = np.zeros(len(leading), np.int32)
+    for bit in range(AXIS_BITS - 1, -1, -1):
+        for axis in range(bins.shape[1]):
+            out = out << 1 | bins[:, axis] >> bit & 1
+    return out
+
+
 def principal_axes(vectors: DataFrame, dim: int) -> np.ndarray:
     """Axes of the vectors' covariance, widest first; partitions send one dim x dim sum each."""
 
@@ -89,64 +102,68 @@ def embedding_groups(
     """(id, n_links, component, kept) for every row: links are pairs of one label with cosine of ``threshold`` or more.
 
     Vectors that are null, empty, all zero or hold null or non-finite components, or whose label is null, link with
-    nothing, and so do vectors whose length is not the table's most common one. Rows with a null id link and are
-    counted as links of others, but name no component. Repeated rows are rows of their own: equal vectors link.
+    nothing. Vectors of one label are compared when they have the same length, each length on its own (the principal axes
+    are those of the most common length; the others keep their own axes, for which the bounds hold as well). Rows
+    with a null id link and are counted as links of others, but name no component. Repeated rows, and rows that share
+    an id, are rows of their own: equal vectors link.
     """
-    spark = vectors.sparkSession
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("x"))
+    kind = dict(vectors.dtypes)[vector_col]
+    given_as = kind if kind in ("array<float>", "array<double>") else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast(given_as).alias("x"))
     good = rows.filter(_valid("x") & F.col("label").isNotNull())
-    sizes = good.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
     none = rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"), F.col("id").isNotNull().alias("kept"))
-    if sizes is None:
+    distinct = good.groupBy("label", "x").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    common = good.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    if common is None:
         return none
-    dim = sizes["d"]
-    good = good.filter(F.size("x") == dim)
-    axes = principal_axes(good, dim)
+    turned = {common["d"]: principal_axes(good.filter(F.size("x") == common["d"]), common["d"])}
+    names = [f"c{k}" for k in range(AXES)]
 
-    distinct = good.groupBy("label", "x").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    def onto_axes(x: np.ndarray) -> np.ndarray:
+        return x @ turned[x.shape[1]] if x.shape[1] in turned else x
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            first = unit(_matrix(b.column("x"), dim)) @ axes[:, 0] if b.num_rows else np.zeros(0)
-            bins = np.clip(np.floor((first + 1) / 2 * BINS), 0, BINS - 1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bins)], names=[*b.schema.names, "bin"])
-
-    shape = "label {}, x array<double>, n bigint, id bigint, bin int".format(dict(distinct.dtypes)["label"])
+            size, lead = b.column("dim").to_numpy(), np.zeros((b.num_rows, AXES))
+            for d in np.unique(size):
+                at = np.flatnonzero(size == d)
+                lead[at, : min(d, AXES)] = onto_axes(unit(_matrix(b.column("x").take(pa.array(at)), d)))[:, :AXES]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells(lead)), *[pa.array(c) for c in lead.T]], names=[*b.schema.names, "bin", *names])
+
+    shaped = distinct.withColumn("dim", F.size("x"))
+    schema = shaped.withColumns({"bin": F.lit(0), **{c: F.lit(0.0) for c in names}}).schema
     # a key of its own for each distinct vector, fixed by the checkpoint
-    flat = cut(distinct.mapInArrow(turn, shape).withColumn("v", F.monotonically_increasing_id()))
+    flat = cut(shaped.mapInArrow(turn, schema).withColumn("v", F.monotonically_increasing_id()))
 
-    # blocks: runs of bins that hold about block_rows vectors; a bin that holds more is dealt out by hash
-    by_bin = Window.partitionBy("label").orderBy("bin")
-    bins = (
-        flat.groupBy("label", "bin").agg(F.count("*").alias("c"))
+    # blocks: runs of cells that hold about block_rows vectors; a cell that holds more is dealt out by hash
+    kin = ["label", "dim"]
+    by_bin = Window.partitionBy(*kin).orderBy("bin")
+    bins = cut(
+        flat.groupBy(*kin, "bin").agg(F.count("*").alias("c"))
         .withColumn("run", F.floor((F.sum("c").over(by_bin) - F.col("c")) / block_rows))
         .withColumn("parts", F.ceil(F.col("c") / block_rows).cast("int"))
-    )
-    bins = cut(bins)
-    placed = flat.join(bins.select("label", "bin", "run", "parts"), ["label", "bin"]).select(
-        "label", "x", "n", "v", F.struct("run", F.when(F.col("parts") > 1, F.struct("bin", F.expr("pmod(xxhash64(v), parts)").alias("part"))).alias("at")).alias("block")
-    )
-    reach = math.ceil(math.sqrt(max(0.0, 2 - 2 * threshold)) / 2 * BINS) + 1
-    blocks = (
-        bins.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumn("block", F.struct("run", F.when(F.col("parts") > 1, F.struct("bin", F.col("part").cast("bigint").alias("part"))).alias("at")))
-        .groupBy("label", "block").agg(F.min("bin").alias("lo"), F.max("bin").alias("hi"))
-    )
+    )
+    of_bin = hot_join(flat, bins.select(*kin, "bin", "run", "parts", F.col("c").alias("held")), [*kin, "bin"], "held", flat.count())
+    block = F.struct("run", F.when(F.col("parts") > 1, F.struct("bin", F.expr("pmod(xxhash64(v), parts)").alias("part"))).alias("at"))
+    placed = of_bin.select(*kin, "x", "n", "v", *names, block.alias("block"))
+    blocks = cut(placed.groupBy(*kin, "block").agg(*[f(c).alias(f"{c}_{e}") for c in names for f, e in ((F.min, "lo"), (F.max, "hi"))]))
+    # cosine >= threshold: unit vectors at most this far apart
+    reach = max(0.0, 2 - 2 * threshold) + 1e-9
     p, q = blocks.alias("p"), blocks.alias("q")
-    pairs = p.join(q, (F.col("p.label") == F.col("q.label")) & (F.col("p.block") <= F.col("q.block"))
-                   & (F.col("p.lo") <= F.col("q.hi") + reach) & (F.col("q.lo") <= F.col("p.hi") + reach)) \
-        .select(F.col("p.label").alias("label"), F.col("p.block").alias("one"), F.col("q.block").alias("two")) \
-        .withColumn("tile", F.xxhash64("label", "one", "two"))
-    sides = pairs.select("label", F.col("one").alias("block"), "tile", "one", "two", F.lit(0).alias("side")).union(
-        pairs.filter("one < two").select("label", F.col("two").alias("block"), "tile", "one", "two", F.lit(1).alias("side"))
+    gaps = [F.greatest(F.lit(0.0), F.col(f"p.{c}_lo") - F.col(f"q.{c}_hi"), F.col(f"q.{c}_lo") - F.col(f"p.{c}_hi")) for c in names]
+    apart = reduce(lambda x, y: x + y, [g * g for g in gaps])
+    pairs = p.join(q, (F.col("p.label") == F.col("q.label")) & (F.col("p.dim") == F.col("q.dim")) & (F.col("p.block") <= F.col("q.block")) & (apart <= reach)) \
+        .select(F.col("p.label").alias("label"), F.col("p.dim").alias("dim"), F.col("p.block").alias("one"), F.col("q.block").alias("two")) \
+        .withColumn("tile", F.xxhash64("label", "dim", "one", "two"))
+    sides = pairs.select(*kin, F.col("one").alias("block"), "tile", "one", "two", F.lit(0).alias("side")).union(
+        pairs.filter("one < two").select(*kin, F.col("two").alias("block"), "tile", "one", "two", F.lit(1).alias("side"))
     )
-    dealt = placed.join(sides, ["label", "block"]).select("tile", "label", "one", "two", "side", "v", "n", "x")
+    dealt = placed.join(sides, [*kin, "block"]).select("tile", *kin, "one", "two", "side", "v", "n", "x")
 
     def tile(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         side, v, n = (t[c].to_numpy() for c in ("side", "v", "n"))
-        given = _matrix(t["x"], dim)
-        x = unit(given)
-        y = x @ axes
+        given = _matrix(t["x"], key[2].as_py())
+        y = onto_axes(unit(given))
         one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         same = not len(two)
         i, j = compare(y[one], y[one if same else two], threshold)
@@ -160,14 +177,14 @@ def embedding_groups(
         on = links > 0
         return pa.table({"v": pa.array(v[on]), "links": pa.array(links[on].astype(np.int64)), "root": pa.array(v[root][on])})
 
-    found = cut(dealt.groupBy("tile", "label", "one", "two").applyInArrow(tile, "v bigint, links bigint, root bigint"))
+    found = cut(dealt.groupBy("tile", *kin, "one", "two").applyInArrow(tile, "v bigint, links bigint, root bigint"))
     parts = connected_components(found, "v", "root")
     links = found.groupBy("v").agg(F.sum("links").alias("links"))
     named = flat.join(parts.withColumnRenamed("node", "v"), "v", "left").withColumn("component", F.coalesce("component", "v"))
     least = named.groupBy("component").agg(F.min("id").alias("least"))
     told = named.join(least, "component").join(links, "v", "left").select(
-        "label", "x", "n", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.col("least").alias("component")
+        "label", "x", F.col("n").alias("held"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.col("least").alias("component")
     )
-    linked = good.select("id", "label", "x").join(told, ["label", "x"]).select("id", "n_links", "component")
-    alone = rows.filter(~_valid("x") | F.col("label").isNull() | (F.size("x") != dim)).select("id", F.lit(0).cast("long"), "id")
+    linked = hot_join(good.select("id", "label", "x"), told, ["label", "x"], "held", good.count()).select("id", "n_links", "component")
+    alone = rows.filter(~_valid("x") | F.col("label").isNull()).select("id", F.lit(0).cast("long"), "id")
     return linked.union(alone).withColumn("kept", F.coalesce(F.col("id") == F.col("component"), F.lit(False)))

@@ -111,7 +111,7 @@ g AS (
   SELECT vec_id, label, x, sqrt(list_sum(list_transform(x, lambda v: v * v))) AS norm FROM e
   WHERE label IS NOT NULL AND x IS NOT NULL AND len(x) = len(list_filter(x, lambda v: v IS NOT NULL AND isfinite(v)))),
 links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id
+  SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
   WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.x, b.x) / (a.norm * b.norm) >= 0.93),
 reach AS (
   SELECT vec_id AS a, vec_id AS b FROM embeddings
