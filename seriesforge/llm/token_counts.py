@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesforge.llm.textkit import cut
+
 RANGE = 4096
 
 
@@ -44,7 +46,11 @@ def with_length(docs: DataFrame, vocabulary: str, *, text_col: str = "text", nam
 
 
 def token_lengths(docs: DataFrame, vocabulary: str, *, text_col: str = "text") -> DataFrame:
-    """(n_tokens, n_docs): documents by encoded length, pre-summed in each task."""
+    """(n_tokens, n_docs): documents by encoded length, pre-summed in each task.
+
+    Null and empty texts have length 0; repeated rows count one by one; further columns, whatever their names, are
+    not read; an empty table gives no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode_ordinary
@@ -67,7 +73,8 @@ def length_table(lengths: DataFrame) -> DataFrame:
     documents up to this length. For a limit L between two rows, the next row up (length m) answers exactly:
     total_tokens - tokens_from + docs_from * L. An empty table gives no rows.
     """
-    ranged = lengths.withColumn("r", F.floor(F.col("n_tokens") / RANGE))
+    # small: one row per length; written once, so that both levels of sums read it and no text is encoded again
+    ranged = cut(lengths).withColumn("r", F.floor(F.col("n_tokens") / RANGE))
     tokens = F.col("n_tokens") * F.col("n_docs")
     ranges = ranged.groupBy("r").agg(F.sum("n_docs").alias("rd"), F.sum(tokens).alias("rt"))
     up = Window.orderBy(F.desc("r"))
