@@ -22,6 +22,8 @@ from seriesforge.llm.textkit import cut
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 #: Rows of a packing group; cost of a bin of c tokens is c + BIN_COST + c*c / ATTENTION.
 GROUP_ROWS, BIN_COST, ATTENTION = 16_384, 64.0, 131_072.0
+#: Tasks that the groups are dealt to, unless the session asks for more shuffle partitions.
+MAX_TASKS = 1024
 
 
 def bin_cost(c: int) -> float:
@@ -121,5 +123,7 @@ def pack_sequences(docs: DataFrame, *, size_col: str = "n_tokens", lengths: tupl
             held,
         ], schema=_OUT)
 
-    pieces = sized.groupBy("_group").applyInArrow(run, ", ".join(f"{f.name} bigint" for f in _OUT))
+    # a number of partitions of our own: each holds few groups, and small tables still use many tasks
+    spread = sized.repartition(min(groups, max(MAX_TASKS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "_group")
+    pieces = spread.groupBy("_group").applyInArrow(run, ", ".join(f"{f.name} bigint" for f in _OUT))
     return rows.join(pieces, "_row").drop("_row")

@@ -1,7 +1,7 @@
 """Sharding by a Feistel permutation with cycle walking over global row numbers. DataFrame functions only.
 
-Rows are numbered 0..N-1 in the order of (id, checksum, size). Equal rows are numbered together, so a key that holds
-a third of all rows is one row until the numbers are given out. Numbers come from a range partitioning: a written
+Rows are numbered 0..N-1 in the order of (id, checksum, size). Equal rows of one input partition are numbered together,
+so a key that holds a third of all rows is one row per partition until the numbers are given out. Numbers come from a range partitioning: a written
 copy fixes each row's place, the partitions' sums (one row per partition) become offsets. The permutation works on
 a grid of a columns and b rows with a*b just above N; numbers that land at N or above walk on. The permuted number
 gives shard and slot by division, and the same arithmetic finds them for any row number without the data.
@@ -58,7 +58,8 @@ def permute(x: Column, n: int, keys: tuple[int, ...] = ROUND_KEYS) -> Column:
 def shuffled(x: Column, n: int, keys: tuple[int, ...] = ROUND_KEYS) -> Column:
     """The place of row number x among n rows: walks while a place is n or above."""
     walk = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), x, lambda p, _: F.when(p < n, p).otherwise(permute(p, n, keys)))
-    return F.when(x < n, x).otherwise(walk)
+    ended = F.coalesce(F.nullif(walk, F.greatest(walk, F.lit(n).cast("long"))), F.raise_error(F.lit("the walk did not end")).cast("long"))
+    return F.when(x < n, x).otherwise(ended)
 
 
 def shard_rows(docs: DataFrame, shards: int, *, id_col: str = "doc_id", text_col: str = "text", keys: tuple[int, ...] = ROUND_KEYS) -> DataFrame:
@@ -73,8 +74,9 @@ def shard_rows(docs: DataFrame, shards: int, *, id_col: str = "doc_id", text_col
         (F.coalesce(F.octet_length(text_col), F.lit(0)) + 16).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).cast("long").alias("text_crc32"),
     )
-    alike = bare.groupBy("id", "size", "text_crc32").agg(F.count("*").alias("n"))
-    ordered = alike.repartitionByRange("id", "text_crc32", "size").sortWithinPartitions("id", "text_crc32", "size")
+    order = ("id", "text_crc32", "size", "origin")
+    alike = bare.withColumn("origin", F.spark_partition_id()).groupBy(*order).agg(F.count("*").alias("n"))
+    ordered = alike.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = cut(ordered.withColumn("place", F.monotonically_increasing_id()).withColumn("part", F.shiftright("place", 33)))
     parts = placed.groupBy("part").agg(F.sum("n").alias("rows"))
     offsets = parts.withColumn("offset", F.sum("rows").over(Window.orderBy("part")) - F.col("rows")).select("part", "offset")
