@@ -260,12 +260,12 @@ def a14_landed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_B1} SELECT name, date, CASE WHEN date >= DATE '2000-01-01' AND downloads > 0 THEN downloads + 5 ELSE downloads END AS downloads FROM b1")
 def m1_incremental_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landings, the second one with corrections of late days; taken in by two incremental runs."""
-    import tempfile
     from uuid import uuid4
 
+    from seriesforge.functions.lineage import shared_folder
     from seriesforge.streaming import incremental as I
 
-    root = f"{(spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/m1-{uuid4().hex}"
+    root = f"{shared_folder(spark)}/m1-{uuid4().hex}"
     first = series_payloads(spark, sf_dir).withColumn("fetched_at", F.lit(1).cast("bigint"))
     kind = "struct<data: array<struct<category: string, date: string, downloads: bigint>>>"
     late = F.filter(F.from_json("payload", kind)["data"], lambda r: (r["date"] >= "2000") & (r["downloads"] > 0) & (r["date"] != "not-a-date"))
@@ -274,7 +274,7 @@ def m1_incremental_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch in (first, second):
         batch.write.mode("append").parquet(f"{root}/landing")
         I.upkeep(spark, f"{root}/landing", f"{root}/table", f"{root}/state")
-    return spark.read.parquet(f"{root}/table").select("name", "date", "downloads")
+    return I.read_series(spark, f"{root}/table").select("name", "date", "downloads")
 
 
 @query(f"""WITH {_SNAP}, {_LATEST} SELECT 'now' AS run_id, name, category, vuln_new_28d::DOUBLE AS vuln_new_28d, days_since_last_release, {_LABEL} AS at_risk_label, true AS is_scoring_row FROM cur""")

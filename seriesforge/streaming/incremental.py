@@ -1,13 +1,24 @@
-"""Incremental upkeep of the daily series: newly landed payload files merge into the table, latest value wins."""
+"""Incremental upkeep of the daily series: newly landed payload files merge into the table, latest value wins.
+
+The table is a folder of versions. A version holds the buckets that one batch wrote, and its manifest names, for every
+bucket of the table, the version that holds it. A batch writes its buckets beside the others and its manifest last, so
+readers see either the table before the batch or the one after it, and nothing that a manifest names is ever
+written again. A batch that failed anywhere is run again on the same base; one that had already switched merges its own
+rows once more, which changes nothing.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.sources.payloads import daily_series
 
-BUCKETS = 16
+#: Rows of a bucket that a new table aims at, and its least number of buckets; the number then stays with the table.
+BUCKET_ROWS, LEAST_BUCKETS = 2_000_000, 16
+SCHEMA = "bucket int, name string, date date, downloads bigint, fetched_at bigint"
 
 
 def merge(table: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -18,33 +29,76 @@ def merge(table: DataFrame | None, batch: DataFrame) -> DataFrame:
     return merged.select("bucket", "name", "date", "x.downloads", "x.fetched_at")
 
 
-def normalise(payloads: DataFrame) -> DataFrame:
+def normalise(payloads: DataFrame, buckets: int) -> DataFrame:
     """(bucket, name, date, downloads, fetched_at) of a payload table (name, payload, fetched_at)."""
     keyed = payloads.select(F.struct("name", "fetched_at").alias("name"), "payload")
     rows = daily_series(keyed).select("name.name", "name.fetched_at", "date", "downloads")
-    return rows.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(BUCKETS)).cast("int"))
+    return rows.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(buckets)).cast("int"))
+
+
+def _versions(spark: SparkSession, table: str) -> list[int]:
+    """Versions whose manifest is complete, newest first; none if the table does not exist. Any other failure is raised."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/manifests/*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted((int(f.getPath().getParent().getName()) for f in found or []), reverse=True)
+
+
+def _manifest(spark: SparkSession, table: str, version: int) -> dict[int, int]:
+    """Version that holds each bucket (-1: still empty); one row per bucket, as many as the table was made with."""
+    rows = spark.read.schema("bucket int, version int").json(f"{table}/manifests/{version}").collect()
+    return {r["bucket"]: r["version"] for r in rows}
+
+
+def _read(spark: SparkSession, table: str, held: dict[int, int]) -> DataFrame | None:
+    parts = []
+    for v in sorted(set(held.values()) - {-1}):
+        folders = [f"{table}/data/{v}/bucket={b}" for b, at in held.items() if at == v]
+        parts.append(spark.read.schema(SCHEMA).option("basePath", f"{table}/data/{v}").parquet(*folders).select("bucket", "name", "date", "downloads", "fetched_at"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def read_series(spark: SparkSession, table: str) -> DataFrame:
+    """The current table; empty if nothing has landed yet."""
+    versions = _versions(spark, table)
+    rows = _read(spark, table, _manifest(spark, table, versions[0])) if versions else None
+    return rows if rows is not None else spark.createDataFrame([], SCHEMA)
+
+
+def take(batch: DataFrame, table: str) -> None:
+    """Merge one batch of payloads into the table; only buckets with news are written."""
+    spark = batch.sparkSession
+    versions = _versions(spark, table)
+    if versions:
+        held = _manifest(spark, table, versions[0])
+    else:
+        rows = normalise(batch, 1).count()
+        held = {b: -1 for b in range(max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS)))}
+    rows = normalise(batch, len(held))
+    news = [r["bucket"] for r in rows.select("bucket").distinct().collect()]
+    if not news:
+        return
+    new = versions[0] + 1 if versions else 0
+    before = _read(spark, table, {b: held[b] for b in news})
+    merge(before, rows).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/data/{new}")
+    told = spark.createDataFrame([(b, new if b in news else v) for b, v in held.items()], "bucket int, version int")
+    told.coalesce(1).write.mode("overwrite").json(f"{table}/manifests/{new}")
+    _forget(spark, table, versions)
+
+
+def _forget(spark: SparkSession, table: str, versions: list[int]) -> None:
+    """Remove versions that neither the current manifest nor the one before it names; readers of that one go on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(table).getFileSystem(spark._jsc.hadoopConfiguration())
+    now = _versions(spark, table)[:2]
+    named = {v for m in now for v in _manifest(spark, table, m).values()} | set(now)
+    for v in versions[1:]:
+        files.delete(path(f"{table}/manifests/{v}"), True)
+        if v not in named:
+            files.delete(path(f"{table}/data/{v}"), True)
 
 
 def upkeep(spark: SparkSession, landing: str, table: str, state: str) -> None:
-    """Take in every file that landed since the last call; only buckets with news are written again.
-
-    A batch is staged beside the table before it replaces its buckets, so that a batch that is run twice, after a
-    failure, gives the same table: merging the same rows again changes nothing.
-    """
-    schema = "name string, payload string, fetched_at bigint"
-
-    def take(batch: DataFrame, number: int) -> None:
-        rows = normalise(batch)
-        try:
-            before = batch.sparkSession.read.parquet(table)
-        except Exception:
-            before = None
-        if before is not None:
-            before = before.join(rows.select("bucket").distinct(), "bucket", "left_semi").select(rows.columns)
-        stage = f"{table}-stage-{number}"
-        merge(before, rows).repartition("bucket").write.mode("overwrite").parquet(stage)
-        staged = batch.sparkSession.read.parquet(stage)
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table)
-
-    stream = spark.readStream.schema(schema).parquet(landing)
-    stream.writeStream.foreachBatch(take).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    """Take in every file that landed since the last call."""
+    stream = spark.readStream.schema("name string, payload string, fetched_at bigint").parquet(landing)
+    writer = stream.writeStream.foreachBatch(lambda batch, _: take(batch, table))
+    writer.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
