@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: Patterns of requirement lines; fixed values.
 NAME = r"^([A-Za-z0-9][A-Za-z0-9._-]*)"
 VERSION = r"==\s*([A-Za-z0-9][A-Za-z0-9._!+-]*)"
-SLUG = r"([A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+?)(?:\.git)?/?$"
+SLUG = r"(?:github\.com[/:])?([A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+?)(?:\.git)?/?$"
 VERDICTS = ("critical", "high", "watch", "healthy", "unknown")
 
 
@@ -112,7 +112,7 @@ def verdict(risk: str = "risk_score", vuln: str = "vuln_count", severity: str =
         (risk_c >= 66, "high", F.lit("high composite maintenance risk")),
         (c(days) > 365, "watch", F.format_string("no release in %d days", c(days).cast("int"))),
         (c(trend) < -20, "watch", F.format_string("downloads down %.0f%% week-over-week", F.abs(c(trend)))),
-        ((c(kind) == "historical") & (n > 0), "watch", F.format_string("%d historical CVEs: pin a version to check exposure", n)),
+        ((c(kind) == "historical") & (n > 0), "watch", F.format_string("%d historical CVEs — pin a version to check exposure", n)),
         (risk_c >= 40, "watch", F.lit("elevated maintenance risk")),
     ]
     out = F.struct(F.lit("healthy").alias("verdict"), F.lit("actively maintained").alias("reason"))

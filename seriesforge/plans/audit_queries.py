@@ -34,7 +34,7 @@ au AS (SELECT doc, name, version, vuln_count, vuln_kind, risk_score, CASE WHEN N
 WHEN dd > 365 OR coalesce(trend_pct, 0) < -20 OR (vuln_kind = 'historical' AND vuln_count > 0) OR risk_score >= 40 THEN 'watch' ELSE 'healthy' END AS verdict,
 CASE WHEN NOT known THEN 'not tracked' WHEN archived THEN 'archived / removed upstream' WHEN vuln_kind = 'active' AND vuln_count > 0 AND sev IN ('HIGH', 'CRITICAL') THEN 'pinned version exposed to ' || vuln_count || ' ' || lower(sev) || ' vuln' || CASE WHEN vuln_count = 1 THEN '' ELSE 's' END
 WHEN vuln_kind = 'active' AND vuln_count > 0 THEN 'pinned version exposed to ' || vuln_count || ' known vuln' || CASE WHEN vuln_count = 1 THEN '' ELSE 's' END WHEN risk_score >= 66 THEN 'high composite maintenance risk' WHEN dd > 365 THEN 'no release in ' || dd::INT || ' days'
-WHEN coalesce(trend_pct, 0) < -20 THEN 'downloads down ' || abs(trend_pct)::INT || '% week-over-week' WHEN vuln_kind = 'historical' AND vuln_count > 0 THEN vuln_count || ' historical CVEs: pin a version to check exposure' WHEN risk_score >= 40 THEN 'elevated maintenance risk' ELSE 'actively maintained' END AS reason FROM j)"""
+WHEN coalesce(trend_pct, 0) < -20 THEN 'downloads down ' || abs(trend_pct)::INT || '% week-over-week' WHEN vuln_kind = 'historical' AND vuln_count > 0 THEN vuln_count || ' historical CVEs — pin a version to check exposure' WHEN risk_score >= 40 THEN 'elevated maintenance risk' ELSE 'actively maintained' END AS reason FROM j)"""
 
 
 def deps(spark: SparkSession, sf_dir: str) -> DataFrame:
