@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -28,12 +28,13 @@ def time_split(frame: DataFrame, share: float = 0.8, date: str = "feature_date")
     per = frame.groupBy(date).agg(F.count("*").alias("k"))
     before = per.select(date, (F.sum("k").over(Window.orderBy(date)) - F.col("k")).alias("_before"), F.sum("k").over(Window.partitionBy()).alias("_n"))
     inside = F.row_number().over(Window.partitionBy(date).orderBy("name"))
-    return frame.join(F.broadcast(before), date).withColumn("is_test", F.col("_before") + inside > F.floor(F.col("_n") * share)).drop("_before", "_n")
+    return frame.join(before, date).withColumn("is_test", F.col("_before") + inside > F.floor(F.col("_n") * share)).drop("_before", "_n")
 
 
 def stratified_folds(frame: DataFrame, k: int, label: str = "label", key: Column | str = "name") -> DataFrame:
     """Rows with ``fold``: each class dealt out in the order of ``key``."""
-    return frame.withColumn("fold", ((F.row_number().over(Window.partitionBy(label).orderBy(col(key))) - 1) % k).cast("int"))
+    keyed = stats.positions(frame.withColumn("_key", col(key)), ["_key"], "_pos", [label])
+    return keyed.withColumn("fold", ((F.col("_pos") - 1) % k).cast("int")).drop("_key", "_pos")
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -52,8 +53,8 @@ def roc_points(scored: DataFrame, label: str = "label", score: str = "score") ->
 
 def calibration_deciles(scored: DataFrame, yhat: str = "yhat", y: str = "y") -> DataFrame:
     """(decile, n, mean_pred, mean_actual) by the rank of the forecast (ties in the order of name and t)."""
-    ranked = scored.withColumn("_r", F.row_number().over(Window.orderBy(yhat, "name", "t"))).withColumn("_n", F.count("*").over(Window.partitionBy()))
-    decile = F.greatest(F.lit(1), F.ceil((F.col("_r") - 1) * 10 / (F.col("_n") - 1)))
+    ranked = stats.positions(scored, [yhat, "name", "t"], "_pos").crossJoin(F.broadcast(scored.agg(F.count("*").alias("_n"))))
+    decile = F.greatest(F.lit(1), F.ceil((F.col("_pos") - 1) * 10 / (F.col("_n") - 1)))
     return ranked.groupBy(decile.cast("int").alias("decile")).agg(F.count("*").alias("n"), F.avg(yhat).alias("mean_pred"), F.avg(y).alias("mean_actual"))
 
 
@@ -88,6 +89,23 @@ def gate_result(checks: DataFrame, keys: list[str]) -> DataFrame:
     return checks.groupBy(*keys).agg((few | F.bool_and("passed")).alias("passed"), few.alias("skipped"), F.when(few, F.lit("")).otherwise(failed).alias("reasons"))
 
 
+def growth_gate(frame: DataFrame, features: list[str], k: int = 5, rounds: int = 20) -> DataFrame:
+    """(model_name, n, check, value, threshold, passed) of the growth model: figures on later dates, and on names it did not see.
+
+    ``frame`` holds name, feature_date, the target and the features; rows without a target are left out. No model is
+    fitted for fewer rows than the gate asks for: its checks are null and never fail.
+    """
+    known = frame.filter(F.col(TARGET).isNotNull())
+    n = known.count()
+    if n < GATE["min_rows"]:
+        nothing = [F.lit(None).cast("double").alias(c) for c in ("r2", "spearman", "oof_r2", "oof_spearman")]
+        return gate_checks(known.sparkSession.range(1).select(F.lit("growth").alias("model_name"), F.lit(n).cast("bigint").alias("n"), *nothing))
+    split = time_split(known)
+    seen = growth_metrics(split, fit_growth(split.filter("NOT is_test"), features, rounds), features)
+    unseen = disjoint_cv(known, features, k, rounds).select(F.col("r2").alias("oof_r2"), F.col("spearman").alias("oof_spearman"))
+    return gate_checks(seen.crossJoin(unseen).select(F.lit("growth").alias("model_name"), F.lit(n).cast("bigint").alias("n"), "r2", "spearman", "oof_r2", "oof_spearman"))
+
+
 def best_candidate(results: DataFrame, margin: float = 0.01) -> DataFrame:
     return results.filter(F.col("delta") >= margin).orderBy(F.desc("delta"), "candidate").limit(1)
 
@@ -126,6 +144,38 @@ def serving_choice(gates: DataFrame, champions: DataFrame) -> DataFrame:
     return j.select("model_name", serve.alias("serve"), (~F.col("gate_passed") & F.col("gcs_uri").isNull()).alias("warning"))
 
 
+#: Class and primary metric of each registered model; fixed values.
+REGISTERED = {"growth": (GBTRegressionModel, "spearman"), "risk": (GBTClassificationModel, "auc")}
+
+
+def save_model(model, model_name: str, run_id: str, folder: str) -> str:
+    """Write a model under its version in a shared folder; returns where it lies."""
+    uri = f"{folder.rstrip('/')}/{model_name}-{run_id}"
+    model.write().overwrite().save(uri)
+    return uri
+
+
+def load_model(model_name: str, uri: str):
+    return REGISTERED[model_name][0].load(uri)
+
+
+def load_champion(model_runs: DataFrame, model_name: str):
+    """The newest champion's model, or None without one that has an artefact."""
+    row = last_champion(model_runs.filter(F.col("model_name") == model_name)).first()
+    return load_model(model_name, row["gcs_uri"]) if row else None
+
+
+def registry_rows(candidates: DataFrame, model_runs: DataFrame | None, run_id: str, uris: dict[str, str]) -> DataFrame:
+    """Rows of the registry for this run's candidates (model_name, metric_name, metric_value, gate_passed), promoted or held."""
+    none = candidates.select("model_name", "metric_name", F.col("metric_value").alias("best")).limit(0)
+    told = promotion(candidates, none if model_runs is None else previous_best(model_runs))
+    uri = F.coalesce(*[F.when(F.col("model_name") == k, F.lit(v)) for k, v in uris.items()], F.lit(""))
+    return told.select(
+        F.lit(run_id).alias("run_id"), "model_name", F.current_timestamp().alias("trained_at"), F.concat_ws("-", "model_name", F.lit(run_id)).alias("version"),
+        "metric_name", "metric_value", "is_champion", uri.alias("gcs_uri"), "note",
+    )
+
+
 def champion_metrics(model_runs: DataFrame) -> DataFrame:
     return model_runs.filter("is_champion").groupBy("model_name").pivot("metric_name", ["spearman", "auc"]).agg(F.max("metric_value"))
 

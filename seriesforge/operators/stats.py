@@ -33,6 +33,26 @@ def cumulative(df: DataFrame, column: str, amounts: list[str]) -> DataFrame:
     return out.drop("_r", *[f"_o_{a}" for a in amounts])
 
 
+def positions(df: DataFrame, order: list[str], out: str = "pos", by: list[str] | None = None) -> DataFrame:
+    """All columns plus the row number (from 1) in the given order, in all or within groups; no group is sorted in one task.
+
+    Rows are cut into ranges of the first column at some of its values (a bounded sample of distinct values, chosen by
+    hash), numbered inside each range, and moved on by the rows of the ranges before.
+    """
+    by, lead = by or [], order[0]
+    sample = sorted(r[0] for r in df.filter(F.col(lead).isNotNull()).select(lead).distinct().orderBy(F.xxhash64(lead)).limit(32 * RANGES).collect())
+    edges = sample[:: max(1, len(sample) // RANGES)]
+    ranged = df.withColumn("_r", F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(lead))) if edges else F.lit(0))
+    counts = ranged.groupBy(*by, "_r").agg(F.count("*").alias("_k"))
+    before = F.sum("_k").over(Window.partitionBy(*by).orderBy("_r")) - F.col("_k")
+    offsets = counts.select(*[F.col(c).alias(f"_b_{c}") for c in by], F.col("_r").alias("_b_r"), before.alias("_o"))
+    same = ranged["_r"] == offsets["_b_r"]
+    for c in by:
+        same &= ranged[c].eqNullSafe(offsets[f"_b_{c}"])
+    inside = F.row_number().over(Window.partitionBy(*by, "_r").orderBy(*order))
+    return ranged.withColumn("_i", inside).join(offsets, same).withColumn(out, F.col("_i") + F.col("_o")).select(*df.columns, out)
+
+
 def average_ranks(df: DataFrame, column: str, out: str, by: list[str] | None = None) -> DataFrame:
     """All columns plus the average rank (1-based, ties share) of ``column``, globally or within groups."""
     if by:
@@ -48,7 +68,7 @@ def regression_metrics(scored: DataFrame, by: list[str] | None = None, y: str =
     """(by..., n, r2, mae, rmse): two passes, the mean first; NaN r2 for fewer than 3 rows or a constant target."""
     by = by or []
     means = scored.groupBy(*by).agg(F.avg(y).alias("_m"))
-    rows = scored.join(F.broadcast(means), by) if by else scored.crossJoin(F.broadcast(means))
+    rows = scored.join(means, by) if by else scored.crossJoin(F.broadcast(means))
     e = F.col(y) - F.col(yhat)
     sums = rows.groupBy(*by).agg(F.count("*").alias("n"), F.sum(e * e).alias("_se"), F.sum((F.col(y) - F.col("_m")) ** 2).alias("_st"), F.avg(F.abs(e)).alias("mae"))
     r2 = F.when((F.col("n") < 3) | (F.col("_st") == 0), float("nan")).otherwise(1 - F.col("_se") / F.col("_st"))
@@ -188,11 +208,15 @@ def permutation_p(scored: DataFrame, b: int = 2000, blocks: bool = True, seed: i
     taken once; a replicate only pairs them anew.
     """
     ranked = average_ranks(average_ranks(scored, "y", "ry"), "yhat", "rp")
-    rows = ranked.withColumn("pos", F.row_number().over(Window.orderBy("name", "t")))
+    rows = positions(ranked, ["name", "t"])
     reps = scored.sparkSession.range(b).select(F.col("id").alias("b"))
     unit = F.col("name") if blocks else F.col("pos")
-    order = Window.partitionBy("b").orderBy(F.xxhash64("b", unit, F.lit(seed)), "pos")
-    moved = rows.select("name", "pos", "ry").crossJoin(F.broadcast(reps)).withColumn("slot", F.row_number().over(order)).select("b", "slot", "ry")
+    # the drawn order is that of a hash; its upper bits cut each replicate into ranges of even size
+    drawn = rows.select("name", "pos", "ry").crossJoin(F.broadcast(reps)).withColumn("h", F.xxhash64("b", unit, F.lit(seed))).withColumn("part", F.shiftright("h", 58))
+    parts = drawn.groupBy("b", "part").agg(F.count("*").alias("k"))
+    offsets = parts.select("b", "part", (F.sum("k").over(Window.partitionBy("b").orderBy("part")) - F.col("k")).alias("o"))
+    inside = F.row_number().over(Window.partitionBy("b", "part").orderBy("h", "pos"))
+    moved = drawn.withColumn("i", inside).join(offsets, ["b", "part"]).select("b", (F.col("i") + F.col("o")).alias("slot"), "ry")
     paired = moved.join(rows.select(F.col("pos").alias("slot"), "rp"), "slot").groupBy("b").agg(F.corr("ry", "rp").alias("rho"))
     seen = ranked.agg(F.corr("ry", "rp").alias("observed"))
     return paired.crossJoin(F.broadcast(seen)).groupBy("observed").agg(((1 + F.count_if(F.col("rho") >= F.col("observed"))) / (1 + F.count("*"))).alias("p"))
@@ -205,10 +229,9 @@ def diebold_mariano(losses: DataFrame, horizon: int, by: list[str] | None = None
     from one equi-join on (group, position + lag).
     """
     by, order = by or [], order or ["name", "t"]
-    pos = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     stats = losses.groupBy(*by).agg(F.avg("d").alias("m"), F.count("*").alias("n"))
-    rows = losses.withColumn("pos", pos)
-    rows = (rows.join(F.broadcast(stats), by) if by else rows.crossJoin(F.broadcast(stats))).select(*by, "pos", "n", (F.col("d") - F.col("m")).alias("c"))
+    rows = positions(losses, order, by=by)
+    rows = (rows.join(stats, by) if by else rows.crossJoin(F.broadcast(stats))).select(*by, "pos", "n", (F.col("d") - F.col("m")).alias("c"))
     lag = F.least(F.lit(horizon - 1), F.col("n") - 1).cast("int")
     lagged = rows.withColumn("lag", F.explode(F.sequence(F.lit(0), lag))).select(*by, "n", "lag", (F.col("pos") + F.col("lag")).alias("pos"), F.col("c").alias("c0"))
     weight = F.when(F.col("lag") == 0, 1.0).otherwise(2 * (1 - F.col("lag") / (lag + 1)) * F.col("n") / (F.col("n") - F.col("lag")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesforge.functions.lineage import cut as _cut
 from seriesforge.operators import models as M
 from seriesforge.operators import quality as Q
 from seriesforge.operators import risk as R
@@ -14,16 +15,16 @@ from seriesforge.operators.reads import latest_run
 from seriesforge.sources.payloads import carry_forward, failures
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """A frame that later steps read several times: a reliable checkpoint where a shared folder is set, else cached."""
-    return df.checkpoint() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.cache()
+def run(
+    history: DataFrame, snapshots: DataFrame, earlier_predictions: DataFrame | None, run_id: str, features: list[str] | None = None, rounds: int = 20,
+    model_runs: DataFrame | None = None, models: str | None = None,
+) -> dict[str, DataFrame]:
+    """Heal, featurise, train, gate, promote, score and compare with the run before.
 
-
-def run(history: DataFrame, snapshots: DataFrame, earlier_predictions: DataFrame | None, run_id: str, features: list[str] | None = None, rounds: int = 20) -> dict[str, DataFrame]:
-    """Heal, featurise, train, gate, score and compare with the run before.
-
-    ``history``: (name, date, downloads); ``snapshots``: all runs' snapshot rows, the newest run being this one. Fits
-    are the only actions besides the one-row frames that decide which model serves.
+    ``history``: (name, date, downloads); ``snapshots``: all runs' snapshot rows, the newest run being this one;
+    ``model_runs``: the registry so far; ``models``: a shared folder for model files. Scores come from this run's growth
+    model if its gate passes, else from the last champion where there is one. Fits are the only actions besides the
+    one-row frames that decide which model serves.
     """
     features = features or list(S.FEATURES)
     snapshots = _cut(snapshots)  # read by healing, both risk frames and the composite score
@@ -35,16 +36,30 @@ def run(history: DataFrame, snapshots: DataFrame, earlier_predictions: DataFrame
     metrics = M.growth_metrics(split, growth, features)
     unseen = M.disjoint_cv(split, features, rounds=rounds).select(F.col("r2").alias("oof_r2"), F.col("spearman").alias("oof_spearman"))
     checks = _cut(M.gate_checks(metrics.crossJoin(unseen).select(F.lit("growth").alias("model_name"), "n", "r2", "spearman", "oof_r2", "oof_spearman")))
+    gate = _cut(M.gate_result(checks, ["model_name"]))
     scoring = S.scoring_frame(history)
     risk = R.choose_training(R.risk_frame(healed), R.forward_frame(snapshots))
     columns = list(R.RISK_FEATURES)
-    model = M.fit_risk(_cut(R.impute_medians(risk.drop("label_mode"), columns)), columns)
+    known = _cut(R.impute_medians(risk.drop("label_mode"), columns))
+    model = M.fit_risk(known, columns)
+    candidates = metrics.select(F.lit("growth").alias("model_name"), F.lit("spearman").alias("metric_name"), F.col("spearman").alias("metric_value")).join(gate.select("model_name", F.col("passed").alias("gate_passed")), "model_name")
+    if model is not None:
+        k = min(5, known.agg(F.sum("at_risk_label").alias("p")).first()["p"])
+        unseen_risk = M.out_of_fold(_cut(M.stratified_folds(known, k, "at_risk_label")), columns, k)
+        auc = M.roc_auc(unseen_risk.filter("probability IS NOT NULL"), "at_risk_label", "probability")
+        candidates = candidates.unionByName(auc.select(F.lit("risk").alias("model_name"), F.lit("auc").alias("metric_name"), F.col("auc").alias("metric_value"), F.lit(None).cast("boolean").alias("gate_passed")))
+    fitted = {"growth": growth, **({"risk": model} if model is not None else {})}
+    registry = M.registry_rows(_cut(candidates), model_runs, run_id, {n: M.save_model(m, n, run_id, models) for n, m in fitted.items()} if models else {})
+    champions = M.last_champion(model_runs) if model_runs is not None else registry.select("model_name", "run_id", "gcs_uri").limit(0)
+    serving = _cut(M.serving_choice(gate.select("model_name", F.col("passed").alias("gate_passed")), champions))
+    if (serve := serving.first()["serve"]) != "candidate":
+        growth = M.load_model("growth", serve)
     probabilities = M.predict_risk(model, R.impute_medians(R.risk_frame(healed), columns), columns)
     scores = M.predict_growth(growth, scoring, features).select("name", "growth_pred")
     reasons = C.reason_texts(M.attributions(growth, scoring, features))
     predictions = _cut(C.assemble_predictions(scores, R.composite_score(healed), probabilities, reasons, run_id).withColumn("predicted_at", F.current_timestamp()))
     out = {
-        "features": S.feature_table(scoring, R.risk_frame(healed), healed, run_id), "metrics": metrics, "gate": M.gate_result(checks, ["model_name"]), "gate_checks": checks,
+        "features": S.feature_table(scoring, R.risk_frame(healed), healed, run_id), "metrics": metrics, "gate": gate, "gate_checks": checks, "model_runs": registry, "serving": serving,
         "predictions": predictions, "quality": Q.quality_report(healed), "failures": failures(current),
     }
     if earlier_predictions is not None:

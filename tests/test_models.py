@@ -111,3 +111,76 @@ def test_resampling_takes_2000_replicates(spark):
     scored = spark.createDataFrame(rows, "name string, t date, y double, yhat double, persistence double")
     for blocks in (True, False):
         assert J.permutation_p(scored, blocks=blocks).first()["p"] == pytest.approx(1 / 2001)
+
+
+def _gate_frame(spark, seed, target, n=700):
+    rng, day = np.random.default_rng(seed), dt.date(2026, 1, 1)
+    x, z = rng.normal(size=n), rng.normal(size=n)
+    rows = [(f"p{i % 35:02}", day + dt.timedelta(i // 35), float(x[i]), float(z[i]), float(target(x[i], rng))) for i in range(n)]
+    return spark.createDataFrame(rows, f"name string, feature_date date, x double, z double, {M.TARGET} double")
+
+
+def test_gate_judges_fitted_models(spark):
+    def judged(seed, target, n=700):
+        checks = M.growth_gate(_gate_frame(spark, seed, target, n), ["x", "z"], k=3, rounds=12).collect()
+        return {r["check"] for r in checks if not r["passed"]}, {r["check"]: r["value"] for r in checks}, M.gate_result(spark.createDataFrame(checks), ["model_name"]).first() if n > 200 else None
+
+    failed, values, result = judged(1, lambda x, r: 1.0 + 0.5 * x + r.normal(0, 0.4))
+    assert not failed and result["passed"] and not result["skipped"] and 0 < values["has_skill_r2"] < 0.9 and values["generalises_spearman"] > 0.5
+    failed, _, result = judged(2, lambda x, r: r.normal(0, 0.5))
+    assert failed & {"has_skill_spearman", "has_skill_r2"} and not result["passed"]
+    failed, values, result = judged(3, lambda x, r: 1.0 + 0.5 * x + r.normal(0, 0.01))
+    assert "not_leaky_ceiling" in failed and values["not_leaky_ceiling"] > 0.9 and not result["passed"]
+    few = M.growth_gate(_gate_frame(spark, 4, lambda x, r: r.normal(), 50), ["x", "z"])
+    told = M.gate_result(few, ["model_name"]).first()
+    assert told["passed"] and told["skipped"]
+
+
+def test_saved_models_predict_alike(spark, tmp_path):
+    frame = _gate_frame(spark, 5, lambda x, r: x + r.normal(0, 0.2))
+    model = M.fit_growth(frame, ["x", "z"], 5)
+    again = M.load_model("growth", M.save_model(model, "growth", "r7", str(tmp_path)))
+    a, b = (sorted(tuple(r) for r in M.predict_growth(m, frame, ["x", "z"]).select("name", "feature_date", "x", "growth_pred").collect()) for m in (model, again))
+    assert a == b
+
+
+def test_positions_number_rows_like_one_sort(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, 1.5, rng.random(), rng.random() * 9]), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double, i int")
+    key = lambda r: (r[1] is not None, r[1] or 0.0, r[2])
+    want = {r[2]: k for k, r in enumerate(sorted(rows, key=key), 1)}
+    assert {r["i"]: r["pos"] for r in J.positions(df, ["v", "i"]).collect()} == want
+    inside = {r[2]: k for g in ("a", "b", None) for k, r in enumerate(sorted((r for r in rows if r[0] == g), key=key), 1)}
+    assert {r["i"]: r["at"] for r in J.positions(df, ["v", "i"], "at", ["g"]).collect()} == inside
+    assert J.positions(df.limit(0), ["v", "i"]).count() == 0
+
+
+def test_permutation_p_equals_the_same_draws_in_numpy(spark):
+    rng = random.Random(6)
+    rows = [(f"n{i % 7}", i, rng.random(), rng.random()) for i in range(60)]
+    df = spark.createDataFrame(rows, "name string, t int, y double, yhat double")
+    order = sorted(rows, key=lambda r: (r[0], r[1]))
+    rank = lambda v: np.argsort(np.argsort(v)) + 1.0
+    ry, rp = rank([r[2] for r in order]), rank([r[3] for r in order])
+    seen = np.corrcoef(ry, rp)[0, 1]
+    for blocks in (True, False):
+        units = [(b, r[0] if blocks else k + 1, k) for b in range(50) for k, r in enumerate(order)]
+        kind = "b bigint, u string, k int" if blocks else "b bigint, u bigint, k int"
+        drawn = spark.createDataFrame(units, kind).select("b", "k", F.xxhash64("b", "u", F.lit(11)).alias("h")).collect()
+        more = 0
+        for b in range(50):
+            moved = [r["k"] for r in sorted((r for r in drawn if r["b"] == b), key=lambda r: (r["h"], r["k"]))]
+            more += np.corrcoef(ry[moved], rp)[0, 1] >= seen
+        got = J.permutation_p(df, 50, blocks).first()
+        assert got["observed"] == pytest.approx(seen) and got["p"] == pytest.approx((1 + more) / 51)
+
+
+def test_p_values_equal_the_textbook(spark):
+    import math
+
+    from seriesforge.functions.columns import two_sided_p
+
+    z = [0.0, 0.1, 0.5, 1.0, 1.96, 2.5758, 4.0, 6.5]
+    got = [r[0] for r in spark.createDataFrame([(float(x),) for x in z], "z double").select(two_sided_p(F.col("z"))).collect()]
+    assert got == pytest.approx([math.erfc(x / math.sqrt(2)) for x in z], rel=1e-4, abs=2e-7)
