@@ -5,7 +5,7 @@ Documents are dealt once into chunks (one text shuffle, which all three passes r
 1. every chunk sends the sketch cells of its windows to the sketch block that owns them; a block merges the
    partition sketches and answers each chunk with one bit per cell: "estimated in two documents or more".
    Estimates never fall short, so no repeated window is lost;
-2. windows whose every cell passed go, with the 128-bit BLAKE2b of their bytes and the chunk's smallest doc_id, to the
+2. windows whose every cell passed go, with 128 bits of the BLAKE2b of their bytes and the chunk's smallest doc_id, to the
    key block that owns them; it groups them exactly and answers with one bit: "a smaller doc_id outside the chunk has
    it". The sketch's fast hashes decide nothing: words go only where these cryptographic digests, for which no two
    inputs of one digest are known or can be sought out, agree;
@@ -29,39 +29,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.textkit import ODD, mix64, roll, text_bytes, word_hashes, word_spans
+from seriesforge.llm.textkit import ODD, SpanHasher, mix64, roll, text_bytes, word_spans
 
 ROWS = 2
 _LAST = np.iinfo(np.int64).max
 #: Messages that a sketch block adds at once; their sum fits one byte.
 SLAB = 120
+_FAST = SpanHasher(1)
 
 
 class _Windows:
     """Windows of one chunk: position of the first word, document, and a fast hash for the sketch."""
 
     def __init__(self, texts: list, ids: list, width: int):
-        lines, hashes, offsets = [], [], np.zeros(len(texts) + 1, np.int64)
-        for k, t in enumerate(texts):
-            words = b"" if t is None else t.encode("utf-8", "surrogatepass")
-            words = words.split()  # the bytes 0x20 and 0x09-0x0D part words
-            lines.append(b" ".join(words))
-            hashes.append(word_hashes(words))
-            offsets[k + 1] = offsets[k] + len(lines[-1]) + 1
+        # the bytes 0x20 and 0x09-0x0D part words; one space between them makes equal windows equal bytes
+        lines = [b" ".join((t or "").encode("utf-8", "surrogatepass").split()) for t in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(x) + 1 for x in lines])])
         self.raw = b"\n".join([*lines, b""])
-        self.starts, self.ends = word_spans(np.frombuffer(self.raw, np.uint8))
+        buf = np.frombuffer(self.raw, np.uint8)
+        self.starts, self.ends = word_spans(buf)
+        self.offsets = offsets
         self.doc = np.searchsorted(offsets, self.starts, "right") - 1
         self.ids = np.array([_LAST if i is None else i for i in ids], np.int64)
         n = max(0, len(self.starts) - width + 1)
         self.at = np.flatnonzero(self.doc[:n] == self.doc[width - 1 :]) if n else np.zeros(0, np.int64)
-        self.fast = roll(np.concatenate([*hashes, np.zeros(0, np.uint64)]), width)[self.at]
+        self.fast = roll(_FAST.hash(buf, self.starts, self.ends), width)[self.at]
         self.width = width
 
     def exact(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Both halves of the BLAKE2b digests of the windows' bytes."""
         first, raw = self.at[pick], self.raw
         spans = zip(self.starts[first].tolist(), self.ends[first + self.width - 1].tolist(), strict=True)
-        both = np.frombuffer(b"".join([blake2b(raw[a:b], digest_size=16).digest() for a, b in spans]), np.uint64)
+        both = np.frombuffer(b"".join([blake2b(raw[a:b]).digest()[:16] for a, b in spans]), np.uint64)
         return both[::2], both[1::2]
 
     def owner(self) -> np.ndarray:
@@ -256,12 +255,12 @@ def remove_repeated_windows(
         gone = np.cumsum(edge)[:-1] > 0
         n_docs = len(w.ids)
         n_words, n_gone = np.bincount(w.doc, minlength=n_docs), np.bincount(w.doc[gone], minlength=n_docs)
-        first, kept = np.concatenate([[0], np.cumsum(n_words)]), []
-        for i, text in enumerate(table[text_col].to_pylist()):
-            words = (text or "").encode("utf-8").split()
+        first, kept, edges = np.concatenate([[0], np.cumsum(n_words)]), [], w.offsets.tolist()
+        for i in range(n_docs):
+            line = w.raw[edges[i] : edges[i + 1] - 1]
             if n_gone[i]:
-                words = compress(words, ~gone[first[i] : first[i + 1]])
-            kept.append(b" ".join(words).decode("utf-8"))
+                line = b" ".join(compress(line.split(), ~gone[first[i] : first[i + 1]]))
+            kept.append(line.decode("utf-8", "surrogatepass"))
         out = table.select(columns)
         for name, values in zip(new, (pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(kept, pa.string())), strict=True):
             out = out.append_column(name, values)

@@ -33,6 +33,38 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
 
 
+class SpanHasher:
+    """Fast 64-bit hashes of byte spans, for estimates only: a random-table polynomial by prefix sums, then ``mix64``.
+
+    A handful of vector operations over the whole buffer and no loop over words, but spans can be made that collide
+    under every table. Nothing may be decided by these hashes.
+    """
+
+    def __init__(self, seed: int):
+        rng = np.random.default_rng(seed)
+        self.table = rng.integers(0, 1 << 63, 256, np.int64).view(np.uint64) * np.uint64(2) + np.uint64(1)
+        self.base = int(rng.integers(1 << 60, 1 << 62)) | 5
+        self.powers = self.inverses = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        def table(base: int) -> np.ndarray:
+            out, step = np.ones(1, np.uint64), base
+            while len(out) < n:
+                out, step = np.concatenate([out, out * np.uint64(step)]), step * step % (1 << 64)
+            return out
+
+        if len(self.powers) < n:
+            self.powers, self.inverses = table(self.base), table(pow(self.base, -1, 1 << 64))
+
+    def hash(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        self._grow(len(buf) + 1)
+        sums = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(self.table[buf] * self.powers[: len(buf)], out=sums[1:])
+        return mix64((sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64) * ODD)
+
+
 def roll(hashes: np.ndarray, width: int) -> np.ndarray:
     """A 64-bit hash of every run of ``width`` consecutive word hashes (order matters)."""
     n = len(hashes) - width + 1
