@@ -123,6 +123,33 @@ SELECT c.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, c.vec_id
 FROM c LEFT JOIN n USING (vec_id)
 """
 
+def _op8_sql() -> str:
+    """Row numbers, checksums and the permutation as SQL; the walk is a recursive query."""
+    p, keys = sharding.PRIME, sharding.ROUND_KEYS
+    first = f"((s.v % {p} + e.k) % {p})"
+    second = f"(({first} * {first} + (s.v // {p}) % {p} + e.k) % {p})"
+    state = "{{'u': {x} // b, 'v': {x} % b, 'm': a, 'w': b, 'k': 0::BIGINT}}"
+    rounds = ", ".join(f"{{'u': 0::BIGINT, 'v': 0::BIGINT, 'm': 0::BIGINT, 'w': 0::BIGINT, 'k': {k}::BIGINT}}" for k in keys)
+
+    def permuted(x: str) -> str:
+        step = f"lambda s, e: {{'u': s.v, 'v': (s.u + ({second} * {second} + {second}) % {p}) % s.m, 'm': s.w, 'w': s.m, 'k': 0::BIGINT}}"
+        return f"list_reduce([{state.format(x=x)}, {rounds}], {step})"
+
+    return f"""
+WITH RECURSIVE c AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i)),
+d AS (SELECT doc_id, (strlen(coalesce(text, '')) + 16)::BIGINT AS size, list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)) AS bytes FROM documents),
+k AS (SELECT doc_id, size, xor(list_reduce(bytes, lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295)::BIGINT AS text_crc32 FROM d, c),
+n AS (SELECT count(*) AS n, floor(sqrt(greatest(count(*) - 1, 0)))::BIGINT + 1 AS a FROM documents),
+g AS (SELECT n, a, greatest(1, (n + a - 1) // a)::BIGINT AS b FROM (SELECT n, a FROM n)),
+o AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS row_number FROM k),
+w AS (
+  SELECT row_number, r.u * b + r.v AS p FROM (SELECT row_number, b, {permuted('row_number')} AS r FROM o, g)
+  UNION ALL
+  SELECT row_number, r.u * b + r.v AS p FROM (SELECT row_number, b, {permuted('p')} AS r FROM w, g WHERE p >= n))
+SELECT doc_id, size, text_crc32, 'rows' AS law, (p % {SHARDS})::INT AS shard, p // {SHARDS} AS slot, NULL::INT AS grown_shard, row_number FROM o JOIN w USING (row_number), g WHERE p < n
+"""
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
@@ -139,4 +166,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_substring_dedup": OP1_SQL,
     "op4_embedding_dedup": OP4_SQL,
+    "op8_sharding": _op8_sql(),
 }
