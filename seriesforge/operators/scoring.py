@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesforge.functions.columns import momentum_label, momentum_score, risk_level
+from seriesforge.functions.lineage import cut
 from seriesforge.operators.risk import blend
 
 #: Phrases for a feature that pushes up or down; fixed values.
@@ -120,6 +121,8 @@ def drift_severity(psi: Column, churn: Column) -> Column:
 
 def drift_report(predictions: DataFrame) -> DataFrame:
     """Drift of every run against the one before it; the first run has none and is marked unavailable."""
+    # read by the churn, both stability indexes and both shifts: written once
+    predictions = cut(predictions.select("run_id", "predicted_at", "name", "momentum_score", "risk_score", "momentum_label", "risk_level"))
     sides = both_sides(predictions).select("curr_run", "side", "name", "momentum_score", "risk_score", "momentum_label", "risk_level")
     out = label_churn(sides)
     for c in ("momentum_score", "risk_score"):

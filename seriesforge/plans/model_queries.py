@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesforge.functions.lineage import cut
 from seriesforge.operators import models as M
 from seriesforge.operators import risk as R
 from seriesforge.operators import series as S
@@ -292,7 +293,7 @@ def e19_scatter_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gate figures of the line model: fitted on the earlier 80 % and tried on the rest; and fitted in folds of whole names."""
-    s = scored(spark, sf_dir)
+    s = cut(scored(spark, sf_dir))
     split = M.time_split(s, date="t")
     line = split.filter("NOT is_test").agg(F.regr_intercept("y", "persistence").alias("a"), F.regr_slope("y", "persistence").alias("b"))
     yhat = (F.col("a") + F.col("b") * F.col("persistence")).alias("yhat")
@@ -302,7 +303,7 @@ def _gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = folded.join(F.broadcast(held), F.col("fold") != F.col("held")).groupBy("held").agg(F.regr_intercept("y", "persistence").alias("a"), F.regr_slope("y", "persistence").alias("b"))
     unseen = folded.join(F.broadcast(lines), F.col("fold") == F.col("held")).select("y", yhat)
     n = s.agg(F.lit("line").alias("model_name"), F.count("*").alias("n"))
-    same, oof = (J.regression_metrics(d).select("r2").crossJoin(J.spearman(d, "y", "yhat")) for d in (seen, unseen))
+    same, oof = (J.regression_metrics(d).select("r2").crossJoin(J.spearman(d, "y", "yhat")) for d in map(cut, (seen, unseen)))
     return n.crossJoin(same).crossJoin(oof.select(F.col("r2").alias("oof_r2"), F.col("spearman").alias("oof_spearman")))
 
 

@@ -71,3 +71,19 @@ def test_empty_inputs_give_empty_results(spark):
     assert R.risk_frame(empty).count() == 0
     assert R.composite_score(empty).count() == 0
     assert G.parse_requirements(spark.createDataFrame([], "doc string, text string")).count() == 0
+
+
+def test_csv_and_json_sinks_and_the_run_record(spark, tmp_path):
+    import json
+
+    from seriesforge.operators import quality as Q
+    from seriesforge.sources import tables as T
+
+    df = spark.createDataFrame([(1, 1.5, "a"), (2, float("nan"), None), (3, float("inf"), "c,d")], "id int, v double, s string")
+    T.write_csv(df, str(tmp_path / "c"))
+    assert sorted(r["s"] or "" for r in spark.read.csv(str(tmp_path / "c"), header=True).collect()) == ["", "a", "c,d"]
+    T.write_json(df, str(tmp_path / "j"))
+    assert {r["id"]: r["v"] for r in spark.read.json(str(tmp_path / "j")).collect()} == {1: 1.5, 2: None, 3: None}
+    assert T.active_features(["a", "z"], ["a", "b"], ["d"], "b") == ["a", "b"] and T.active_features(["z"], ["a"], ["d"]) == ["d"]
+    row = Q.run_record(spark.createDataFrame([(5, 2)], "rows int, failures int"), "r1", {"ingest": 1.5}).first()
+    assert row["status"] == "success" and json.loads(row["counts"]) == {"rows": 5, "failures": 2} and json.loads(row["stages"]) == {"ingest": 1.5}
