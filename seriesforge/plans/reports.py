@@ -42,10 +42,11 @@ def audit_run(files: DataFrame, priorities: DataFrame, advisories: DataFrame, kn
 
     Requirement lists and project files are parsed by their path; verdicts come worst first.
     """
-    named = files.withColumn("doc", F.struct("doc", "branch", "path"))
+    named = files.withColumn("doc", F.to_json(F.struct("doc", "branch", "path")))
     project = F.col("path").endswith(".toml")
     parsed = G.parse_requirements(named.filter(~project)).select("doc", "name", "version").union(G.parse_pyproject(named.filter(project)).select("doc", "name", "version"))
-    flat = parsed.select(F.col("doc.doc").alias("repo"), F.col("doc.branch").alias("branch"), F.col("doc.path").alias("path"), "name", "version")
+    told = F.from_json("doc", "doc string, branch string, path string")
+    flat = parsed.select(told.alias("f"), "name", "version").select(F.col("f.doc").alias("repo"), "f.branch", "f.path", "name", "version")
     deps = G.choose_file(flat, priorities).select(F.col("repo").alias("doc"), "name", "version")
     exposed = G.exposure(deps, advisories).withColumn("max_severity", lookup("severity_rank", {1: "LOW", 2: "MODERATE", 3: "HIGH", 4: "CRITICAL"}))
     audited = cut(G.audit(exposed, known, G.week_trend(history)))
