@@ -7,6 +7,7 @@ functions those that need least squares or a recursion, one series (or series an
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,10 +15,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesforge.functions.columns import erfc
+
 SEASON, START, HORIZONS, MIN_LENGTH = 7, 60, (1, 3, 7), 90
-#: Asymptotic 5 % critical values of the unit-root statistic (constant; constant and trend), and of the level
-#: stationarity statistic with its p-value table, from the published papers; fixed values.
-ADF_5 = {"c": -2.861, "ct": -3.410}
+#: Response surfaces of the unit-root statistic's p-value (MacKinnon 1994, one variable), by deterministic terms:
+#: least, turning and greatest statistic, and the polynomials below and above the turning point; fixed values.
+UNIT_ROOT = {
+    "c": (-18.83, -1.61, 2.74, (2.1659, 1.4412, 0.038269), (1.7339, 0.93202, -0.12745, -0.010368)),
+    "ct": (-16.18, -2.89, 0.7, (3.2512, 1.6047, 0.049588), (2.5261, 0.61654, -0.37956, -0.060285)),
+}
+#: p-value table of the level stationarity statistic (Kwiatkowski et al. 1992); fixed values.
 KPSS_TABLE = ((0.347, 0.10), (0.463, 0.05), (0.574, 0.025), (0.739, 0.01))
 
 
@@ -28,38 +35,52 @@ def admit(history: DataFrame, least: int = MIN_LENGTH) -> DataFrame:
     return y.join(good, "name", "left_semi").select("name", (F.row_number().over(Window.partitionBy("name").orderBy("date")) - 1).alias("i"), "y")
 
 
-def autocorrelation(series: DataFrame, lags: int, value: str = "y") -> DataFrame:
-    """(name, n, lag, rho) by one equi-join on (name, i + lag)."""
+def autocorrelation(series: DataFrame, lags: int | DataFrame, value: str = "y") -> DataFrame:
+    """(name, n, lag, rho) by one equi-join on (name, i + lag); ``lags``: one number, or (name, lags) of each series."""
     m = series.groupBy("name").agg(F.avg(value).alias("m"), F.count("*").alias("n"), (F.var_pop(value) * F.count("*")).alias("ss"))
     c = series.join(m, "name").select("name", "i", "n", "ss", (F.col(value) - F.col("m")).alias("c"))
-    ahead = c.select("name", "n", "ss", F.col("c").alias("c0"), F.explode(F.sequence(F.lit(1), F.lit(lags))).alias("lag"), "i").withColumn("i", F.col("i") + F.col("lag"))
+    reach = c.withColumn("lags", F.lit(lags)) if isinstance(lags, int) else c.join(lags.select("name", "lags"), "name")
+    ahead = reach.filter("lags >= 1").select("name", "n", "ss", F.col("c").alias("c0"), F.explode(F.sequence(F.lit(1), F.col("lags"))).alias("lag"), "i").withColumn("i", F.col("i") + F.col("lag"))
     prod = ahead.join(c.select("name", "i", "c"), ["name", "i"]).groupBy("name", "n", "ss", "lag").agg(F.sum(F.col("c0") * F.col("c")).alias("p"))
     return prod.select("name", "n", "lag", (F.col("p") / F.col("ss")).alias("rho"))
 
 
-def chi2_tail_even(x: Column, dof: int) -> Column:
-    """Upper tail of the chi-square distribution for an even number of degrees of freedom (a finite sum)."""
-    half, term, total = x / 2, F.lit(1.0), F.lit(1.0)
-    for k in range(1, dof // 2):
-        term = term * half / k
+def chi2_tail(x: Column, dof: int) -> Column:
+    """Upper tail of the chi-square distribution: a finite sum, from a normal tail on where ``dof`` is odd."""
+    half, odd = x / 2, dof % 2
+    total, term = (erfc(F.sqrt(half)), F.sqrt(half) * F.exp(-half) / math.gamma(1.5)) if odd else (F.lit(0.0), F.exp(-half))
+    for k in range(dof // 2):
         total = total + term
-    return F.exp(-half) * total
+        term = term * half / (k + 1 + odd / 2)
+    return total
 
 
 def ljung_box(series: DataFrame, lags: int = 14, value: str = "y") -> DataFrame:
-    """(name, q, p_value): autocorrelation up to ``lags`` (even, for the closed p-value)."""
+    """(name, q, p_value): autocorrelation up to ``lags``."""
     q = F.first("n") * (F.first("n") + 2) * F.sum(F.col("rho") ** 2 / (F.col("n") - F.col("lag")))
     told = autocorrelation(series, lags, value).groupBy("name").agg(q.alias("q"))
-    return told.withColumn("p_value", chi2_tail_even(F.col("q"), lags) if lags % 2 == 0 else F.lit(None).cast("double"))
+    return told.withColumn("p_value", chi2_tail(F.col("q"), lags))
+
+
+def automatic_bandwidth(series: DataFrame) -> DataFrame:
+    """(name, lags): Bartlett bandwidth of each series from its first n^(2/9) autocorrelations (Hobijn et al. 1998)."""
+    n = series.groupBy("name").agg(F.count("*").alias("n"))
+    first = n.select("name", "n", F.floor(F.pow("n", F.lit(2 / 9))).cast("int").alias("lags"))
+    acf = autocorrelation(series, first).groupBy("name").agg(F.sum("rho").alias("s0"), F.sum(F.col("lag") * F.col("rho")).alias("s1"))
+    s = F.coalesce(2 * F.col("s1") / (1 + 2 * F.col("s0")), F.lit(0.0))
+    lags = F.floor(1.1447 * F.pow(s * s * F.col("n"), F.lit(1 / 3))).cast("int")
+    return first.join(acf, "name", "left").select("name", F.least(lags, F.col("n").cast("int") - 1).alias("lags"))
 
 
-def kpss(series: DataFrame, lags: int) -> DataFrame:
-    """(name, stat, p_value, floored): level stationarity with a fixed Bartlett bandwidth, p interpolated and clipped."""
+def kpss(series: DataFrame, lags: int | None = None) -> DataFrame:
+    """(name, stat, p_value, floored): level stationarity, p interpolated and clipped; without ``lags`` the bandwidth is automatic."""
     w = Window.partitionBy("name").orderBy("i")
     c = series.withColumn("c", F.col("y") - F.avg("y").over(Window.partitionBy("name"))).withColumn("s", F.sum("c").over(w))
     eta = c.groupBy("name").agg(F.sum(F.col("s") ** 2).alias("s2"), F.sum(F.col("c") ** 2).alias("ss"), F.count("*").alias("n"))
-    acf = autocorrelation(series, lags).groupBy("name").agg(F.sum(2 * (1 - F.col("lag") / (lags + 1)) * F.col("rho")).alias("r"))
-    stat = eta.join(acf, "name").select("name", (F.col("s2") / F.col("n") ** 2 / (F.col("ss") * (1 + F.col("r")) / F.col("n"))).alias("stat"))
+    width = automatic_bandwidth(series) if lags is None else eta.select("name", F.lit(lags).alias("lags"))
+    acf = autocorrelation(series, width).join(width, "name").groupBy("name").agg(F.sum(2 * (1 - F.col("lag") / (F.col("lags") + 1)) * F.col("rho")).alias("r"))
+    long_run = F.col("ss") * (1 + F.coalesce("r", F.lit(0.0))) / F.col("n")
+    stat = eta.join(acf, "name", "left").select("name", (F.col("s2") / F.col("n") ** 2 / long_run).alias("stat"))
     p = F.lit(KPSS_TABLE[-1][1])
     for (x0, p0), (x1, p1) in reversed(list(zip(KPSS_TABLE, KPSS_TABLE[1:], strict=False))):
         p = F.when(F.col("stat") < x1, p0 + (F.col("stat") - x0) / (x1 - x0) * (p1 - p0)).otherwise(p)
@@ -91,15 +112,26 @@ def _adf(y: np.ndarray, trend: bool) -> tuple[float, int]:
     return float(b[0] / math.sqrt(max(s2 * np.linalg.pinv(x.T @ x)[0, 0], 1e-300))), best[1]
 
 
+def unit_root_p(stat: float, terms: str) -> float:
+    """p-value of a unit-root statistic from its response surface."""
+    least, turn, most, below, above = UNIT_ROOT[terms]
+    if not least <= stat <= most:
+        return float(stat > most)
+    z = sum(b * stat**k for k, b in enumerate(below if stat <= turn else above))
+    return math.erfc(-z / math.sqrt(2)) / 2
+
+
 def adf(series: DataFrame) -> DataFrame:
-    """Unit-root statistics of each series: level with constant, with trend, and of the differences; 5 % verdicts."""
+    """Unit-root statistics and p-values of each series: level with constant, with trend, and of the differences."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         y = pdf.sort_values("i")["y"].to_numpy()
         (c, k), (ct, _), (dc, _) = _adf(y, False), _adf(y, True), _adf(np.diff(y), False)
-        return pd.DataFrame([(pdf["name"].iloc[0], c, k, ct, dc, c < ADF_5["c"], ct < ADF_5["ct"], dc < ADF_5["c"])])
+        ps = [unit_root_p(c, "c"), unit_root_p(ct, "ct"), unit_root_p(dc, "c")]
+        return pd.DataFrame([(pdf["name"].iloc[0], c, k, ct, dc, *ps, *[p < 0.05 for p in ps])])
 
-    return series.groupBy("name").applyInPandas(run, "name string, adf_c double, lag int, adf_ct double, adf_diff double, rejects_c boolean, rejects_ct boolean, rejects_diff boolean")
+    kinds = "name string, adf_c double, lag int, adf_ct double, adf_diff double, p_c double, p_ct double, p_diff double, rejects_c boolean, rejects_ct boolean, rejects_diff boolean"
+    return series.groupBy("name").applyInPandas(run, kinds)
 
 
 def integration(adf_rows: DataFrame, kpss_rows: DataFrame) -> DataFrame:
@@ -107,7 +139,7 @@ def integration(adf_rows: DataFrame, kpss_rows: DataFrame) -> DataFrame:
     j = adf_rows.join(kpss_rows.select("name", "p_value"), "name")
     a, k = F.col("rejects_c"), F.col("p_value") < 0.05
     cell = F.when(a & ~k, "stationary").when(~a & k, "unit_root").when(a & k, "conflict").otherwise("inconclusive")
-    order = F.when(a, "I(0)").when(F.col("rejects_diff"), "I(1)").otherwise("I(2)+")
+    order = F.when(a & (F.col("p_value") > 0.05), "I(0)").when(F.col("rejects_diff"), "I(1)").otherwise("I(2)+")
     return j.select("name", cell.alias("cell"), order.alias("integration"))
 
 
@@ -127,7 +159,7 @@ def seasonal_strength(parts: DataFrame) -> DataFrame:
 
 
 def arch_lm(parts: DataFrame, lags: int = SEASON) -> DataFrame:
-    """(name, lm): n times R2 of squared remainders on their own lags."""
+    """(name, lm, p_value): n times R2 of squared remainders on their own lags."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         e = pdf.sort_values("i")["resid"].to_numpy() ** 2
@@ -138,7 +170,7 @@ def arch_lm(parts: DataFrame, lags: int = SEASON) -> DataFrame:
         r2 = 1 - float(((y - x @ b) ** 2).sum()) / total if total > 0 else 0.0
         return pd.DataFrame([(pdf["name"].iloc[0], len(y) * r2)])
 
-    return parts.groupBy("name").applyInPandas(run, "name string, lm double")
+    return parts.groupBy("name").applyInPandas(run, "name string, lm double").withColumn("p_value", chi2_tail(F.greatest("lm", F.lit(0.0)), lags))
 
 
 def jarque_bera(parts: DataFrame, value: str = "resid") -> DataFrame:
@@ -216,6 +248,14 @@ def holt_winters(series: DataFrame, start: int = START, grid: tuple = GRID, hori
     return best.select("name", "i", "h", "x.ets", F.sqrt("x.mse").alias("sigma"))
 
 
+def seasonal_residuals(series: DataFrame) -> DataFrame:
+    """(name, i, sigma): spread of the seasonal-naive errors up to and with each row; 1e-6 where they do not vary."""
+    w = Window.partitionBy("name").orderBy("i")
+    e = series.select("name", "i", (F.col("y") - F.lag("y", SEASON).over(w)).alias("e"))
+    s = F.stddev_pop("e").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return e.select("name", "i", F.when(s > 0, s).otherwise(1e-6).alias("sigma"))
+
+
 def interval_coverage(forecasts: DataFrame, yhat: str, sigma: str) -> DataFrame:
     inside = F.abs(F.col("actual") - F.col(yhat)) <= 1.96 * F.col(sigma)
     return forecasts.filter("h = 1").groupBy("name").agg(F.avg(inside.cast("int")).alias("coverage"))
@@ -240,11 +280,23 @@ def forecast_summary(errors: DataFrame, models: tuple[str, ...]) -> DataFrame:
     return errors.groupBy("h").agg(F.count("*").alias("n_series"), *med, F.round(F.avg((F.col(models[0]) < F.col(models[1])).cast("int")), 3).alias("beats"))
 
 
-def diagnostics_summary(strengths: DataFrame, boxes: DataFrame, cells: DataFrame) -> DataFrame:
-    """Shares over all series: seasonal, autocorrelated, and per cell; median seasonal strength."""
-    j = strengths.join(boxes.select("name", F.col("p_value").alias("lb_p")), "name").join(cells, "name")
+def diagnostics_summary(series: DataFrame) -> DataFrame:
+    """One row over all series: shares by verdict of each test at 5 %, counts of joint cells and orders, median strength."""
+    parts, roots, level = decompose(series), adf(series), kpss(series)
+
+    def p(told: DataFrame, name: str) -> DataFrame:
+        return told.select("name", F.col("p_value").alias(name))
+
+    j = roots.select("name", "rejects_c", "rejects_ct").join(level.select("name", "floored"), "name").join(integration(roots, level), "name")
+    j = reduce(lambda x, y: x.join(y, "name"), (p(ljung_box(series), "lb"), p(level, "kpss"), seasonal_strength(parts), p(arch_lm(parts), "arch"), p(jarque_bera(parts), "jb")), j)
+    c = F.col
+    shares = {
+        "adf_c_rejects_share": c("rejects_c"), "adf_ct_rejects_share": c("rejects_ct"), "kpss_rejects_share": c("kpss") < 0.05, "kpss_floored_share": c("floored"),
+        "autocorrelated_share": c("lb") < 0.05, "seasonal_share": c("strength") > 0.3, "heteroscedastic_share": c("arch") < 0.05, "nonnormal_share": c("jb") < 0.05,
+    }
     return j.agg(
-        F.count("*").alias("n_series"), F.round(F.avg((F.col("strength") > 0.3).cast("int")), 3).alias("seasonal_share"),
-        F.round(F.avg((F.col("lb_p") < 0.05).cast("int")), 3).alias("autocorrelated_share"), F.round(F.percentile("strength", F.lit(0.5)), 3).alias("median_strength"),
-        *[F.count_if(F.col("cell") == c).alias(c) for c in ("stationary", "unit_root", "conflict", "inconclusive")],
+        F.count("*").alias("n_series"), *[F.round(F.avg(v.cast("int")), 3).alias(k) for k, v in shares.items()],
+        F.round(F.percentile("strength", F.lit(0.5)), 3).alias("median_strength"),
+        *[F.count_if(c("cell") == x).alias(x) for x in ("stationary", "unit_root", "conflict", "inconclusive")],
+        *[F.count_if(c("integration") == x).alias(k) for k, x in (("order_0", "I(0)"), ("order_1", "I(1)"), ("order_2_or_more", "I(2)+"))],
     )
