@@ -44,9 +44,63 @@ def history_user(duck: bool = False) -> str:
 FROM events GROUP BY user_id, CAST(ts AS DATE)"""
 
 
+def history_named(duck: bool = False) -> str:
+    return """SELECT s_name AS name, CAST(l_shipdate AS DATE) AS date, CAST(sum(l_quantity) AS BIGINT) AS downloads
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY s_name, CAST(l_shipdate AS DATE)"""
+
+
+def _state_direct() -> str:
+    """Figures of each supplier at each month-end from all its lines up to then, joined by range (DuckDB)."""
+    d, m = day("l.sd", True), day("m.m", True)
+    return f"""  SELECT l.l_suppkey, m.m, count(*) AS lines, count(DISTINCT l.l_orderkey) AS orders, count(DISTINCT l.l_partkey) AS parts,
+    CAST(nullif(sum(CASE WHEN {m} - {d} < 7 THEN l.l_quantity ELSE 0 END), 0) AS BIGINT) AS downloads_7d,
+    CAST(nullif(sum(CASE WHEN {m} - {d} < 28 THEN l.l_quantity ELSE 0 END), 0) AS BIGINT) AS downloads_28d,
+    CAST(sum(CASE WHEN {m} - {d} >= 28 AND {m} - {d} < 56 THEN l.l_quantity ELSE 0 END) AS BIGINT) AS prev_28d,
+    CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS open_issues,
+    CAST(sum(CASE WHEN l.l_returnflag = 'N' AND {m} - {d} < 7 THEN 1 ELSE 0 END) AS BIGINT) AS prs_merged_7d,
+    CAST(sum(CASE WHEN l.l_returnflag = 'R' AND {m} - {d} < 7 THEN 1 ELSE 0 END) AS BIGINT) AS issues_opened_7d,
+    max(CASE WHEN l.l_quantity = 50 THEN {d} END) AS last_release, min(CASE WHEN l.l_quantity = 50 THEN {d} END) AS first_release,
+    CAST(sum(CASE WHEN l.l_quantity = 50 THEN 1 ELSE 0 END) AS BIGINT) AS version_count,
+    CAST(sum(CASE WHEN l.l_quantity <= 5 AND l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS vuln_count,
+    CAST(sum(CASE WHEN l.l_quantity <= 5 AND l.l_returnflag = 'R' AND {m} - {d} <= 14 THEN 1 ELSE 0 END) AS BIGINT) AS vuln_new_14d,
+    CAST(sum(CASE WHEN l.l_quantity <= 5 AND l.l_returnflag = 'R' AND {m} - {d} <= 28 THEN 1 ELSE 0 END) AS BIGINT) AS vuln_new_28d,
+    max(CASE WHEN l.l_quantity = 1 AND l.l_returnflag = 'R' THEN l.l_linenumber END) AS worst
+  FROM (SELECT *, CAST(l_shipdate AS DATE) AS sd FROM lineitem) l
+  JOIN (SELECT DISTINCT last_day(CAST(l_shipdate AS DATE)) AS m FROM lineitem) m ON l.sd <= m.m
+  GROUP BY l.l_suppkey, m.m"""
+
+
+def _state_cumulated() -> str:
+    """The same figures on Spark: lines aggregate once per (supplier, month), windows cumulate.
+
+    A line counts in its own month and, for the recent sums, in the next one: 56 days before a month-end never reach
+    further back. An order or part counts in the month in which its supplier first had it.
+    """
+    age = "unix_date(m) - d"
+    return f"""WITH l AS (SELECT l_suppkey, l_orderkey, l_partkey, l_quantity AS q, l_returnflag AS f, l_linenumber, unix_date(CAST(l_shipdate AS DATE)) AS d, last_day(CAST(l_shipdate AS DATE)) AS own FROM lineitem),
+  per AS (SELECT l_suppkey, m, count_if(m = own) AS lines, sum(CASE WHEN {age} < 7 THEN q END) AS d7, sum(CASE WHEN {age} < 28 THEN q END) AS d28,
+      sum(CASE WHEN {age} >= 28 AND {age} < 56 THEN q END) AS p28, count_if(m = own AND f = 'R') AS open_issues, count_if({age} < 7 AND f = 'N') AS prs, count_if({age} < 7 AND f = 'R') AS issues,
+      max(CASE WHEN m = own AND q = 50 THEN CAST(d AS BIGINT) END) AS last_release, min(CASE WHEN m = own AND q = 50 THEN CAST(d AS BIGINT) END) AS first_release, count_if(m = own AND q = 50) AS versions,
+      count_if(m = own AND q <= 5 AND f = 'R') AS vulns, count_if({age} <= 14 AND q <= 5 AND f = 'R') AS v14, count_if({age} <= 28 AND q <= 5 AND f = 'R') AS v28,
+      max(CASE WHEN m = own AND q = 1 AND f = 'R' THEN l_linenumber END) AS worst
+    FROM (SELECT *, explode(array(own, last_day(add_months(own, 1)))) AS m FROM l) GROUP BY l_suppkey, m),
+  fo AS (SELECT l_suppkey, m, count(*) AS n FROM (SELECT l_suppkey, min(own) AS m FROM l GROUP BY l_suppkey, l_orderkey) GROUP BY l_suppkey, m),
+  fp AS (SELECT l_suppkey, m, count(*) AS n FROM (SELECT l_suppkey, min(own) AS m FROM l GROUP BY l_suppkey, l_partkey) GROUP BY l_suppkey, m),
+  months AS (SELECT DISTINCT m FROM per WHERE lines > 0),
+  life AS (SELECT l_suppkey, trunc(min(m), 'MM') AS first FROM per WHERE lines > 0 GROUP BY l_suppkey),
+  days AS (SELECT l_suppkey, explode(sequence(first, (SELECT max(m) FROM months), INTERVAL 1 MONTH)) AS day FROM life),
+  grid AS (SELECT l_suppkey, last_day(day) AS m FROM days)
+  SELECT l_suppkey, m, sum(coalesce(lines, 0)) OVER w AS lines, sum(coalesce(fo.n, 0)) OVER w AS orders, sum(coalesce(fp.n, 0)) OVER w AS parts,
+    CAST(nullif(d7, 0) AS BIGINT) AS downloads_7d, CAST(nullif(d28, 0) AS BIGINT) AS downloads_28d, CAST(coalesce(p28, 0) AS BIGINT) AS prev_28d,
+    sum(coalesce(open_issues, 0)) OVER w AS open_issues, coalesce(prs, 0) AS prs_merged_7d, coalesce(issues, 0) AS issues_opened_7d,
+    max(last_release) OVER w AS last_release, min(first_release) OVER w AS first_release, sum(coalesce(versions, 0)) OVER w AS version_count,
+    sum(coalesce(vulns, 0)) OVER w AS vuln_count, coalesce(v14, 0) AS vuln_new_14d, coalesce(v28, 0) AS vuln_new_28d, max(worst) OVER w AS worst
+  FROM grid LEFT SEMI JOIN months USING (m) LEFT JOIN per USING (l_suppkey, m) LEFT JOIN fo USING (l_suppkey, m) LEFT JOIN fp USING (l_suppkey, m)
+  WINDOW w AS (PARTITION BY l_suppkey ORDER BY m)"""
+
+
 def snapshots(duck: bool = False) -> str:
-    """One row per supplier and half-year end, from that supplier's lines up to then (see FIXTURES.md, V4)."""
-    d, m = day("l.sd", duck), day("m.m", duck)
+    """One row per supplier and month-end, from that supplier's lines up to then (see FIXTURES.md, V4)."""
     return f"""SELECT CAST(year(x.m) * 100 + month(x.m) AS VARCHAR(6)) AS run_id, x.m AS snapshot_date, s_name AS name, r_name AS category,
   CASE WHEN x.l_suppkey % 3 = 0 THEN NULL ELSE concat('org', CAST(x.l_suppkey % 10 AS VARCHAR(4)), '/', s_name) END AS repo,
   x.downloads_7d, x.downloads_28d, x.prev_28d, CAST(x.orders AS BIGINT) AS stars, x.lines AS forks, x.open_issues,
@@ -62,23 +116,7 @@ def snapshots(duck: bool = False) -> str:
   x.vuln_count, x.vuln_new_14d, x.vuln_new_28d,
   CASE WHEN x.worst IS NULL THEN NULL WHEN x.worst <= 2 THEN 'LOW' WHEN x.worst <= 4 THEN 'MODERATE' WHEN x.worst <= 6 THEN 'HIGH' ELSE 'CRITICAL' END AS max_severity,
   CAST(x.m AS TIMESTAMP) AS ingested_at
-FROM (
-  SELECT l.l_suppkey, m.m, count(*) AS lines, count(DISTINCT l.l_orderkey) AS orders, count(DISTINCT l.l_partkey) AS parts,
-    CAST(nullif(sum(CASE WHEN {m} - {d} < 7 THEN l.l_quantity ELSE 0 END), 0) AS BIGINT) AS downloads_7d,
-    CAST(nullif(sum(CASE WHEN {m} - {d} < 28 THEN l.l_quantity ELSE 0 END), 0) AS BIGINT) AS downloads_28d,
-    CAST(sum(CASE WHEN {m} - {d} >= 28 AND {m} - {d} < 56 THEN l.l_quantity ELSE 0 END) AS BIGINT) AS prev_28d,
-    CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS open_issues,
-    CAST(sum(CASE WHEN l.l_returnflag = 'N' AND {m} - {d} < 7 THEN 1 ELSE 0 END) AS BIGINT) AS prs_merged_7d,
-    CAST(sum(CASE WHEN l.l_returnflag = 'R' AND {m} - {d} < 7 THEN 1 ELSE 0 END) AS BIGINT) AS issues_opened_7d,
-    max(CASE WHEN l.l_quantity = 50 THEN {d} END) AS last_release, min(CASE WHEN l.l_quantity = 50 THEN {d} END) AS first_release,
-    CAST(sum(CASE WHEN l.l_quantity = 50 THEN 1 ELSE 0 END) AS BIGINT) AS version_count,
-    CAST(sum(CASE WHEN l.l_quantity <= 5 AND l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS vuln_count,
-    CAST(sum(CASE WHEN l.l_quantity <= 5 AND l.l_returnflag = 'R' AND {m} - {d} <= 14 THEN 1 ELSE 0 END) AS BIGINT) AS vuln_new_14d,
-    CAST(sum(CASE WHEN l.l_quantity <= 5 AND l.l_returnflag = 'R' AND {m} - {d} <= 28 THEN 1 ELSE 0 END) AS BIGINT) AS vuln_new_28d,
-    max(CASE WHEN l.l_quantity = 1 AND l.l_returnflag = 'R' THEN l.l_linenumber END) AS worst
-  FROM (SELECT *, CAST(l_shipdate AS DATE) AS sd FROM lineitem) l
-  JOIN (SELECT DISTINCT last_day(CAST(l_shipdate AS DATE)) AS m FROM lineitem WHERE month(l_shipdate) IN (6, 12)) m ON l.sd <= m.m
-  GROUP BY l.l_suppkey, m.m) x
+FROM ({_state_direct() if duck else _state_cumulated()}) x
 JOIN supplier ON s_suppkey = x.l_suppkey JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey"""
 
 
@@ -107,7 +145,7 @@ FROM (SELECT *, round(100 / (1 + exp(-3.0E0 * growth)), 1) AS momentum_score
 
 
 def model_runs(duck: bool = False) -> str:
-    """Metric rows of two models per half year, champions by running maximum, some without a value."""
+    """Metric rows of two models per month, champions by running maximum, some without a value."""
     return f"""SELECT run_id, model_name, trained_at, concat(model_name, '-', run_id) AS version, metric_name,
   CASE WHEN CAST(run_id AS INT) % 7 = 3 THEN CAST('NaN' AS DOUBLE) ELSE metric_value END AS metric_value,
   CASE WHEN CAST(run_id AS INT) % 7 = 3 THEN false
@@ -139,7 +177,7 @@ def requirements(duck: bool = False) -> str:
 
 
 def scored(duck: bool = False) -> str:
-    """Held-out style rows (name, t, y, persistence, yhat): half-year growth of each supplier, damped persistence as forecast."""
+    """Held-out style rows (name, t, y, persistence, yhat): monthly growth of each supplier, damped persistence as forecast."""
     return f"""SELECT name, snapshot_date AS t, y, persistence, 0.1E0 + 0.4E0 * persistence AS yhat
 FROM (SELECT name, snapshot_date, g AS y, lag(g) OVER (PARTITION BY name ORDER BY snapshot_date) AS persistence
   FROM (SELECT name, snapshot_date, round(ln((coalesce(downloads_28d, 0) + 1) / CAST(prev_28d + 1 AS DOUBLE)), 6) AS g

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesforge.plans import fixtures as X
-from seriesforge.plans.registry import query
+from seriesforge.plans.registry import query, rounded
 from seriesforge.plans.risk_queries import _LABEL, _LATEST, _SNAP, snaps
-from seriesforge.plans.series_queries import _H, brand
+from seriesforge.plans.series_queries import _DATE, _H, _SM, _sums, brand
 from seriesforge.sources import payloads as P
 from seriesforge.sources import tables as T
 
@@ -252,7 +252,14 @@ def a12_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_H} SELECT name, count(*) AS n FROM h GROUP BY name")
 def a14_landed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = series_payloads(spark, sf_dir).withColumn("source", F.lit("downloads"))
+    """Payloads landed as JSON files and scanned from there."""
+    from uuid import uuid4
+
+    from seriesforge.functions.lineage import shared_folder
+
+    folder = f"{shared_folder(spark)}/landed-{uuid4().hex}"
+    series_payloads(spark, sf_dir).withColumn("source", F.lit("downloads")).write.partitionBy("source").json(folder)
+    landed = T.scan_landed(spark, folder, "name string, payload string, source string").filter("source = 'downloads'")
     kind = "struct<data: array<struct<date: string>>>"
     return landed.select("name", F.size(F.from_json("payload", kind)["data"]).cast("bigint").alias("n"))
 
@@ -277,16 +284,21 @@ def m1_incremental_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.read_series(spark, f"{root}/table").select("name", "date", "downloads")
 
 
-@query(f"""WITH {_SNAP}, {_LATEST} SELECT 'now' AS run_id, name, category, vuln_new_28d::DOUBLE AS vuln_new_28d, days_since_last_release, {_LABEL} AS at_risk_label, true AS is_scoring_row FROM cur""")
+@query(f"""WITH {_SNAP}, {_LATEST}, {_SM.replace(X.history_brand(), X.history_named())}, o AS (SELECT name, max(d) AS t FROM hd GROUP BY name), a AS ({_sums('o')})
+SELECT 'now' AS run_id, a.name, category, {_DATE.format('a.t')} AS feature_date, round(s7, 4) AS downloads_7d, round(s28, 4) AS downloads_28d, round(s7 / 7, 4) AS download_velocity, stars::DOUBLE AS stars,
+bus_factor::DOUBLE AS bus_factor, scorecard_overall, vuln_new_28d::DOUBLE AS vuln_new_28d, days_since_last_release, {_LABEL} AS at_risk_label, true AS is_scoring_row
+FROM a LEFT JOIN cur ON cur.name = a.name WHERE s7 > 0""")
 def c17_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide feature table of the latest run (suppliers' series with the suppliers' snapshots)."""
+    """The wide feature table of the latest run (suppliers' series with the suppliers' snapshots), written and read back."""
+    from uuid import uuid4
+
+    from seriesforge.functions.lineage import shared_folder
     from seriesforge.operators import risk as R
     from seriesforge.operators import series as S
     from seriesforge.operators.reads import latest_run
 
-    h = X.read(spark, sf_dir, X.history_supplier())
-    names = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("key"), F.col("s_name").alias("name"))
-    named = h.join(names.withColumnRenamed("name", "n"), h["name"] == names["key"]).select(F.col("n").alias("name"), "date", "downloads")
     cur = latest_run(snaps(spark, sf_dir), "snapshot_date").drop("run_id")
-    table = S.feature_table(S.scoring_frame(named), R.risk_frame(cur), cur, "now")
-    return table.select("run_id", "name", "category", "vuln_new_28d", "days_since_last_release", "at_risk_label", "is_scoring_row")
+    table = S.feature_table(S.scoring_frame(X.read(spark, sf_dir, X.history_named())), R.risk_frame(cur), cur, "now")
+    folder = f"{shared_folder(spark)}/features-{uuid4().hex}"
+    table.write.parquet(folder)
+    return rounded(spark.read.parquet(folder), 4)

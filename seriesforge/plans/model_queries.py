@@ -206,15 +206,17 @@ dl AS (SELECT {ka}b.pos - a.pos AS lag, avg(a.c * b.c) AS cv, any_value(a.n) AS
 dm AS (SELECT {k}any_value(n) AS n, any_value(m) AS mean_loss_diff, sum(CASE WHEN lag = 0 THEN cv ELSE 2 * (1 - lag / (least({lag}, n - 1) + 1)) * cv END) AS v FROM dl {g})"""
 
 
-_P = "(1 / (1 + (abs(dm_stat) / sqrt(2)) / 2))"
+#: Two-sided normal p-value in DuckDB: the error function by its series of positive terms.
+_P = "greatest(0, 1 - list_sum(list_transform(range(0, 200), lambda k: exp((2 * k + 1) * ln(greatest(abs(z), 1e-12) / sqrt(2)) - lgamma(k + 1.5) - z * z / 2))))"
 
 
 @query(f"""WITH {_SC}, ls AS (SELECT (y - yhat) ** 2 - (y - persistence) ** 2 AS d, {{'a': name, 'b': t}} AS ord FROM sc), {_dm('ls', '69')}
-SELECT n, round(mean_loss_diff, 6) AS mean_loss_diff, round(mean_loss_diff / sqrt(greatest(v, 1e-12) / n), 5) AS dm_stat, CASE WHEN mean_loss_diff < 0 THEN 'model' ELSE 'benchmark' END AS favored FROM dm""")
+SELECT n, round(mean_loss_diff, 6) AS mean_loss_diff, round(z, 5) AS dm_stat, round({_P}, 5) AS p_value, CASE WHEN mean_loss_diff < 0 THEN 'model' ELSE 'benchmark' END AS favored
+FROM (SELECT *, mean_loss_diff / sqrt(greatest(v, 1e-12) / n) AS z FROM dm) x""")
 def j14_diebold_mariano(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = scored(spark, sf_dir).withColumn("d", (F.col("y") - F.col("yhat")) ** 2 - (F.col("y") - F.col("persistence")) ** 2)
     out = J.diebold_mariano(d, 70)
-    return out.select("n", F.round("mean_loss_diff", 6).alias("mean_loss_diff"), F.round("dm_stat", 5).alias("dm_stat"), "favored")
+    return out.select("n", F.round("mean_loss_diff", 6).alias("mean_loss_diff"), F.round("dm_stat", 5).alias("dm_stat"), F.round("p_value", 5).alias("p_value"), "favored")
 
 
 @query(f"""WITH {_SC}, mn AS (SELECT name, avg(y) AS y, avg(yhat) AS yhat, count(*) AS k FROM sc GROUP BY name), wi AS (SELECT sc.y - mn.y AS y, sc.yhat - mn.yhat AS yhat FROM sc JOIN mn USING (name))

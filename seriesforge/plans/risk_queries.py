@@ -298,11 +298,20 @@ def i6_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.leaderboard(latest(spark, sf_dir))
 
 
-@query(f"WITH {_SNAP}, one AS (SELECT min(name) AS name FROM snap) SELECT run_id, snapshot_date, name, stars, vuln_count FROM snap WHERE name = (SELECT name FROM one)")
+@query(f"""WITH {_SNAP}, {_PRED}, {_LATEST_PRED}, one AS (SELECT min(s_name) AS name FROM supplier)
+SELECT 'prediction' AS part, CAST(predicted_at AS DATE) AS date, momentum_score, risk_score, NULL::BIGINT AS downloads, NULL::BIGINT AS stars, NULL::BIGINT AS forks, NULL::BIGINT AS open_issues, NULL::BIGINT AS downloads_7d FROM lp WHERE name = (SELECT name FROM one)
+UNION ALL SELECT 'history', date, NULL, NULL, downloads, NULL, NULL, NULL, NULL FROM ({X.history_named(True)}) h WHERE name = (SELECT name FROM one)
+UNION ALL SELECT 'snapshots', snapshot_date, NULL, NULL, NULL, stars, forks, open_issues, downloads_7d FROM snap WHERE name = (SELECT name FROM one)""")
 def i7_package_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = snaps(spark, sf_dir)
+    """The three parts of one name's page in one table."""
     name = spark.read.parquet(f"{sf_dir}/supplier.parquet").agg(F.min("s_name").alias("n")).first()["n"]
-    return V.detail(name, preds(spark, sf_dir), X.read(spark, sf_dir, X.history_supplier()), s)["snapshots"].select("run_id", "snapshot_date", "name", "stars", "vuln_count")
+    d = V.detail(name, preds(spark, sf_dir), X.read(spark, sf_dir, X.history_named()), snaps(spark, sf_dir))
+    parts = {
+        "prediction": [F.col("predicted_at").cast("date").alias("date"), "momentum_score", "risk_score"], "history": ["date", "downloads"],
+        "snapshots": [F.col("snapshot_date").alias("date"), "stars", "forks", "open_issues", "downloads_7d"],
+    }
+    rows = [d[k].select(F.lit(k).alias("part"), *c) for k, c in parts.items()]
+    return rows[0].unionByName(rows[1], allowMissingColumns=True).unionByName(rows[2], allowMissingColumns=True)
 
 
 @query(f"WITH m AS ({X.model_runs(True)}) SELECT run_id, model_name, CAST(trained_at AS DATE) AS trained_on, metric_name, metric_value FROM m WHERE NOT isnan(metric_value)")

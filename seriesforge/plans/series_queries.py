@@ -145,12 +145,21 @@ def c15_validation_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(S.validation_frame(brand(spark, sf_dir)))
 
 
+_Z = {"all": "g", "date": "d", "name": "n"}
+
+
 @query(f"""WITH t AS ({TRAINING_SQL}) SELECT name, feature_date,
-round(CASE WHEN stddev_pop(log_d28) OVER g > 0 THEN (log_d28 - avg(log_d28) OVER g) / stddev_pop(log_d28) OVER g ELSE 0 END, 4) AS z_all,
-round(CASE WHEN stddev_pop(log_d28) OVER d > 0 THEN (log_d28 - avg(log_d28) OVER d) / stddev_pop(log_d28) OVER d ELSE 0 END, 4) AS z_date,
-round(CASE WHEN stddev_pop(log_d28) OVER n > 0 THEN (log_d28 - avg(log_d28) OVER n) / stddev_pop(log_d28) OVER n ELSE 0 END, 4) AS z_name
+{', '.join(f"round(CASE WHEN stddev_pop({c}) OVER {w} > 0 THEN ({c} - avg({c}) OVER {w}) / stddev_pop({c}) OVER {w} ELSE 0 END, 4) AS {c}_{k}" for k, w in _Z.items() for c in S.FEATURES)}
 FROM t WINDOW g AS (), d AS (PARTITION BY feature_date), n AS (PARTITION BY name)""")
 def c18_normalisations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = rounded(S.training_frame(brand(spark, sf_dir))).select("name", "feature_date", *[F.col("log_d28").alias(c) for c in ("z_all", "z_date", "z_name")])
-    t = S.standardise(S.standardise(S.standardise(t, ["z_all"], []), ["z_date"], ["feature_date"]), ["z_name"], ["name"])
+    """Every active feature standardised over the whole frame, per date and within each name."""
+    t = rounded(S.training_frame(brand(spark, sf_dir))).select("name", "feature_date", *[F.col(c).alias(f"{c}_{k}") for k in _Z for c in S.FEATURES])
+    for k, by in (("all", []), ("date", ["feature_date"]), ("name", ["name"])):
+        t = S.standardise(t, [f"{c}_{k}" for c in S.FEATURES], by)
     return rounded(t, 4)
+
+
+@query(f"WITH t AS ({TRAINING_SQL}) SELECT name, feature_date, {', '.join(c for c in S.FEATURES if c.startswith('mom_'))}, growth_target_70d FROM t")
+def c18_momentum_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ablation that keeps the momentum ratios alone."""
+    return rounded(S.training_frame(brand(spark, sf_dir)).select("name", "feature_date", *[c for c in S.FEATURES if c.startswith("mom_")], "growth_target_70d"))

@@ -141,6 +141,12 @@ def write_json(df: DataFrame, path: str) -> None:
     finite(df).write.mode("overwrite").json(path)
 
 
+def scan_landed(spark: SparkSession, path: str, schema: str, kind: str = "json") -> DataFrame:
+    """Landed files (json, csv or parquet) under an explicit schema: no pass to infer it, partition folders become columns."""
+    reader = spark.read.schema(schema)
+    return (reader.option("header", True) if kind == "csv" else reader).format(kind).load(path)
+
+
 def active_features(configured: list[str], computed: list[str], default: list[str], candidate: str | None = None) -> list[str]:
     """Configured features that are computed, else the defaults; plus one candidate on trial."""
     out = [f for f in configured if f in computed] or list(default)
