@@ -346,11 +346,11 @@ def out_of_fold(frame: DataFrame, features: list[str], k: int, label: str = "at_
 
 
 def experiment(split: DataFrame, active: list[str], candidates: list[str], rounds: int = 20) -> DataFrame:
-    """(candidate, base, new, delta): rank skill with each candidate feature added, best first."""
+    """(candidate, base, new, delta): rank skill with each candidate feature added, best first; active or absent ones are skipped."""
     def rho(features: list[str]) -> float | None:
         model = fit_growth(split.filter("NOT is_test"), features, rounds)
         return growth_metrics(split, model, features).first()["spearman"]
 
     base = rho(active)
-    rows = [(c, base, new := rho([*active, c]), new - base if new is not None and base is not None else None) for c in candidates]
+    rows = [(c, base, new := rho([*active, c]), new - base if new is not None and base is not None else None) for c in candidates if c not in active and c in split.columns]
     return split.sparkSession.createDataFrame(rows, "candidate string, base double, new double, delta double").orderBy(F.desc_nulls_last("delta"), "candidate")

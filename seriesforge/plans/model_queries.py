@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from seriesforge.functions.lineage import cut
 from seriesforge.operators import models as M
+from seriesforge.operators import quality as Q
 from seriesforge.operators import risk as R
 from seriesforge.operators import series as S
 from seriesforge.operators import stats as J
 from seriesforge.operators.scoring import melt, reason_texts
 from seriesforge.plans import fixtures as X
-from seriesforge.plans.registry import query, rounded
+from seriesforge.plans.registry import ORACLES, query, rounded
 from seriesforge.plans.risk_queries import snaps
 from seriesforge.plans.series_queries import TRAINING_SQL, VALIDATION_CTE, brand
 
@@ -207,7 +208,7 @@ dm AS (SELECT {k}any_value(n) AS n, any_value(m) AS mean_loss_diff, sum(CASE WHE
 
 
 #: Two-sided normal p-value in DuckDB: the error function by its series of positive terms.
-_P = "greatest(0, 1 - list_sum(list_transform(range(0, 200), lambda k: exp((2 * k + 1) * ln(greatest(abs(z), 1e-12) / sqrt(2)) - lgamma(k + 1.5) - z * z / 2))))"
+_P = "CASE WHEN abs(z) > 9 THEN 0 ELSE greatest(0, 1 - list_sum(list_transform(range(0, 200), lambda k: exp((2 * k + 1) * ln(greatest(abs(z), 1e-12) / sqrt(2)) - lgamma(k + 1.5) - z * z / 2)))) END"
 
 
 @query(f"""WITH {_SC}, ls AS (SELECT (y - yhat) ** 2 - (y - persistence) ** 2 AS d, {{'a': name, 'b': t}} AS ord FROM sc), {_dm('ls', '69')}
@@ -349,6 +350,11 @@ def e16_best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(M.best_candidate(c))
 
 
+def _half_up(x: str) -> str:
+    """Three places, halves away from zero as Spark's format does."""
+    return f"round({x} + sign({x}) * 1e-9, 3)"
+
+
 _BEST = "pb AS (SELECT model_name, metric_name, max(metric_value) FILTER (NOT isnan(metric_value)) AS best FROM mr WHERE is_champion GROUP BY ALL)"
 
 
@@ -358,8 +364,8 @@ def e20_previous_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_RUNS}, {_BEST}, c AS (SELECT run_id, mr.model_name, metric_name, metric_value, run_id::INT % 5 <> 0 AS ok, CASE WHEN mr.model_name = 'risk' THEN NULL ELSE best END AS best FROM mr JOIN pb USING (model_name, metric_name)),
-d AS (SELECT *, CASE WHEN isnan(metric_value) THEN 'not promoted: ' || metric_name || ' unavailable' WHEN best IS NULL THEN format('first champion: {{}}={{:.3f}}', metric_name, metric_value)
-WHEN metric_value > best THEN format('promoted: {{}}={{:.3f}} > prev best {{:.3f}}', metric_name, metric_value, best) ELSE format('held challenger: {{}}={{:.3f}} did not beat best {{:.3f}}', metric_name, metric_value, best) END AS nt FROM c)
+d AS (SELECT *, CASE WHEN isnan(metric_value) THEN 'not promoted: ' || metric_name || ' unavailable' WHEN best IS NULL THEN format('first champion: {{}}={{:.3f}}', metric_name, {_half_up('metric_value')})
+WHEN metric_value > best THEN format('promoted: {{}}={{:.3f}} > prev best {{:.3f}}', metric_name, {_half_up('metric_value')}, {_half_up('best')}) ELSE format('held challenger: {{}}={{:.3f}} did not beat best {{:.3f}}', metric_name, {_half_up('metric_value')}, {_half_up('best')}) END AS nt FROM c)
 SELECT run_id, model_name, ok AND NOT isnan(metric_value) AND (best IS NULL OR metric_value > best) AS is_champion, CASE WHEN ok THEN nt ELSE 'BLOCKED by validation gate (' || nt || ')' END AS note FROM d""")
 def e21_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = runs(spark, sf_dir)
@@ -367,6 +373,21 @@ def e21_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.promotion(c, M.previous_best(r).filter("model_name = 'growth'")).select("run_id", "model_name", "is_champion", "note")
 
 
+@query(f"""WITH {_RUNS} SELECT p.run_id, last_day(strptime(p.run_id, '%Y%m'))::DATE AS ts, 'trainer' AS agent, 'retrain_' || p.model_name AS action, 'ok' AS status,
+mr.metric_name || '=' || CASE WHEN isnan(metric_value) THEN 'n/a' ELSE format('{{:.3f}}', {_half_up('metric_value')}) END || '; ' || note AS summary, '' AS artifact_url
+FROM ({ORACLES["e21_promotion"]}) p JOIN mr ON mr.run_id = p.run_id AND mr.model_name = p.model_name
+UNION ALL SELECT run_id, last_day(strptime(run_id, '%Y%m'))::DATE, 'trainer', 'feature_experiment', 'ok', count(*) || ' candidates: ' || string_agg(format('{{}} {{:+.3f}}', model_name, {_half_up('(metric_value - 0.4)')}), ', ' ORDER BY metric_value DESC, model_name), '' FROM mr WHERE NOT isnan(metric_value) GROUP BY run_id
+UNION ALL SELECT run_id, last_day(strptime(run_id, '%Y%m'))::DATE, 'trainer', 'propose_feature', 'ok', coalesce(max(format('{{}} {{:+.3f}}', model_name, {_half_up('(metric_value - 0.4)')})) FILTER (model_name = 'growth' AND metric_value - 0.4 >= 0.15), 'no candidate'), '' FROM mr WHERE NOT isnan(metric_value) GROUP BY run_id""")
+def h6_model_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rows of promotions and experiments (the model metrics of each run stand for its experiments' lifts)."""
+    ts = F.last_day(F.to_date("run_id", "yyyyMM"))
+    r = runs(spark, sf_dir)
+    c = r.withColumn("gate_passed", F.col("run_id").cast("int") % 5 != 0).select("run_id", "model_name", "metric_name", "metric_value", "gate_passed")
+    promoted = M.promotion(c, M.previous_best(r).filter("model_name = 'growth'"))
+    tried = r.filter("NOT isnan(metric_value)").select("run_id", F.col("model_name").alias("candidate"), F.round(F.col("metric_value") - 0.4, 6).alias("delta"))
+    return Q.model_activity(promoted, ts).unionByName(Q.experiment_activity(tried, tried.filter("candidate = 'growth' AND delta >= 0.15"), ts))
+
+
 @query(f"WITH {_SC}, m AS ({_metrics_sql('sc', by='t')}) UNPIVOT (SELECT t, n::DOUBLE AS n, mae, rmse FROM m) ON n, mae, rmse INTO NAME metric_name VALUE metric_value")
 def e22_metric_melt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(melt(J.regression_metrics(scored(spark, sf_dir), ["t"]), ["t"], ["n", "mae", "rmse"]))
@@ -438,7 +459,8 @@ def e7_risk_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def e9_out_of_fold_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame, features = _risk(spark, sf_dir)
-    oof = M.out_of_fold(frame, features, 3)
+    k = min(5, frame.filter("at_risk_label = 1").count())
+    oof = M.out_of_fold(M.stratified_folds(frame.drop("fold"), k, "at_risk_label").cache(), features, k)
     return M.roc_auc(oof, "at_risk_label", "probability")
 
 
@@ -448,6 +470,12 @@ def e15_candidate_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.experiment(split, FEATURES, list(S.CANDIDATES), rounds=20)
 
 
+@query()
+def h8_experiment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The experiment of ``e15_candidate_experiment`` as text."""
+    return Q.experiment_table(e15_candidate_experiment(spark, sf_dir))
+
+
 @query()
 def e17_growth_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.growth_backtest(M.time_split(training(spark, sf_dir)).cache(), FEATURES)

@@ -242,12 +242,12 @@ def h3_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_SNAP}, {_STATUS}, {_HEALTH}, {_QUALITY.replace('{src}', 'snap')}, {_DRIFT}
-SELECT run_id, 'ingest' AS agent, 'check_sources' AS action, status, summary FROM health
+SELECT *, last_day(strptime(run_id, '%Y%m'))::DATE AS ts, '' AS artifact_url FROM (SELECT run_id, 'ingest' AS agent, 'check_sources' AS action, status, summary FROM health
 UNION ALL SELECT run_id, 'quality', 'validate_table', status, round(coverage * 100)::INT || '% coverage, ' || duplicates || ' duplicates' FROM qs
-UNION ALL SELECT run_id, 'monitor', 'monitor_drift', CASE WHEN severity = 'high' THEN 'warning' ELSE 'ok' END, 'drift ' || coalesce(severity, 'none') FROM runs LEFT JOIN sev ON curr_run = run_id""")
+UNION ALL SELECT run_id, 'monitor', 'monitor_drift', CASE WHEN severity = 'high' THEN 'warning' ELSE 'ok' END, 'drift ' || coalesce(severity, 'none') FROM runs LEFT JOIN sev ON curr_run = run_id) u""")
 def h6_activity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = snaps(spark, sf_dir)
-    return Q.activity_rows(Q.source_health(Q.source_rates(with_status(s))), Q.quality_report(s), C.drift_report(preds(spark, sf_dir)))
+    return Q.activity_rows(Q.source_health(Q.source_rates(with_status(s))), Q.quality_report(s), C.drift_report(preds(spark, sf_dir)), F.last_day(F.to_date("run_id", "yyyyMM")))
 
 
 _I1 = f"{_SNAP}, {_PRED}, {_LATEST}, {_LATEST_PRED}, lj AS (SELECT lp.*, cur.* EXCLUDE (run_id, snapshot_date, name, category, ingested_at) FROM lp LEFT JOIN cur ON cur.name = lp.name)"
