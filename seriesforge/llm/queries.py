@@ -150,6 +150,55 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, (p % {SHARDS})::INT AS shard, p
 """
 
 
+def _op3_sql() -> str:
+    """Base counts of the whole text, then the rules line by line; the windows of 8 words as text."""
+
+    def listed(values) -> str:
+        return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+    word = r"[^\x20\x09-\x0D]+"
+    # the rules read a line's words between white space of any kind
+    visible = r"[^\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+    menu, separators, symbols = listed(sorted(quality_rules.MENU)), listed(quality_rules.SEPARATORS), listed(quality_rules.SYMBOLS)
+    return f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{word}') AS ws FROM documents),
+w AS (SELECT r, i, array_to_string(ws[i:i + 7], ' ') AS k FROM d, unnest(range(1, len(ws) - 6)) AS u(i)),
+again AS (SELECT r, unnest(list(i)) AS i FROM w GROUP BY r, k HAVING count(*) > 1),
+repeated AS (SELECT r, count(DISTINCT i + j) AS n FROM again, unnest(range(0, 8)) AS v(j) GROUP BY r),
+l AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
+m AS (
+  SELECT r, line, len(regexp_extract_all(line, '{word}')) AS held, regexp_extract_all(line, '{visible}') AS ws,
+    regexp_matches(line, '[.!?:;…。！？]') AS ended,
+    list_filter(list_transform(string_split(line, chr(9)), lambda e: len(regexp_extract_all(e, '{visible}'))), lambda n: n > 0) AS entries FROM l),
+c AS (
+  SELECT r, line, held, ended, entries, len(ws) AS n, len(list_filter(ws, lambda x: x IN ({separators}))) AS alone,
+    len(list_filter(ws, lambda x: lower(x) IN ({menu}))) AS known, len(list_filter(ws, lambda x: right(x, 1) IN ({symbols}) OR suffix(x, '!!'))) AS odd FROM m),
+v AS (
+  SELECT r, line, held, CASE
+    WHEN n = 0 THEN NULL
+    WHEN alone >= 3 AND 4 * alone >= n - alone THEN 'navigation'
+    WHEN n >= 3 AND NOT ended AND (n <= 15 OR contains(line, chr(9))) AND len(entries) >= 4 AND list_max(entries) <= 3 THEN 'navigation'
+    WHEN n BETWEEN 3 AND 15 AND NOT ended AND known >= 3 AND 3 * known >= 2 * n THEN 'navigation'
+    WHEN n >= 5 AND 10 * odd >= 3 * n THEN 'punctuation'
+    WHEN n >= {quality_rules.LONG_LINE_WORDS} AND NOT ended THEN 'punctuation'
+    WHEN n <= 40 AND len(list_filter([{listed(quality_rules.BOILERPLATE)}], lambda p: contains(lower(line), p))) > 0 THEN 'boilerplate'
+  END AS rule FROM c),
+t AS (
+  SELECT r, count(*) FILTER (rule = 'punctuation') AS punctuation_lines, count(*) FILTER (rule = 'navigation') AS navigation_lines,
+    count(*) FILTER (rule = 'boilerplate') AS boilerplate_lines, coalesce(sum(held) FILTER (rule IS NULL), 0)::BIGINT AS n_kept_words,
+    count(*) FILTER (held > 0) - count(DISTINCT line) FILTER (held > 0) AS n_dup_lines FROM v GROUP BY r),
+b AS (
+  SELECT r, doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^{quality_rules.SYMBOLS}]', '', 'g'))::BIGINT AS n_symbols, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN repeated USING (r)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_words - n_kept_words <= {quality_rules.MAX_LOST} * n_words AS kept,
+  punctuation_lines, navigation_lines, boilerplate_lines, n_kept_words FROM f JOIN t USING (r)
+"""
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
@@ -165,6 +214,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_substring_dedup": OP1_SQL,
+    "op3_quality_rules": _op3_sql(),
     "op4_embedding_dedup": OP4_SQL,
     "op8_sharding": _op8_sql(),
 }

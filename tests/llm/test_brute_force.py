@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from seriesforge.llm import embedding_dedup, language_id, packing, queries, sharding, simhash_dedup, token_counts, toxicity
+from seriesforge.llm import embedding_dedup, language_id, packing, quality_rules, queries, sharding, simhash_dedup, token_counts, toxicity
 
 
 def test_vectors_of_every_length_and_repeated_ids(spark):
@@ -225,3 +225,26 @@ def test_every_stage_takes_odd_tables(spark, sf_dir, name, stage):
     if name != "best_fit_packing":
         assert out.columns == docs.columns and {r["doc_id"] for r in told} <= {r[0] for r in rows}
     assert stage(spark, docs.limit(0), sf_dir).count() == 0
+
+
+def test_quality_rules_equal_their_sql(spark, sf_dir):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{os.path.join(sf_dir, 'documents.parquet')}'")
+    want = con.execute(queries.ORACLE_SQL["op3_quality_rules"]).df()
+    got = queries.op3_quality_rules(spark, sf_dir).toPandas()
+    assert sorted(want.columns) == sorted(got.columns)
+    assert sorted(map(tuple, want[got.columns].values.tolist())) == sorted(map(tuple, got.values.tolist()))
+
+
+def test_quality_rules_equal_their_sql_on_odd_texts():
+    rng = random.Random(7)
+    pieces = ["home", "About", "|", "»", "x#", "no!!", "word", "ends.", "été", "🙂", "a\u00a0b", "a\u2003b", "\u0085", "privacy policy", "Alle Rechte vorbehalten", "conditions d'utilisation"]
+    texts = [None, "", " \n\t\n", "\n".join(["same line here."] * 4), "a b c d e f g h " * 9 + "and a tail without repeats.", "word " * 41 + "privacy policy."]
+    for _ in range(400):
+        lines = ["".join(rng.choice(pieces) + rng.choice([" ", " ", " ", "\t", "  ", "\r"]) for _ in range(rng.choice([1, 3, 5, 8, 16, 25, 42]))) for _ in range(rng.randrange(1, 6))]
+        texts.append("\n".join(lines))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(i % 300, t) for i, t in enumerate(texts)])
+    told = con.execute(f"SELECT n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, punctuation_lines, navigation_lines, boilerplate_lines, n_kept_words FROM ({queries.ORACLE_SQL['op3_quality_rules']})")
+    assert sorted(told.fetchall()) == sorted(quality_rules.measure(t)[:-1] for t in texts)
