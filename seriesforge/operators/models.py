@@ -59,7 +59,9 @@ def calibration_deciles(scored: DataFrame, yhat: str = "yhat", y: str = "y") ->
 
 
 def scatter_sample(scored: DataFrame, n: int = 300, seed: int = 7) -> DataFrame:
-    return scored.orderBy(F.xxhash64("name", "t", F.lit(seed)), "name", "t").limit(n)
+    """``n`` rows without replacement, those with the smallest MD5 of name, date and seed: the same on every run and engine."""
+    key = F.md5(F.concat_ws("|", "name", F.date_format("t", "yyyy-MM-dd"), F.lit(str(seed))).cast("binary"))
+    return scored.orderBy(key, "name", "t").limit(n)
 
 
 def gate_checks(metrics: DataFrame) -> DataFrame:

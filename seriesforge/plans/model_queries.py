@@ -289,9 +289,9 @@ def e18_calibration_deciles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(M.calibration_deciles(scored(spark, sf_dir)))
 
 
-@query()
+@query(f"WITH {_SC} SELECT name, t, round(y, 6) AS y, round(yhat, 6) AS yhat FROM sc ORDER BY md5(name || '|' || strftime(t, '%Y-%m-%d') || '|7'), name, t LIMIT 300")
 def e19_scatter_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.scatter_sample(scored(spark, sf_dir)).select("name", "t", "y", "yhat")
+    return rounded(M.scatter_sample(scored(spark, sf_dir)).select("name", "t", "y", "yhat"))
 
 
 def _gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

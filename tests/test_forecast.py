@@ -64,3 +64,43 @@ def test_log_rows_of_models_and_experiments(spark):
     assert lines == ["a | 0.5000 | 0.5200 | +0.0200", "c | 0.5000 | 0.4000 | -0.1000", "b | 0.5000 | n/a | n/a"]
     rows = {r["action"]: r["summary"] for r in Q.experiment_activity(tried, tried.filter("delta > 1")).collect()}
     assert rows["propose_feature"] == "no candidate" and rows["feature_experiment"].startswith("3 candidates: ")
+
+
+def test_arch_lm_equals_the_normal_equations(spark):
+    rng = np.random.default_rng(9)
+    wild = rng.normal(size=160) * np.repeat([0.3, 2.0, 0.5, 1.5], 40)
+    parts = spark.createDataFrame([(n, i, float(v)) for n, y in (("wild", wild), ("calm", rng.normal(size=90))) for i, v in enumerate(y)], "name string, i int, resid double")
+    told = {r["name"]: r for r in K.arch_lm(parts).collect()}
+    for name, y in (("wild", wild), ("calm", [r["resid"] for r in parts.filter("name = 'calm'").orderBy("i").collect()])):
+        e = [float(v) ** 2 for v in y]
+        x, target = np.array([[1.0] + [e[i - j] for j in range(1, 8)] for i in range(7, len(e))]), np.array(e[7:])
+        fitted = x @ np.linalg.solve(x.T @ x, x.T @ target)
+        assert told[name]["lm"] == pytest.approx(len(target) * np.corrcoef(fitted, target)[0, 1] ** 2)
+        x = np.linspace(told[name]["lm"], told[name]["lm"] + 200, 400_001)
+        density = x**2.5 * np.exp(-x / 2) / (2**3.5 * math.gamma(3.5))
+        assert told[name]["p_value"] == pytest.approx(float(np.trapezoid(density, x)), abs=1e-6)
+
+
+def test_holt_winters_equals_a_recursion_from_scratch_at_each_origin(spark):
+    rng = np.random.default_rng(4)
+    data = {"a": 5 + np.tile([0, 1, 2, 0, -1, -2, 0], 12) + rng.normal(size=84) * 0.3, "b": np.cumsum(rng.normal(size=80)) + 9}
+    grid = ((0.2, 0.05, 0.1), (0.6, 0.1, 0.3), (0.05, 0.01, 0.4))
+    told = {(r["name"], r["i"], r["h"]): (r["ets"], r["sigma"]) for r in K.holt_winters(series(spark, **data), grid=grid).collect()}
+    assert set(told) == {(n, i, h) for n, y in data.items() for i in range(60, len(y) - 7) for h in (1, 3, 7)}
+    for name, i in (("a", 60), ("a", 76), ("b", 66)):
+        tries = []
+        for a, b, g in grid:
+            y = data[name][: i + 1]  # nothing after the origin is seen
+            level = [y[:7].mean()]
+            trend = [(y[7:14].mean() - y[:7].mean()) / 7]
+            season = [v - level[0] for v in y[:7]]
+            errors = []
+            for t in range(7, i + 1):
+                errors.append(y[t] - level[-1] - trend[-1] - season[t - 7])
+                level.append(a * (y[t] - season[t - 7]) + (1 - a) * (level[-1] + trend[-1]))
+                trend.append(b * (level[-1] - level[-2]) + (1 - b) * trend[-1])
+                season.append(g * (y[t] - level[-1]) + (1 - g) * season[t - 7])
+            tries.append((float(np.mean(np.square(errors))), {h: level[-1] + h * trend[-1] + season[i - 7 + h] for h in (1, 3, 7)}))
+        mse, ahead = min(tries, key=lambda x: x[0])
+        for h in (1, 3, 7):
+            assert told[name, i, h] == pytest.approx((ahead[h], math.sqrt(mse)))
