@@ -3,7 +3,7 @@
 A text is a mixture of the learned languages. Expectation-maximisation estimates each document's language
 proportions from hashed character n-gram likelihoods; the language set is the one whose likelihood, less a
 penalty per language, is best. The model is one table of ``BUCKETS`` rows by languages, summed over all training
-documents by Spark and of a size fixed by parameters.
+documents by Spark; ``MAX_LANGUAGES`` bounds it, and with it what a task holds, the driver takes and the broadcast sends.
 """
 
 from __future__ import annotations
@@ -15,8 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesforge.llm.textkit import cut
+
 #: Hashed n-gram table; n-grams of two and three letters.
 BUCKETS = 1 << 15
+#: Languages of a model (256 KB each). More are an error, never left out: such a column does not hold languages.
+MAX_LANGUAGES = 1024
 ROUNDS = 12
 #: Penalty per added language: this share of all n-grams' log-likelihood, and a Bayes information term.
 MIN_SHARE = 0.02
@@ -47,7 +51,10 @@ def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """(languages, log-likelihood table): smoothed n-gram shares of each non-null language over all given rows."""
+    """(languages, table): smoothed n-gram shares of each non-null language over all given rows.
+
+    Fails where more than ``MAX_LANGUAGES`` values occur. Languages whose texts have no letters are not learned.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -55,6 +62,8 @@ def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") ->
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 at, c = ngram_counts(text)
                 if lang not in sums:
+                    if len(sums) == MAX_LANGUAGES:
+                        raise ValueError(f"more than {MAX_LANGUAGES} languages")
                     sums[lang] = np.zeros(BUCKETS, np.int64)
                 sums[lang][at] += c
         for lang, s in sums.items():
@@ -62,7 +71,10 @@ def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") ->
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(s[at])], names=["lang", "bucket", "n"])
 
     seen = docs.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string"), text_col)
-    rows = seen.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    counted = cut(seen.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    if counted.select("lang").distinct().count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    rows = counted.toArrow()
     langs = sorted(set(rows["lang"].to_pylist()))
     table = np.full((BUCKETS, len(langs)), 0.5)
     if langs:

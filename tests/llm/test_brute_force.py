@@ -78,6 +78,15 @@ def test_language_edges(spark):
     tie = language_id.predict(df.limit(1), (["aa", "bb"], np.full((language_id.BUCKETS, 2), 1 / language_id.BUCKETS))).first()
     assert tie["lang_pred"] == "aa"  # equal likelihoods: the first in order
     assert language_id.predict(df.limit(0), language_id.learn(df)).count() == 0
+    assert language_id.learn(df.limit(0))[0] == []
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    df = spark.createDataFrame([(f"kata {x}", x) for x in ("aa", "bb", "cc")], "text string, lang string")
+    assert language_id.learn(df)[0] == ["aa", "bb", "cc"]
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        language_id.learn(df)
 
 
 def test_token_lengths_equal_the_library(spark):
