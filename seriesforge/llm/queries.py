@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesforge.llm import bpe, embedding_dedup, language_id, packing, quality_rules, sharding, simhash_dedup, token_counts, toxicity
+from seriesforge.llm import (
+    bpe, embedding_dedup, importance_resampling, language_id, packing, periodic_runs, quality_rules, sharding, simhash_dedup, token_counts,
+    toxicity, vector_packing,
+)
 from seriesforge.llm.substring_dedup import remove_repeated_windows
 
 SHARDS = 40
@@ -104,6 +109,37 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def _echo(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The query's texts: one document in ten ends in an echo of its own words (null ids never do)."""
+    h, n = crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a, period = g % n, 1 + (n - g % n) // (3 + g % 8)
+    return words[:a] + [words[a + k % period] for k in range(n - a)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"), prepare=_echo)
+    best = found.select("doc_id", "runs", "collapsed_text", periodic_runs.strongest().alias("best"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, _ = _vocabulary("byte_bpe_50k.json")
+    return vector_packing.pack_documents(_table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id").drop("loss_tokens")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.withColumnRenamed("id", "doc_id")
+
+
 OP4_SQL = """
 WITH RECURSIVE e AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
@@ -123,6 +159,15 @@ SELECT c.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, c.vec_id
 FROM c LEFT JOIN n USING (vec_id)
 """
 
+#: CRC-32 of a list of bytes, with the table ``t`` of the view ``c``.
+_CRC_TABLE = "SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i)"
+
+
+def _crc(text: str) -> str:
+    listed = f"list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT))"
+    return f"xor(list_reduce({listed}, lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295)::BIGINT"
+
+
 def _op8_sql() -> str:
     """Row numbers, checksums and the permutation as SQL; the walk is a recursive query."""
     p, keys = sharding.PRIME, sharding.ROUND_KEYS
@@ -136,7 +181,7 @@ def _op8_sql() -> str:
         return f"list_reduce([{state.format(x=x)}, {rounds}], {step})"
 
     return f"""
-WITH RECURSIVE c AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i)),
+WITH RECURSIVE c AS ({_CRC_TABLE}),
 d AS (SELECT doc_id, (strlen(coalesce(text, '')) + 16)::BIGINT AS size, list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)) AS bytes FROM documents),
 k AS (SELECT doc_id, size, xor(list_reduce(bytes, lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295)::BIGINT AS text_crc32 FROM d, c),
 n AS (SELECT count(*) AS n, floor(sqrt(greatest(count(*) - 1, 0)))::BIGINT + 1 AS a FROM documents),
@@ -199,6 +244,67 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+def _op11_sql() -> str:
+    """Lags from neighbouring occurrences of grams of 16, 32, ... words; then every maximal stretch along those lags."""
+    levels, lags, k = [], [], 1
+    while k < 1 << 16:  # words of the longest text, at least
+        levels.append(f"""
+g{2 * k} AS MATERIALIZED (
+  SELECT a.r, a.i, dense_rank() OVER (ORDER BY a.v, b.v) AS v FROM g{k} a JOIN g{k} b ON a.r = b.r AND b.i = a.i + {k}
+  QUALIFY count(*) OVER (PARTITION BY a.r, a.v, b.v) > 1)""")
+        k *= 2
+        if k >= periodic_runs.FIRST:
+            low = 1 if k == periodic_runs.FIRST else k // 2 + 1
+            lags.append(f"SELECT r, q FROM (SELECT r, lead(i) OVER (PARTITION BY r, v ORDER BY i) - i AS q FROM g{k}) WHERE q BETWEEN {low} AND {k}")
+    return rf"""
+WITH c AS ({_CRC_TABLE}),
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, {_crc("coalesce(doc_id::VARCHAR, '')")} AS h FROM documents, c),
+e AS (SELECT r, ws, len(ws) AS n, h % 10 = 0 AND doc_id IS NOT NULL AS echo, (h // 10) % greatest(len(ws), 1) AS a, 3 + (h // 10) % 8 AS f FROM d),
+w AS MATERIALIZED (SELECT r, i, ws[1 + CASE WHEN echo AND i >= a THEN a + (i - a) % (1 + (n - a) // f) ELSE i END] AS word FROM e, unnest(range(0, n)) AS u(i)),
+g1 AS MATERIALIZED (SELECT r, i, dense_rank() OVER (ORDER BY word) AS v FROM w),{",".join(levels)},
+lags AS MATERIALIZED (SELECT DISTINCT r, q FROM ({" UNION ALL ".join(lags)})),
+same AS (SELECT lags.r, q, x.i, x.i - row_number() OVER (PARTITION BY lags.r, q ORDER BY x.i) AS island
+  FROM lags JOIN g1 x ON x.r = lags.r JOIN g1 y ON y.r = x.r AND y.i = x.i + q AND y.v = x.v),
+stretch AS (SELECT r, q, min(i) AS s, count(*) + q AS length FROM same GROUP BY r, q, island HAVING count(*) + q >= greatest({periodic_runs.LEAST_WORDS}, {periodic_runs.LEAST_PERIODS} * q)),
+runs AS MATERIALIZED (SELECT r, s AS start, length, min(q) AS period FROM stretch GROUP BY r, s, length),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY length / period DESC, start, period) = 1),
+told AS (SELECT r, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, i FROM runs, unnest(range(start + period, start + length)) AS u(i)),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS t FROM w ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+  (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM d LEFT JOIN told USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+def _op13_sql() -> str:
+    """n-grams as text, buckets by CRC-32 of distinct ones, gains, noise and the draw."""
+    grams = " UNION ALL ".join(
+        f"SELECT benchmark, r, array_to_string(ws[i:i + {k}], ' ') AS g FROM t, unnest(range(1, len(ws) + 1 - {k})) AS u(i)" for k in range(importance_resampling.ORDERS)
+    )
+    m = importance_resampling.BUCKETS
+    return rf"""
+WITH c AS ({_CRC_TABLE}),
+t AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, benchmark, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM (SELECT false AS benchmark, doc_id, text FROM documents UNION ALL SELECT true, NULL, text FROM benchmark)),
+g AS MATERIALIZED ({grams}),
+b AS MATERIALIZED (SELECT g, {_crc("g")} % {m} AS bucket FROM (SELECT DISTINCT g FROM g), c),
+f AS MATERIALIZED (SELECT benchmark, r, bucket, count(*) AS n FROM g JOIN b USING (g) GROUP BY ALL),
+s AS (SELECT bucket, coalesce(sum(n) FILTER (NOT benchmark), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (benchmark), 0)::DOUBLE AS t FROM f GROUP BY bucket),
+z AS (SELECT sum(s) + {m} AS s_all, sum(t) + {m} AS t_all FROM s),
+gain AS (SELECT bucket, floor(1000 * ln((t + 1) * s_all / ((s + 1) * t_all)))::BIGINT AS gain FROM s, z),
+w AS (SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM f JOIN gain USING (bucket) WHERE NOT benchmark GROUP BY r),
+o AS (
+  SELECT r, doc_id, len(ws) >= 20 AS fit, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5) / 4294967296.0)))::BIGINT AS score
+  FROM t LEFT JOIN w USING (r) WHERE NOT benchmark),
+p AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS place, count(*) OVER () AS n FROM o WHERE fit)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN place END AS rank FROM o LEFT JOIN p USING (r)
+"""
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
@@ -210,6 +316,9 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_vector_packing": op12_vector_packing,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE_SQL = {
@@ -217,4 +326,6 @@ ORACLE_SQL = {
     "op3_quality_rules": _op3_sql(),
     "op4_embedding_dedup": OP4_SQL,
     "op8_sharding": _op8_sql(),
+    "op11_periodic_runs": _op11_sql(),
+    "op13_importance_resampling": _op13_sql(),
 }

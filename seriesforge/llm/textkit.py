@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -98,6 +100,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a Parquet table of the shared folder: computed once, unlike a checkpoint of a map."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of all texts (one column-pruned pass)."""
     return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
