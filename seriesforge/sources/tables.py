@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesforge.sources import versions as V
+
 _KINDS = {"STRING": "string", "INT": "bigint", "FLOAT": "double", "BOOL": "boolean", "DATE": "date", "TIMESTAMP": "timestamp", "JSON": "string"}
 
 
@@ -58,13 +63,16 @@ def empty(spark: SparkSession, table: str) -> DataFrame:
 
 
 def create(spark: SparkSession, root: str) -> None:
-    """Create every table that is not there yet."""
+    """Create every table that is not there yet. One that is there stays as it is, whatever state it is in."""
     for table in TABLES:
+        if V.current(spark, f"{root}/{table}") is not None:
+            continue
+        if strange := set(V.entries(spark, f"{root}/{table}")) - {"manifests", "data"}:
+            raise FileExistsError(f"{root}/{table} holds {sorted(strange)[:3]} and is no table of this library")
         try:
-            spark.read.parquet(f"{root}/{table}").schema  # noqa: B018
-        except Exception:
-            writer = empty(spark, table).write.mode("overwrite")
-            writer.parquet(f"{root}/{table}")
+            V.publish(spark, f"{root}/{table}", V.following(spark, f"{root}/{table}"), [])
+        except V.Conflict:
+            pass  # somebody else has just created it
 
 
 def _coerced(kind: str, source: T.DataType, c: Column) -> Column:
@@ -91,22 +99,72 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[(_coerced(k, have[n], F.col(n)) if n in have else F.lit(None).cast(_KINDS[k])).alias(n) for n, k in TABLES[table]])
 
 
+def _parts(spark: SparkSession, root: str, table: str) -> list[str]:
+    found = V.current(spark, f"{root}/{table}")
+    if found is None:
+        raise FileNotFoundError(f"there is no table {root}/{table}")
+    return found[1]
+
+
+def _write_part(df: DataFrame, root: str, table: str) -> str:
+    """Conformed rows in a data folder of their own, which no reader sees yet; run tables get a folder for each run."""
+    name, rows = f"part={uuid4().hex}", conform(df, table)
+    if table in _BY_RUN:
+        # a run that holds most rows is split over several tasks
+        rows.hint("rebalance", "run_id").write.partitionBy("run_id").parquet(f"{root}/{table}/data/{name}")
+    else:
+        rows.write.parquet(f"{root}/{table}/data/{name}")
+    return name
+
+
+def _publish(spark: SparkSession, root: str, table: str, lines: Callable[[list[str]], list[str]]) -> None:
+    """Switch to the parts that ``lines`` makes of the present ones; tries again if another writer was first."""
+    while True:
+        try:
+            V.publish(spark, f"{root}/{table}", V.following(spark, f"{root}/{table}"), lines(_parts(spark, root, table)))
+            return V.forget(spark, f"{root}/{table}", set)
+        except V.Conflict:
+            continue
+
+
 def append(df: DataFrame, root: str, table: str) -> None:
-    """Append conformed rows; run tables are partitioned by run."""
-    writer = conform(df, table).write.mode("append")
-    writer.parquet(f"{root}/{table}")
+    """Append conformed rows: written beside the others, then named by the next manifest. All of them are seen, or none.
+
+    Run tables are partitioned by run, so a filter on ``run_id`` reads that run's folders alone. A run id of the empty text
+    reads back as null.
+    """
+    spark = df.sparkSession
+    _parts(spark, root, table)
+    part = _write_part(df, root, table)
+    _publish(spark, root, table, lambda parts: [*parts, part])
 
 
 def reload(df: DataFrame, root: str, table: str) -> None:
-    """Replace a table: the new rows are written beside it first, as they may be read from it."""
-    stage = f"{root}/.{table}-next"
-    conform(df, table).write.mode("overwrite").parquet(stage)
-    df.sparkSession.read.parquet(stage).write.mode("overwrite").parquet(f"{root}/{table}")
+    """Replace a table's rows, which may be read from it: written once, then switched to by one manifest.
+
+    A job that dies before the switch leaves the old rows; readers that began before it keep the version they opened, as the
+    one before the newest stays on disk.
+    """
+    spark = df.sparkSession
+    _parts(spark, root, table)
+    part = _write_part(df, root, table)
+    _publish(spark, root, table, lambda _: [part])
 
 
 def load(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A table with all of its schema's columns, also from files written before a column was added."""
-    return evolve(spark.read.option("mergeSchema", True).parquet(f"{root}/{table}"), table)
+    parts = _parts(spark, root, table)
+    if not parts:
+        return empty(spark, table)
+    reader = spark.read.schema(schema(table)).option("basePath", f"{root}/{table}/data")
+    return reader.parquet(*[f"{root}/{table}/data/{p}" for p in parts]).select(*[n for n, _ in TABLES[table]])
+
+
+def load_latest(spark: SparkSession, root: str, table: str, ts: str) -> DataFrame:
+    """The rows of the newest run (by ``ts``, ties by run id): a two-column pass finds it, then only its folders are read."""
+    rows = load(spark, root, table)
+    newest = rows.agg(F.max_by("run_id", F.struct(ts, "run_id")).alias("run_id")).first()["run_id"]
+    return rows.filter(F.col("run_id").eqNullSafe(F.lit(newest)))
 
 
 def evolve(df: DataFrame, table: str) -> DataFrame:
