@@ -38,6 +38,9 @@ def _valid(vector: str) -> F.Column:
 
 
 def unit(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one, by their largest component first, so that no square leaves the range of a double."""
+    if not len(x):
+        return x
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -170,7 +173,9 @@ def embedding_groups(
         a, b = one[i], (one if same else two)[j]
         if same:
             a, b = a[i < j], b[i < j]
-        dot = np.einsum("ij,ij->i", given[a], given[b]) / (np.linalg.norm(given[a], axis=1) * np.linalg.norm(given[b], axis=1))
+        # scaled to length one first: products of very large or very small components leave the range of a double
+        one_a, one_b = unit(given[a]), unit(given[b])
+        dot = np.einsum("ij,ij->i", one_a, one_b)
         a, b = a[dot >= threshold], b[dot >= threshold]
         links = np.bincount(a, n[b], len(v)) + np.bincount(b, n[a], len(v))
         root = forest(len(v), a, b)

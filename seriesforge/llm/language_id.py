@@ -50,10 +50,10 @@ def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return at, counts[at]
 
 
-def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
+def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
     """(languages, table): smoothed n-gram shares of each non-null language over all given rows.
 
-    Fails where more than ``MAX_LANGUAGES`` values occur. Languages whose texts have no letters are not learned.
+    The table is collected and broadcast, so its width is bounded: more than ``max_languages`` values raise. Languages whose texts have no letters are not learned.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,8 +62,8 @@ def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") ->
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 at, c = ngram_counts(text)
                 if lang not in sums:
-                    if len(sums) == MAX_LANGUAGES:
-                        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+                    if len(sums) == max_languages:
+                        raise ValueError(f"more than {max_languages} languages")
                     sums[lang] = np.zeros(BUCKETS, np.int64)
                 sums[lang][at] += c
         for lang, s in sums.items():
@@ -72,14 +72,17 @@ def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") ->
 
     seen = docs.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string"), text_col)
     counted = cut(seen.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
-    if counted.select("lang").distinct().count() > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if counted.select("lang").distinct().count() > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     rows = counted.toArrow()
-    langs = sorted(set(rows["lang"].to_pylist()))
+    coded = rows["lang"].combine_chunks().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    langs = sorted(names)
     table = np.full((BUCKETS, len(langs)), 0.5)
     if langs:
         column = {x: i for i, x in enumerate(langs)}
-        np.add.at(table, (rows["bucket"].to_numpy(), [column[x] for x in rows["lang"].to_pylist()]), rows["n"].to_numpy())
+        place = np.array([column[x] for x in names])
+        np.add.at(table, (rows["bucket"].to_numpy(), place[coded.indices.to_numpy()]), rows["n"].to_numpy())
         table /= table.sum(0)
     return langs, table
 

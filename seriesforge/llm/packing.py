@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.textkit import cut
+from seriesforge.llm.textkit import cut, unused
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 #: Rows of a packing group; cost of a bin of c tokens is c + BIN_COST + c*c / ATTENTION.
@@ -84,14 +84,17 @@ def pack_sequences(docs: DataFrame, *, size_col: str = "n_tokens", lengths: tupl
 
     A document longer than the largest length gives full pieces of that length and a rest; every token is in exactly
     one piece, and pieces in one bin never overlap. Documents of size zero or null keep one row, of length 0 and
-    without a bin. Repeated rows are packed one by one. Input columns of the output names are replaced.
+    without a bin. Repeated rows are packed one by one. Input columns of the output names are replaced (``size_col`` may
+    be one of them: its values are taken first); all others, whatever their names, are kept. Which group a row is packed in,
+    and so its bin, follows the layout of the input.
     """
     lengths = tuple(sorted(lengths))
     top = lengths[-1]
-    docs = docs.drop(*[f.name for f in _OUT], "_group")
-    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()))
+    kept = [c for c in docs.columns if c.lower() not in {f.name for f in list(_OUT)[1:]}]
+    row, held = unused(docs.columns, "_row"), unused(docs.columns, "_size")
+    rows = cut(docs.select(*[docs[c] for c in kept], F.coalesce(F.col(size_col).cast("long"), F.lit(0)).alias(held), F.monotonically_increasing_id().alias(row)))
     groups = max(1, -(-rows.count() // group_rows))
-    sized = rows.select("_row", F.coalesce(F.col(size_col).cast("long"), F.lit(0)).alias("_size"), F.pmod(F.xxhash64("_row"), F.lit(groups)).alias("_group"))
+    sized = rows.select(F.col(row).alias("_row"), F.col(held).alias("_size"), F.pmod(F.xxhash64(row), F.lit(groups)).alias("_group"))
 
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         order = np.lexsort((t["_row"].to_numpy(), -t["_size"].to_numpy()))
@@ -126,4 +129,4 @@ def pack_sequences(docs: DataFrame, *, size_col: str = "n_tokens", lengths: tupl
     # a number of partitions of our own: each holds few groups, and small tables still use many tasks
     spread = sized.repartition(min(groups, max(MAX_TASKS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "_group")
     pieces = spread.groupBy("_group").applyInArrow(run, ", ".join(f"{f.name} bigint" for f in _OUT))
-    return rows.join(pieces, "_row").drop("_row")
+    return rows.join(pieces.withColumnRenamed("_row", row), row).drop(row, held)

@@ -5,11 +5,11 @@ Every rule is a pure function of one line, so whole texts run through a map with
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +40,15 @@ MENU = frozenset(
 SEPARATORS = ("|", ">", "»", "/", "•", "·")
 LONG_LINE_WORDS = 20
 MAX_LOST = 0.5
-_SENTENCE = re.compile(r"[.!?:;…。！？]")
+#: Characters that end sentences, in every script (the Unicode property and Tibetan's strokes), and four marks of their kind.
+SENTENCE_MARKS = "".join(sorted(set(regex.findall(r"[\p{STerm}\u0F0D-\u0F11]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x20000)])))) | set(":;…：")))
+#: Scripts that write sentences without a mark (Thai, Lao).
+UNMARKED = r"\u0E00-\u0EFF"
+_SENTENCE, _UNMARKED = regex.compile(f"[{regex.escape(SENTENCE_MARKS)}]"), regex.compile(f"[{UNMARKED}]")
+_CAPITAL = regex.compile(r"\p{Lu}")
+#: Phrases of a boilerplate line make up at least one word in this many.
+PHRASE_SHARE = 5
+_PHRASE_WORDS = [(p, len(p.split())) for p in BOILERPLATE]
 
 
 def line_verdict(line: str) -> str | None:
@@ -48,10 +56,11 @@ def line_verdict(line: str) -> str | None:
 
     navigation: at least three lone separators, and one for every four other words or more; or four entries or more
     of at most three words, parted by tabs, without a sentence mark; or at most 15 words, without a sentence mark,
-    of which three or more and at least two thirds are menu entries;
+    of which three or more and at least two thirds are menu entries; or 5 to 15 words without a sentence mark, at least
+    four in five with a capital and one a menu entry, as menus of other languages have it;
     punctuation: symbols or exclamation marks end at least 30 % of 5 words or more, or a line of 20 words or more
-    has no sentence mark at all;
-    boilerplate: the line holds a known phrase and has at most 40 words.
+    has no sentence mark of any script, unless half of it is in a script that has none;
+    boilerplate: at most 40 words, of which known phrases make up at least one in five.
     """
     words = line.split()
     if not words:
@@ -64,16 +73,19 @@ def line_verdict(line: str) -> str | None:
         entries = [e.split() for e in line.strip().split("\t") if e.strip()]
         if len(entries) >= 4 and max(map(len, entries)) <= 3:
             return "navigation"
-        if n <= 15 and (known := sum(w.lower() in MENU for w in words)) >= 3 and 3 * known >= 2 * n:
+        known = sum(w.lower() in MENU for w in words)
+        if n <= 15 and known >= 3 and 3 * known >= 2 * n:
+            return "navigation"
+        if 5 <= n <= 15 and known and 5 * sum(bool(_CAPITAL.match(w)) for w in words) >= 4 * n:
             return "navigation"
     odd = sum(w[-1] in SYMBOLS or w.endswith("!!") for w in words)
     if n >= 5 and 10 * odd >= 3 * n:
         return "punctuation"
-    if n >= LONG_LINE_WORDS and not _SENTENCE.search(line):
+    if n >= LONG_LINE_WORDS and not _SENTENCE.search(line) and 2 * len(_UNMARKED.findall(line)) < sum(map(len, words)):
         return "punctuation"
     if n <= 40:
         low = line.lower()
-        if any(p in low for p in BOILERPLATE):
+        if PHRASE_SHARE * sum(k for p, k in _PHRASE_WORDS if p in low) >= n:
             return "boilerplate"
     return None
 

@@ -144,8 +144,9 @@ OP4_SQL = """
 WITH RECURSIVE e AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
 g AS (
-  SELECT vec_id, label, x, sqrt(list_sum(list_transform(x, lambda v: v * v))) AS norm FROM e
-  WHERE label IS NOT NULL AND x IS NOT NULL AND len(x) = len(list_filter(x, lambda v: v IS NOT NULL AND isfinite(v)))),
+  SELECT vec_id, label, list_transform(x, lambda v: v / m) AS x, sqrt(list_sum(list_transform(x, lambda v: (v / m) * (v / m)))) AS norm
+  FROM (SELECT *, list_max(list_transform(x, lambda v: abs(v))) AS m FROM e)
+  WHERE m > 0 AND label IS NOT NULL AND x IS NOT NULL AND len(x) = len(list_filter(x, lambda v: v IS NOT NULL AND isfinite(v)))),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
   WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.x, b.x) / (a.norm * b.norm) >= 0.93),
@@ -204,6 +205,9 @@ def _op3_sql() -> str:
     word = r"[^\x20\x09-\x0D]+"
     # the rules read a line's words between white space of any kind
     visible = r"[^\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+    marks = "".join(f"\\x{{{ord(c):X}}}" for c in quality_rules.SENTENCE_MARKS)
+    marked, capital = r"[^\x{0E00}-\x{0EFF}]", r"^\p{Lu}"
+    phrases = " + ".join(f"CASE WHEN contains(lower(line), {listed([p])}) THEN {len(p.split())} ELSE 0 END" for p in quality_rules.BOILERPLATE)
     menu, separators, symbols = listed(sorted(quality_rules.MENU)), listed(quality_rules.SEPARATORS), listed(quality_rules.SYMBOLS)
     return f"""
 WITH d AS MATERIALIZED (
@@ -214,10 +218,11 @@ repeated AS (SELECT r, count(DISTINCT i + j) AS n FROM again, unnest(range(0, 8)
 l AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
 m AS (
   SELECT r, line, len(regexp_extract_all(line, '{word}')) AS held, regexp_extract_all(line, '{visible}') AS ws,
-    regexp_matches(line, '[.!?:;…。！？]') AS ended,
+    regexp_matches(line, '[{marks}]') AS ended,
+    length(regexp_replace(line, '{marked}', '', 'g')) AS unmarked,
     list_filter(list_transform(string_split(line, chr(9)), lambda e: len(regexp_extract_all(e, '{visible}'))), lambda n: n > 0) AS entries FROM l),
 c AS (
-  SELECT r, line, held, ended, entries, len(ws) AS n, len(list_filter(ws, lambda x: x IN ({separators}))) AS alone,
+  SELECT r, line, held, ended, unmarked, entries, len(ws) AS n, length(array_to_string(ws, '')) AS chars, len(list_filter(ws, lambda x: regexp_matches(x, '{capital}'))) AS capital, len(list_filter(ws, lambda x: x IN ({separators}))) AS alone,
     len(list_filter(ws, lambda x: lower(x) IN ({menu}))) AS known, len(list_filter(ws, lambda x: right(x, 1) IN ({symbols}) OR suffix(x, '!!'))) AS odd FROM m),
 v AS (
   SELECT r, line, held, CASE
@@ -225,9 +230,10 @@ v AS (
     WHEN alone >= 3 AND 4 * alone >= n - alone THEN 'navigation'
     WHEN n >= 3 AND NOT ended AND (n <= 15 OR contains(line, chr(9))) AND len(entries) >= 4 AND list_max(entries) <= 3 THEN 'navigation'
     WHEN n BETWEEN 3 AND 15 AND NOT ended AND known >= 3 AND 3 * known >= 2 * n THEN 'navigation'
+    WHEN n BETWEEN 5 AND 15 AND NOT ended AND known > 0 AND 5 * capital >= 4 * n THEN 'navigation'
     WHEN n >= 5 AND 10 * odd >= 3 * n THEN 'punctuation'
-    WHEN n >= {quality_rules.LONG_LINE_WORDS} AND NOT ended THEN 'punctuation'
-    WHEN n <= 40 AND len(list_filter([{listed(quality_rules.BOILERPLATE)}], lambda p: contains(lower(line), p))) > 0 THEN 'boilerplate'
+    WHEN n >= {quality_rules.LONG_LINE_WORDS} AND NOT ended AND 2 * unmarked < chars THEN 'punctuation'
+    WHEN n <= 40 AND {quality_rules.PHRASE_SHARE} * ({phrases}) >= n THEN 'boilerplate'
   END AS rule FROM c),
 t AS (
   SELECT r, count(*) FILTER (rule = 'punctuation') AS punctuation_lines, count(*) FILTER (rule = 'navigation') AS navigation_lines,

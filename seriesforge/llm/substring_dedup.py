@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.textkit import ODD, SpanHasher, mix64, roll, text_bytes, word_spans
+from seriesforge.llm.textkit import ODD, SpanHasher, mix64, roll, text_bytes, unused, word_spans
 
 ROWS = 2
 _LAST = np.iinfo(np.int64).max
@@ -164,7 +164,8 @@ def remove_repeated_windows(
     block_bits = min(bits, max(16, min(27, bits // 2 + 7)))
     key_bits = max(0, bits - block_bits - 2)
     columns = docs.columns
-    dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(id_col, text_col, F.spark_partition_id()), F.lit(chunks))).repartition("_chunk")
+    chunk = unused(columns, "_chunk")
+    dealt = docs.withColumn(chunk, F.pmod(F.xxhash64(id_col, text_col, F.spark_partition_id()), F.lit(chunks))).repartition(chunk)
 
     def windows(table: pa.Table) -> _Windows:
         return _Windows(table[text_col].to_pylist(), table[id_col].to_pylist(), width)
@@ -266,7 +267,7 @@ def remove_repeated_windows(
             out = out.append_column(name, values)
         return out
 
-    by_chunk = dealt.groupBy("_chunk")
+    by_chunk = dealt.groupBy(chunk)
     marks = by_chunk.applyInArrow(sketch, _ddl(_SKETCH)).groupBy("block").applyInArrow(merge, _ddl(_REPLY))
     found = by_chunk.cogroup(marks.groupBy("chunk")).applyInArrow(keys, _ddl(_KEYS)).groupBy("block").applyInArrow(group, _ddl(_REPLY))
     schema = docs.withColumns({new[0]: F.lit(0).cast("long"), new[1]: F.lit(0).cast("long"), new[2]: F.lit("")}).schema

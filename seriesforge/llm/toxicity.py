@@ -3,8 +3,9 @@
 A text is the set of its hashed character n-grams. Each n-gram's value is its log-count ratio, how much more often
 toxic than clean training texts hold it; logistic regression learns weights on top. The fit takes at most
 ``max_rows`` labelled rows (chosen by a hash of the id), and so the labels it joins by broadcast and the rows it
-trains on are bounded; each round every partition makes a few passes over its rows from the common weights, and the
-weights are averaged. Scoring is a map over all documents with one broadcast vector of fixed size.
+trains on are bounded; rows are dealt to a fixed number of trainers by a hash of id and text, each of which makes a few
+passes over its rows from the common weights in every round, and the weights are averaged in the trainers' order. So the
+model is the same whatever the layout of the input. Scoring is a map over all documents with one broadcast vector of fixed size.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ MAX_ROWS = 20_000
 ROUNDS, PASSES, RATE = 5, 3, 1.0
 #: A toxic row, the rarer kind, counts this often; n-grams in fewer rows than LEAST have no ratio.
 TOXIC_WEIGHT, LEAST = 3.0, 5
-#: Partitions that train side by side; part of the model's definition, so fixed.
+#: Trainers that work side by side; part of the model's definition, so fixed.
 TRAINERS = 8
 
 
@@ -47,7 +48,7 @@ def ngram_set(text: str | None, seen: np.ndarray) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, max_rows: int) -> DataFrame:
-    """(grams binary, y): at most ``max_rows`` labelled ids' documents, by a broadcast of their ids.
+    """(trainer, grams binary, y): at most ``max_rows`` labelled ids' documents, by a broadcast of their ids.
 
     An id with several labels counts as toxic if one of them is; null labels and ids are left out.
     """
@@ -63,11 +64,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col:
         seen = np.zeros(1 << BITS, bool)
         for b in batches:
             grams = [packed(ngram_set(t.as_py(), seen)) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.binary()), b.column(1)], names=["grams", "y"])
+            yield pa.RecordBatch.from_arrays([b.column(2), pa.array(grams, pa.binary()), b.column(1)], names=["trainer", "grams", "y"])
 
     # the sampled texts are dealt out, not their n-grams, which take more room
-    dealt = rows.repartition(TRAINERS).sortWithinPartitions("id", "y", "text")
-    return dealt.select("text", F.when(F.col("y") > 0, 1).otherwise(0).alias("y")).mapInArrow(run, "grams binary, y int")
+    trainer = F.pmod(F.xxhash64("id", "text"), F.lit(TRAINERS)).cast("int")
+    dealt = rows.withColumn("trainer", trainer).repartition(TRAINERS, "trainer").sortWithinPartitions("trainer", "id", "y", "text")
+    return dealt.select("text", F.when(F.col("y") > 0, 1).otherwise(0).alias("y"), "trainer").mapInArrow(run, "trainer int, grams binary, y int")
 
 
 def packed(at: np.ndarray) -> bytes:
@@ -94,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, n = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
         for b in batches:
-            for g, y in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+            for g, y in zip(b.column("grams"), b.column("y").to_pylist(), strict=True):
                 sums[y][unpacked(g.as_py())] += 1
                 n[y] += 1
         yield pa.RecordBatch.from_arrays([pa.array([s.astype("<i8").tobytes() for s in sums]), pa.array(n)], names=["sums", "n"])
@@ -117,9 +119,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         state = rows.sparkSession.sparkContext.broadcast((weight, bias, ratio.astype(np.float32)))
 
         def train(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
-            w, b0, r = state.value
-            w = w.copy()
-            data = [(unpacked(g.as_py()).astype(np.int32), y) for b in batches for g, y in zip(b.column(0), b.column(1).to_pylist(), strict=True)]
+            r, data = state.value[2], {}
+            for b in batches:
+                for t, g, y in zip(b.column("trainer").to_pylist(), b.column("grams"), b.column("y").to_pylist(), strict=True):
+                    data.setdefault(t, []).append((unpacked(g.as_py()).astype(np.int32), y))
+            for t, mine in data.items():
+                w, b0 = one(state.value[0].copy(), state.value[1], r, mine)
+                yield pa.RecordBatch.from_arrays([pa.array([t]), pa.array([w.astype("<f4").tobytes()]), pa.array([float(b0)]), pa.array([len(mine)])], names=["t", "w", "b", "n"])
+
+        def one(w: np.ndarray, b0: float, r: np.ndarray, data: list) -> tuple[np.ndarray, float]:
             for _ in range(PASSES):
                 for at, y in data:
                     x = r[at]
@@ -127,10 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
                     d = TOXIC_WEIGHT * (1.0 - 1.0 / (1.0 + math.exp(-z))) if y else -1.0 / (1.0 + math.exp(-z))
                     w[at] += np.float32(RATE * d / (float(x @ x) + 1.0)) * x
                     b0 += 0.01 * d
-            seen = len(data)
-            yield pa.RecordBatch.from_arrays([pa.array([w.astype("<f4").tobytes()]), pa.array([float(b0)]), pa.array([seen])], names=["w", "b", "n"])
+            return w, b0
 
-        told = rows.mapInArrow(train, "w binary, b double, n bigint").toArrow()
+        told = rows.mapInArrow(train, "t bigint, w binary, b double, n bigint").toArrow().sort_by("t")
         parts = [(np.frombuffer(w.as_py(), "<f4"), b, k) for w, b, k in zip(told["w"], told["b"].to_pylist(), told["n"].to_pylist(), strict=True) if k]
         seen = sum(k for _, _, k in parts)
         weight = sum(w * np.float32(k / seen) for w, _, k in parts)

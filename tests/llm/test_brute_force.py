@@ -81,13 +81,6 @@ def test_language_edges(spark):
     assert language_id.learn(df.limit(0))[0] == []
 
 
-def test_too_many_languages_are_an_error(spark, monkeypatch):
-    df = spark.createDataFrame([(f"kata {x}", x) for x in ("aa", "bb", "cc")], "text string, lang string")
-    assert language_id.learn(df)[0] == ["aa", "bb", "cc"]
-    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
-    with pytest.raises(ValueError, match="more than 2 languages"):
-        language_id.learn(df)
-
 
 def test_token_lengths_equal_the_library(spark):
     import public_tokenizers
