@@ -99,7 +99,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             for g, y in zip(b.column("grams"), b.column("y").to_pylist(), strict=True):
                 sums[y][unpacked(g.as_py())] += 1
                 n[y] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([s.astype("<i8").tobytes() for s in sums]), pa.array(n)], names=["sums", "n"])
+        if n.any():  # as many sums as trainers at most, however many partitions
+            yield pa.RecordBatch.from_arrays([pa.array([s.astype("<i8").tobytes() for s in sums]), pa.array(n)], names=["sums", "n"])
 
     total, n = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
     told = rows.mapInArrow(count, "sums binary, n bigint").toArrow()
