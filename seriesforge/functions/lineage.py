@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,3 +24,19 @@ def cut(df: DataFrame) -> DataFrame:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, removed when the driver ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}-{uuid4().hex}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{path.toString()}/rows"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a Parquet table of the shared folder: computed once, where a checkpoint computes a map twice."""
+    path = fresh_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesforge.functions.columns import erfc
+from seriesforge.functions.lineage import written
+from seriesforge.operators.ranks import lagged_products, positions, quantiles
 
 SEASON, START, HORIZONS, MIN_LENGTH = 7, 60, (1, 3, 7), 90
 #: Response surfaces of the unit-root statistic's p-value (MacKinnon 1994, one variable), by deterministic terms:
@@ -36,13 +38,12 @@ def admit(history: DataFrame, least: int = MIN_LENGTH) -> DataFrame:
 
 
 def autocorrelation(series: DataFrame, lags: int | DataFrame, value: str = "y") -> DataFrame:
-    """(name, n, lag, rho) by one equi-join on (name, i + lag); ``lags``: one number, or (name, lags) of each series."""
+    """(name, n, lag, rho) by lagged products of chunks of consecutive rows; ``lags``: one number, or (name, lags) of each series."""
     m = series.groupBy("name").agg(F.avg(value).alias("m"), F.count("*").alias("n"), (F.var_pop(value) * F.count("*")).alias("ss"))
     c = series.join(m, "name").select("name", "i", "n", "ss", (F.col(value) - F.col("m")).alias("c"))
     reach = c.withColumn("lags", F.lit(lags)) if isinstance(lags, int) else c.join(lags.select("name", "lags"), "name")
-    ahead = reach.filter("lags >= 1").select("name", "n", "ss", F.col("c").alias("c0"), F.explode(F.sequence(F.lit(1), F.col("lags"))).alias("lag"), "i").withColumn("i", F.col("i") + F.col("lag"))
-    prod = ahead.join(c.select("name", "i", "c"), ["name", "i"]).groupBy("name", "n", "ss", "lag").agg(F.sum(F.col("c0") * F.col("c")).alias("p"))
-    return prod.select("name", "n", "lag", (F.col("p") / F.col("ss")).alias("rho"))
+    products = lagged_products(reach.withColumn("lags", F.least("lags", F.col("n").cast("int") - 1)).filter("lags >= 1"), ["name"], "i")
+    return products.filter("lag >= 1").join(m, "name").select("name", "n", "lag", (F.col("p") / F.col("ss")).alias("rho"))
 
 
 def chi2_tail(x: Column, dof: int) -> Column:
@@ -268,7 +269,8 @@ def mincer_zarnowitz(forecasts: DataFrame, yhat: str) -> DataFrame:
 def stratified_selection(history: DataFrame, per_tier: int = 6) -> DataFrame:
     """(name, total, pos): the highest, middle and lowest series by total volume, each once."""
     totals = history.groupBy("name").agg(F.sum("downloads").alias("total"))
-    ranked = totals.withColumn("r", F.row_number().over(Window.orderBy(F.desc("total"), "name")) - 1).withColumn("n", F.count("*").over(Window.partitionBy()))
+    placed = positions(totals.withColumn("_less", -F.col("total")), ["_less", "name"], "r").withColumn("r", F.col("r") - 1)
+    ranked = placed.crossJoin(F.broadcast(placed.agg(F.count("*").alias("n"))))
     mid = F.greatest(F.floor(F.col("n") / 2) - per_tier // 2, F.lit(0))
     keep = (F.col("r") < per_tier) | ((F.col("r") >= mid) & (F.col("r") < mid + per_tier)) | (F.col("r") >= F.col("n") - per_tier)
     return ranked.filter(keep).select("name", "total", F.col("r").alias("pos"))
@@ -276,8 +278,12 @@ def stratified_selection(history: DataFrame, per_tier: int = 6) -> DataFrame:
 
 def forecast_summary(errors: DataFrame, models: tuple[str, ...]) -> DataFrame:
     """(h, n_series, median per model, share of series where the first model beats the second)."""
-    med = [F.round(F.percentile(m, F.lit(0.5)), 3).alias(f"median_{m}") for m in models]
-    return errors.groupBy("h").agg(F.count("*").alias("n_series"), *med, F.round(F.avg((F.col(models[0]) < F.col(models[1])).cast("int")), 3).alias("beats"))
+    errors = written(errors, "errors")
+    long = errors.select("h", F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).alias("v")) for m in models])).alias("x")).select("h", "x.*")
+    q = quantiles(long, "v", [0.5], ["h", "m"]).select("h", "m", F.get("q", F.lit(0)).alias("q"))
+    med = q.groupBy("h").agg(*[F.round(F.max(F.when(F.col("m") == m, F.col("q"))), 3).alias(f"median_{m}") for m in models])
+    told = errors.groupBy("h").agg(F.count("*").alias("n_series"), F.round(F.avg((F.col(models[0]) < F.col(models[1])).cast("int")), 3).alias("beats"))
+    return told.join(med, "h").select("h", "n_series", *[f"median_{m}" for m in models], "beats")
 
 
 def diagnostics_summary(series: DataFrame) -> DataFrame:
@@ -294,9 +300,12 @@ def diagnostics_summary(series: DataFrame) -> DataFrame:
         "adf_c_rejects_share": c("rejects_c"), "adf_ct_rejects_share": c("rejects_ct"), "kpss_rejects_share": c("kpss") < 0.05, "kpss_floored_share": c("floored"),
         "autocorrelated_share": c("lb") < 0.05, "seasonal_share": c("strength") > 0.3, "heteroscedastic_share": c("arch") < 0.05, "nonnormal_share": c("jb") < 0.05,
     }
-    return j.agg(
+    j = written(j, "diagnostics")
+    strength = quantiles(j, "strength", [0.5]).agg(F.round(F.get(F.max("q"), F.lit(0)), 3).alias("median_strength"))
+    told = j.agg(
         F.count("*").alias("n_series"), *[F.round(F.avg(v.cast("int")), 3).alias(k) for k, v in shares.items()],
-        F.round(F.percentile("strength", F.lit(0.5)), 3).alias("median_strength"),
         *[F.count_if(c("cell") == x).alias(x) for x in ("stationary", "unit_root", "conflict", "inconclusive")],
         *[F.count_if(c("integration") == x).alias(k) for k, x in (("order_0", "I(0)"), ("order_1", "I(1)"), ("order_2_or_more", "I(2)+"))],
     )
+    columns = told.columns
+    return told.crossJoin(F.broadcast(strength)).select(*columns[: 1 + len(shares)], "median_strength", *columns[1 + len(shares) :])

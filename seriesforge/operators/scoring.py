@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesforge.functions.columns import momentum_label, momentum_score, risk_level
-from seriesforge.functions.lineage import cut
+from seriesforge.functions.lineage import cut, written
+from seriesforge.operators.ranks import quantiles
 from seriesforge.operators.risk import blend
 
 #: Phrases for a feature that pushes up or down; fixed values.
@@ -65,11 +66,10 @@ def population_stability(frame: DataFrame, column: str, by: list[str], side: str
     Bins are the distinct linear-interpolated quantiles of both sides together, the last one closed; fewer than three
     edges or two values of a side give 0. Shares are floored at 1e-4.
     """
-    x = frame.filter(F.col(column).isNotNull() & ~F.isnan(column)).select(*by, side, F.col(column).alias("x"))
-    edges = x.groupBy(*by).agg(
-        F.array_distinct(F.percentile("x", F.array(*[F.lit(i / bins) for i in range(bins + 1)]))).alias("edges"),
-        F.count_if(F.col(side) == "prev").alias("n_prev"), F.count_if(F.col(side) == "curr").alias("n_curr"),
-    )
+    x = written(frame.filter(F.col(column).isNotNull() & ~F.isnan(column)).select(*by, side, F.col(column).alias("x")), "stability")
+    sides = x.groupBy(*by).agg(F.count_if(F.col(side) == "prev").alias("n_prev"), F.count_if(F.col(side) == "curr").alias("n_curr"))
+    q = quantiles(x, "x", [i / bins for i in range(bins + 1)], by).select(*by, F.array_distinct("q").alias("edges"))
+    edges = q.join(sides, by)
     enough = (F.size("edges") >= 3) & (F.least("n_prev", "n_curr") >= 2)
     # the bin of a value: how many edges lie at or below it, the top edge belonging to the last bin
     placed = x.join(edges.filter(enough), by).withColumn(

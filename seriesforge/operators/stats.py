@@ -1,7 +1,6 @@
 """Validation statistics on scored rows (name, t, y, yhat, persistence) and rank-based metrics.
 
-Global ranks never sort all rows in one task: values are cut into ranges at approximate quantiles, prefix sums run
-inside each range, and one row per range carries the offsets.
+Ranks, exact quantiles and lagged products come from ``ranks``: no task holds all rows, one value or one group.
 """
 
 from __future__ import annotations
@@ -12,56 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesforge.functions.columns import two_sided_p
+from seriesforge.functions.lineage import written
+from seriesforge.operators.ranks import average_ranks, cumulative, lagged_products, positions, quantiles
+from seriesforge.operators.resampling import cluster_bootstrap, permutation_p
 
-RANGES = 64
-HORIZON = 70
-
-
-def _ranged(df: DataFrame, column: str) -> DataFrame:
-    edges = sorted(set(df.approxQuantile(column, [i / RANGES for i in range(1, RANGES)], 0.01)))
-    where = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(column))) if edges else F.lit(0)
-    return df.withColumn("_r", where)
-
-
-def cumulative(df: DataFrame, column: str, amounts: list[str]) -> DataFrame:
-    """All columns plus ``cum_x`` per amount: its sum over rows with a smaller ``column`` (ties must be summed before)."""
-    ranged = _ranged(df, column)
-    inside, over = Window.partitionBy("_r").orderBy(column), Window.orderBy("_r")
-    totals = ranged.groupBy("_r").agg(*[F.sum(a).alias(f"_t_{a}") for a in amounts])
-    offsets = totals.select("_r", *[(F.sum(f"_t_{a}").over(over) - F.col(f"_t_{a}")).alias(f"_o_{a}") for a in amounts])
-    out = ranged.join(F.broadcast(offsets), "_r").withColumns({f"cum_{a}": F.sum(a).over(inside) - F.col(a) + F.col(f"_o_{a}") for a in amounts})
-    return out.drop("_r", *[f"_o_{a}" for a in amounts])
+__all__ = ["average_ranks", "cluster_bootstrap", "cumulative", "permutation_p", "positions", "quantiles"]
 
-
-def positions(df: DataFrame, order: list[str], out: str = "pos", by: list[str] | None = None) -> DataFrame:
-    """All columns plus the row number (from 1) in the given order, in all or within groups; no group is sorted in one task.
-
-    Rows are cut into ranges of the first column at some of its values (a bounded sample of distinct values, chosen by
-    hash), numbered inside each range, and moved on by the rows of the ranges before.
-    """
-    by, lead = by or [], order[0]
-    sample = sorted(r[0] for r in df.filter(F.col(lead).isNotNull()).select(lead).distinct().orderBy(F.xxhash64(lead)).limit(32 * RANGES).collect())
-    edges = sample[:: max(1, len(sample) // RANGES)]
-    ranged = df.withColumn("_r", F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(lead))) if edges else F.lit(0))
-    counts = ranged.groupBy(*by, "_r").agg(F.count("*").alias("_k"))
-    before = F.sum("_k").over(Window.partitionBy(*by).orderBy("_r")) - F.col("_k")
-    offsets = counts.select(*[F.col(c).alias(f"_b_{c}") for c in by], F.col("_r").alias("_b_r"), before.alias("_o"))
-    same = ranged["_r"] == offsets["_b_r"]
-    for c in by:
-        same &= ranged[c].eqNullSafe(offsets[f"_b_{c}"])
-    inside = F.row_number().over(Window.partitionBy(*by, "_r").orderBy(*order))
-    return ranged.withColumn("_i", inside).join(offsets, same).withColumn(out, F.col("_i") + F.col("_o")).select(*df.columns, out)
-
-
-def average_ranks(df: DataFrame, column: str, out: str, by: list[str] | None = None) -> DataFrame:
-    """All columns plus the average rank (1-based, ties share) of ``column``, globally or within groups."""
-    if by:
-        w = Window.partitionBy(*by)
-        ties = F.count("*").over(Window.partitionBy(*by, column))
-        return df.withColumn(out, F.rank().over(w.orderBy(column)) + (ties - 1) / 2)
-    counts = cumulative(df.groupBy(column).agg(F.count("*").alias("n")), column, ["n"])
-    ranks = counts.select(F.col(column).alias("_v"), (F.col("cum_n") + (F.col("n") + 1) / 2).alias(out))
-    return df.join(ranks, df[column] == ranks["_v"]).drop("_v")
+HORIZON = 70
 
 
 def regression_metrics(scored: DataFrame, by: list[str] | None = None, y: str = "y", yhat: str = "yhat") -> DataFrame:
@@ -76,9 +32,11 @@ def regression_metrics(scored: DataFrame, by: list[str] | None = None, y: str =
 
 
 def spearman(df: DataFrame, a: str, b: str, by: list[str] | None = None) -> DataFrame:
-    """(by..., spearman): Pearson correlation of average ranks."""
-    ranked = average_ranks(average_ranks(df, a, "_ra", by), b, "_rb", by)
-    return ranked.groupBy(*(by or [])).agg(F.corr("_ra", "_rb").alias("spearman"))
+    """(by..., spearman): Pearson correlation of average ranks; the input is evaluated once. Null without two rows of different values."""
+    by = by or []
+    rows = df.select(*by, F.col(a).alias("_x"), F.col(b).alias("_y")).filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    ranked = average_ranks(average_ranks(rows, "_x", "_ra", by), "_y", "_rb", by)
+    return ranked.groupBy(*by).agg(F.corr("_ra", "_rb").alias("spearman"))
 
 
 def skill(scored: DataFrame) -> DataFrame:
@@ -151,91 +109,28 @@ def fold_rows(frame: DataFrame, folds: DataFrame) -> DataFrame:
 
 def group_folds(frame: DataFrame, k: int = 5) -> DataFrame:
     """(name, fold): whole names per fold, sizes balanced by dealing them out, largest first, back and forth."""
-    sizes = frame.groupBy("name").agg(F.count("*").alias("n"))
-    pos = F.row_number().over(Window.orderBy(F.desc("n"), "name")) - 1
-    lap = F.floor(F.col("pos") / k)
-    snake = F.when(lap % 2 == 0, F.col("pos") % k).otherwise(k - 1 - F.col("pos") % k)
-    return sizes.withColumn("pos", pos).select("name", snake.cast("int").alias("fold"))
-
-
-def _weighted_ranks(drawn: DataFrame, column: str, part: str, out: str) -> DataFrame:
-    """All columns plus the average rank of ``column`` in each replicate b, where a row counts m times; ``part``: its value range."""
-    per = drawn.groupBy("b", part, column).agg(F.sum("m").alias("_n"))
-    over = Window.partitionBy("b").orderBy(part)
-    offsets = per.groupBy("b", part).agg(F.sum("_n").alias("_t")).select("b", part, (F.sum("_t").over(over) - F.col("_t")).alias("_o"))
-    inside = F.sum("_n").over(Window.partitionBy("b", part).orderBy(column))
-    ranks = per.withColumn("_c", inside).join(offsets, ["b", part]).select("b", part, column, (F.col("_o") + F.col("_c") - (F.col("_n") - 1) / 2).alias(out))
-    return drawn.join(ranks, ["b", part, column])
-
-
-def cluster_bootstrap(scored: DataFrame, b: int = 2000, seed: int = 11) -> DataFrame:
-    """(metric, lo, median, hi): resamples of whole names; each replicate draws as many names as there are.
-
-    Draws come from a hash of (replicate, slot), so they do not depend on partitioning; R2 and skill need only each
-    name's sums. Spearman's ranks are taken inside (replicate, value range) over rows that count as often as their name
-    was drawn. Replicates with fewer than three distinct targets are left out.
-    """
-    e, p = F.col("y") - F.col("yhat"), F.col("y") - F.col("persistence")
-    sums = scored.groupBy("name").agg(F.count("*").alias("n"), F.sum("y").alias("sy"), F.sum(F.col("y") ** 2).alias("syy"), F.sum(e * e).alias("see"), F.sum(p * p).alias("spp"))
-    numbered = sums.withColumn("i", F.row_number().over(Window.orderBy("name")) - 1)
-    n = numbered.count()
-    spark = scored.sparkSession
-    draws = spark.range(b * n).select(F.floor(F.col("id") / max(n, 1)).alias("b"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(n, 1))).cast("int").alias("i"))
-    times = draws.groupBy("b", "i").agg(F.count("*").alias("m"))
-    rows = _ranged(_ranged(scored, "y").withColumnRenamed("_r", "_ry"), "yhat").withColumnRenamed("_r", "_rp")
-    drawn = times.join(numbered.select("i", "name"), "i").join(rows.select("name", "y", "yhat", "_ry", "_rp"), "name").select("b", "m", "y", "yhat", "_ry", "_rp")
-    ranked = _weighted_ranks(_weighted_ranks(drawn, "y", "_ry", "ry"), "yhat", "_rp", "rp")
-    m, ry, rp = F.col("m"), F.col("ry"), F.col("rp")
-    sums_ranked = ranked.groupBy("b").agg(
-        F.sum(m).alias("k"), F.sum(m * ry).alias("a"), F.sum(m * rp).alias("p"), F.sum(m * ry * rp).alias("ap"), F.sum(m * ry * ry).alias("aa"), F.sum(m * rp * rp).alias("pp")
-    )
-    spread = (F.col("aa") - F.col("a") ** 2 / F.col("k")) * (F.col("pp") - F.col("p") ** 2 / F.col("k"))
-    rho = sums_ranked.select("b", F.when(spread > 0, (F.col("ap") - F.col("a") * F.col("p") / F.col("k")) / F.sqrt(spread)).alias("rho"))
-    varied = drawn.groupBy("b").agg(F.count_distinct("y").alias("distinct_y")).filter("distinct_y >= 3").select("b")
-    per = times.join(numbered, "i").groupBy("b").agg(
-        *[F.sum(F.col("m") * F.col(c)).alias(c) for c in ("n", "sy", "syy", "see", "spp")]
-    )
-    r2 = 1 - F.col("see") / (F.col("syy") - F.col("sy") ** 2 / F.col("n"))
-    long = per.join(rho, "b").join(varied, "b").select("b", F.explode(F.create_map(F.lit("spearman"), F.col("rho"), F.lit("r2"), r2, F.lit("skill"), 1 - F.col("see") / F.greatest("spp", F.lit(1e-9)))).alias("metric", "v"))
-    q = F.percentile("v", F.array(F.lit(0.025), F.lit(0.5), F.lit(0.975)))
-    return long.groupBy("metric").agg(q.alias("q")).select("metric", *[F.get("q", F.lit(i)).alias(c) for i, c in enumerate(("lo", "median", "hi"))])
-
-
-def permutation_p(scored: DataFrame, b: int = 2000, blocks: bool = True, seed: int = 11) -> DataFrame:
-    """(observed, p): share of permutations with at least the observed rank correlation, one added to both sides.
-
-    ``blocks``: whole names' targets change places (concatenated in the drawn order); else single rows do. Ranks are
-    taken once; a replicate only pairs them anew.
-    """
-    ranked = average_ranks(average_ranks(scored, "y", "ry"), "yhat", "rp")
-    rows = positions(ranked, ["name", "t"])
-    reps = scored.sparkSession.range(b).select(F.col("id").alias("b"))
-    unit = F.col("name") if blocks else F.col("pos")
-    # the drawn order is that of a hash; its upper bits cut each replicate into ranges of even size
-    drawn = rows.select("name", "pos", "ry").crossJoin(F.broadcast(reps)).withColumn("h", F.xxhash64("b", unit, F.lit(seed))).withColumn("part", F.shiftright("h", 58))
-    parts = drawn.groupBy("b", "part").agg(F.count("*").alias("k"))
-    offsets = parts.select("b", "part", (F.sum("k").over(Window.partitionBy("b").orderBy("part")) - F.col("k")).alias("o"))
-    inside = F.row_number().over(Window.partitionBy("b", "part").orderBy("h", "pos"))
-    moved = drawn.withColumn("i", inside).join(offsets, ["b", "part"]).select("b", (F.col("i") + F.col("o")).alias("slot"), "ry")
-    paired = moved.join(rows.select(F.col("pos").alias("slot"), "rp"), "slot").groupBy("b").agg(F.corr("ry", "rp").alias("rho"))
-    seen = ranked.agg(F.corr("ry", "rp").alias("observed"))
-    return paired.crossJoin(F.broadcast(seen)).groupBy("observed").agg(((1 + F.count_if(F.col("rho") >= F.col("observed"))) / (1 + F.count("*"))).alias("p"))
+    sizes = frame.groupBy("name").agg(F.count("*").alias("n")).withColumn("_less", -F.col("n"))
+    pos = F.col("pos") - 1
+    lap = F.floor(pos / k)
+    snake = F.when(lap % 2 == 0, pos % k).otherwise(k - 1 - pos % k)
+    return positions(sizes, ["_less", "name"]).select("name", snake.cast("int").alias("fold"))
 
 
 def diebold_mariano(losses: DataFrame, horizon: int, by: list[str] | None = None, order: list[str] | None = None, default_lag: int | None = None) -> DataFrame:
     """(by..., n, mean_loss_diff, dm_stat, p_value, favored) from rows with loss difference ``d``.
 
     Long-run variance with Bartlett weights over min(horizon-1, n-1) lags, floored at 1e-12; lagged products come
-    from one equi-join on (group, position + lag).
+    from chunks of consecutive rows that share their last ones with the next chunk.
     """
     by, order = by or [], order or ["name", "t"]
-    stats = losses.groupBy(*by).agg(F.avg("d").alias("m"), F.count("*").alias("n"))
-    rows = positions(losses, order, by=by)
-    rows = (rows.join(stats, by) if by else rows.crossJoin(F.broadcast(stats))).select(*by, "pos", "n", (F.col("d") - F.col("m")).alias("c"))
+    rows = positions(losses.select(*dict.fromkeys([*by, *order, "d"])), order, by=by)
+    stats = rows.groupBy(*by).agg(F.avg("d").alias("m"), F.count("*").alias("n"))
     lag = F.least(F.lit(horizon - 1), F.col("n") - 1).cast("int")
-    lagged = rows.withColumn("lag", F.explode(F.sequence(F.lit(0), lag))).select(*by, "n", "lag", (F.col("pos") + F.col("lag")).alias("pos"), F.col("c").alias("c0"))
+    centred = (rows.join(stats, by) if by else rows.crossJoin(F.broadcast(stats))).select(*by, "pos", (F.col("d") - F.col("m")).alias("c"), lag.alias("lags"))
+    products = lagged_products(centred, by)
+    products = products.join(stats, by) if by else products.crossJoin(F.broadcast(stats))
     weight = F.when(F.col("lag") == 0, 1.0).otherwise(2 * (1 - F.col("lag") / (lag + 1)) * F.col("n") / (F.col("n") - F.col("lag")))
-    var = lagged.join(rows.select(*by, "pos", "c"), [*by, "pos"]).groupBy(*by).agg(F.sum(weight * F.col("c0") * F.col("c")).alias("v"))
+    var = products.groupBy(*by).agg(F.sum(weight * F.col("p")).alias("v"))
     told = stats.join(var, by) if by else stats.crossJoin(var)
     dm = F.col("m") / F.sqrt(F.greatest(F.col("v") / F.col("n"), F.lit(1e-12)) / F.col("n"))
     return told.select(*by, "n", F.col("m").alias("mean_loss_diff"), dm.alias("dm_stat"), two_sided_p(dm).alias("p_value"), F.when(F.col("m") < 0, "model").otherwise("benchmark").alias("favored"))
@@ -256,19 +151,19 @@ def dm_by_horizon(forecasts: DataFrame, model: str, benchmark: str, horizons: tu
 
 def between_within(scored: DataFrame) -> DataFrame:
     """R2 of name means, and of values less their name's mean where the median name has three rows or more."""
-    means = scored.groupBy("name").agg(F.avg("y").alias("y"), F.avg("yhat").alias("yhat"), F.count("*").alias("k"))
+    means = written(scored.groupBy("name").agg(F.avg("y").alias("y"), F.avg("yhat").alias("yhat"), F.count("*").alias("k")), "means")
     between = regression_metrics(means).select(F.col("n").alias("n_names"), F.col("r2").alias("r2_between"))
     joined = scored.select("name", F.col("y").alias("y0"), F.col("yhat").alias("p0")).join(means, "name").select((F.col("y0") - F.col("y")).alias("y"), (F.col("p0") - F.col("yhat")).alias("yhat"))
     within = regression_metrics(joined).select("r2")
-    depth = means.agg(F.percentile("k", F.lit(0.5)).alias("median_rows"))
-    return between.crossJoin(depth).crossJoin(within).select("n_names", "median_rows", "r2_between", F.when(F.col("median_rows") >= 3, F.col("r2")).alias("r2_within"))
+    depth = quantiles(means, "k", [0.5]).select(F.get("q", F.lit(0)).alias("median_rows"))
+    return between.crossJoin(F.broadcast(depth)).crossJoin(F.broadcast(within)).select("n_names", "median_rows", "r2_between", F.when(F.col("median_rows") >= 3, F.col("r2")).alias("r2_within"))
 
 
 def head_reliability(scored: DataFrame, k: int = 10, share: float = 0.2) -> DataFrame:
     """Slope of forecast on outcome, overlap of the two top-k name sets, errors above the outcome's upper quantile."""
     tops = [scored.orderBy(F.desc(c), "name", "t").limit(k).select("name").distinct() for c in ("yhat", "y")]
     overlap = tops[0].intersect(tops[1]).agg(F.count("*").alias("overlap"))
-    cut = scored.agg(F.percentile("y", F.lit(1 - share)).alias("cut"))
+    cut = quantiles(scored, "y", [1 - share]).select(F.get("q", F.lit(0)).alias("cut"))
     e = F.col("yhat") - F.col("y")
     high = F.col("y") >= F.col("cut")
     told = scored.crossJoin(F.broadcast(cut)).agg(F.regr_slope("yhat", "y").alias("slope"), F.avg(F.when(high, F.abs(e))).alias("head_mae"), F.avg(F.abs(e)).alias("mae"), F.avg(F.when(high, e)).alias("head_bias"))

@@ -101,9 +101,14 @@ def test_bootstrap_spearman_equals_brute_force(spark):
     for k in range(b):
         drawn = [r for p in picks[k * names : (k + 1) * names] for r in rows if r[0] == f"n{p['i']}"]
         rhos.append(np.corrcoef(ranks([r[2] for r in drawn]), ranks([r[3] for r in drawn]))[0, 1])
-    got = {r["metric"]: (r["lo"], r["median"], r["hi"]) for r in J.cluster_bootstrap(scored, b).collect()}
-    assert set(got) == {"r2", "spearman", "skill"}
-    assert got["spearman"] == pytest.approx(np.percentile(rhos, [2.5, 50, 97.5]), abs=1e-9)
+    told = []
+    for bound in (1000, 10):  # broadcast, and joined
+        got = {r["metric"]: (r["lo"], r["median"], r["hi"]) for r in J.cluster_bootstrap(scored, b, rows_bound=bound).collect()}
+        assert set(got) == {"r2", "spearman", "skill"}
+        assert got["spearman"] == pytest.approx(np.percentile(rhos, [2.5, 50, 97.5]), abs=1e-9)
+        told.append(got)
+    for m in ("r2", "skill"):
+        assert told[0][m] == pytest.approx(told[1][m], abs=1e-9)
 
 
 def test_resampling_takes_2000_replicates(spark):
@@ -165,15 +170,16 @@ def test_permutation_p_equals_the_same_draws_in_numpy(spark):
     ry, rp = rank([r[2] for r in order]), rank([r[3] for r in order])
     seen = np.corrcoef(ry, rp)[0, 1]
     for blocks in (True, False):
-        units = [(b, r[0] if blocks else k + 1, k) for b in range(50) for k, r in enumerate(order)]
-        kind = "b bigint, u string, k int" if blocks else "b bigint, u bigint, k int"
-        drawn = spark.createDataFrame(units, kind).select("b", "k", F.xxhash64("b", "u", F.lit(11)).alias("h")).collect()
+        names = sorted({r[0] for r in rows})
+        units = [(b, names.index(r[0]) if blocks else k, k) for b in range(50) for k, r in enumerate(order)]
+        drawn = spark.createDataFrame(units, "b bigint, u bigint, k int").select("b", "k", F.xxhash64("b", "u", F.lit(11)).alias("h")).collect()
         more = 0
         for b in range(50):
             moved = [r["k"] for r in sorted((r for r in drawn if r["b"] == b), key=lambda r: (r["h"], r["k"]))]
             more += np.corrcoef(ry[moved], rp)[0, 1] >= seen
-        got = J.permutation_p(df, 50, blocks).first()
-        assert got["observed"] == pytest.approx(seen) and got["p"] == pytest.approx((1 + more) / 51)
+        for bound in (1000, 10):  # broadcast, and joined
+            got = J.permutation_p(df, 50, blocks, rows_bound=bound).first()
+            assert got["observed"] == pytest.approx(seen) and got["p"] == pytest.approx((1 + more) / 51)
 
 
 def test_p_values_equal_the_textbook(spark):
