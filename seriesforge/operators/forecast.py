@@ -209,44 +209,104 @@ def mase(forecasts: DataFrame, scales: DataFrame, models: tuple[str, ...]) -> Da
     return told.filter("n >= 20")
 
 
-#: Smoothing parameters tried for the additive seasonal model: level, trend, season.
+#: Smoothing parameters that the search starts from: level, trend, season.
 GRID = tuple((a, b, g) for a in (0.1, 0.3, 0.6) for b in (0.01, 0.1) for g in (0.05, 0.2, 0.4))
+#: Rows between two fits, passes of the search at most, its first and last step (log odds), and series that one task fits together.
+REFIT, PASSES, FIRST_STEP, LAST_STEP, TOGETHER = 28, 40, 1.0, 0.05, 32
 
 
-def holt_winters(series: DataFrame, start: int = START, grid: tuple = GRID, horizons: tuple[int, ...] = HORIZONS) -> DataFrame:
-    """(name, i, h, ets, sigma): additive trend and season; at each origin the parameters with the least error so far.
+def smooth(y: np.ndarray, lane: np.ndarray, params: np.ndarray, stop: np.ndarray, wanted: dict[int, np.ndarray] | None = None):
+    """Sum of squared one-step errors of each lane: series ``lane`` of ``y`` (one per row) up to and with row ``stop``.
 
-    One group per series and parameter triple: a single recursive pass gives every origin's forecast, running error
-    and residual spread; the best triple per origin is an aggregate.
+    ``params``: level, trend and season weights of each lane. With ``wanted`` (lanes by row) also the states of those
+    lanes after that row: level, trend, seasons by phase, squared errors so far.
+    """
+    m, (a, b, g) = SEASON, params.T
+    rows = y[lane]
+    level = rows[:, :m].mean(1)
+    trend = (rows[:, m : 2 * m].mean(1) - level) / m
+    season, sse, kept = (rows[:, :m] - level[:, None]).T.copy(), np.zeros(len(lane)), {}
+    for i in range(m, int(stop.max(initial=m - 1)) + 1):
+        s = season[i % m]
+        e = rows[:, i] - (level + trend + s)
+        on = i <= stop
+        sse = sse + np.where(on, e * e, 0.0)
+        old = level
+        level = np.where(on, a * (rows[:, i] - s) + (1 - a) * (level + trend), level)
+        trend = np.where(on, b * (level - old) + (1 - b) * trend, trend)
+        season[i % m] = np.where(on, g * (rows[:, i] - level) + (1 - g) * s, s)
+        if wanted is not None and i in wanted:
+            at = wanted[i]
+            kept[i] = level[at], trend[at], season[:, at].copy(), sse[at]
+    return sse if wanted is None else (sse, kept)
+
+
+def fit_smoothing(y: np.ndarray, lane: np.ndarray, stop: np.ndarray, grid: tuple = GRID, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
+    """(params, sum of squares) of each lane, all lanes together: the best triple of the grid, then a pattern search from it.
+
+    A pass tries both directions of all three parameters (as log odds) in every lane, takes the best if it is better,
+    and halves the steps of the lanes where none is; so no sum of squares is above the grid's.
+    """
+    k = len(grid)
+    tried = smooth(y, np.repeat(lane, k), np.tile(np.array(grid, float), (len(lane), 1)), np.repeat(stop, k)).reshape(-1, k)
+    best, params = tried.min(1), np.array(grid, float)[tried.argmin(1)]
+    at, step = np.log(params / (1 - params)), np.full(len(lane), FIRST_STEP)
+    moves = np.concatenate([np.eye(3), -np.eye(3)])
+    for _ in range(passes):
+        live = np.flatnonzero(step >= LAST_STEP)
+        if not len(live):
+            break
+        trial = np.clip(at[live, None] + moves * step[live, None, None], -9, 9)
+        sse = smooth(y, np.repeat(lane[live], 6), 1 / (1 + np.exp(-trial.reshape(-1, 3))), np.repeat(stop[live], 6)).reshape(-1, 6)
+        found, better = sse.argmin(1), sse.min(1) < best[live]
+        win = live[better]
+        at[win], best[win] = trial[better, found[better]], sse.min(1)[better]
+        params[win] = 1 / (1 + np.exp(-at[win]))
+        step[live[~better]] /= 2
+    return params, best
+
+
+def holt_winters(series: DataFrame, start: int = START, grid: tuple = GRID, horizons: tuple[int, ...] = HORIZONS, refit: int = REFIT, passes: int = PASSES) -> DataFrame:
+    """(name, i, h, ets, sigma): additive trend and season, with fitted parameters.
+
+    The three parameters are fitted at the first origin and every ``refit`` rows, on the rows up to there alone; origins in
+    between use the last fit. ``sigma`` is the root of the mean squared error so far under those parameters. A task fits
+    its series together, ``TOGETHER`` or so of them; no row is copied.
     """
-    spark = series.sparkSession
-    options = spark.createDataFrame([(k, *p) for k, p in enumerate(grid)], "k int, alpha double, beta double, gamma double")
     top = max(horizons)
+    names = written(series.select("name").distinct(), "names")
+    n = names.count()
+    groups = max(-(-n // TOGETHER), min(n, series.sparkSession.sparkContext.defaultParallelism), 1)
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        t = table.sort_by("i")
-        y = t["y"].to_numpy()
-        a, b, g = (t[c][0].as_py() for c in ("alpha", "beta", "gamma"))
-        m = SEASON
-        level, trend = y[:m].mean(), (y[m : 2 * m].mean() - y[:m].mean()) / m
-        season, sse, count, out = list(y[:m] - level), 0.0, 0, []
-        for i in range(m, len(y) - top):
-            s = season[i % m]
-            e = y[i] - (level + trend + s)
-            sse, count = sse + e * e, count + 1
-            old = level
-            level = a * (y[i] - s) + (1 - a) * (level + trend)
-            trend = b * (level - old) + (1 - b) * trend
-            season[i % m] = g * (y[i] - level) + (1 - g) * s
-            if i >= start:
-                out += [(key[0].as_py(), key[1].as_py(), i, h, level + h * trend + season[(i + h) % m], sse / count) for h in horizons]
-        kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64())
-        columns = list(zip(*out, strict=True)) or [[]] * 6
-        return pa.Table.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["name", "k", "i", "h", "ets", "mse"])
-
-    tried = series.crossJoin(F.broadcast(options)).groupBy("name", "k").applyInArrow(run, "name string, k int, i int, h int, ets double, mse double")
-    best = tried.groupBy("name", "i", "h").agg(F.min_by(F.struct("ets", "mse"), F.struct("mse", "k")).alias("x"))
-    return best.select("name", "i", "h", "x.ets", F.sqrt("x.mse").alias("sigma"))
+        t = table.sort_by([("name", "ascending"), ("i", "ascending")])
+        name, value = t["name"].to_pylist(), t["y"].to_numpy()
+        edges = [0, *[k for k in range(1, len(name)) if name[k] != name[k - 1]], len(name)]
+        parts = [(name[p], value[p:q]) for p, q in zip(edges, edges[1:], strict=False) if q - p > start + top]
+        y = np.zeros((len(parts), max((len(v) for _, v in parts), default=0)))
+        for k, (_, v) in enumerate(parts):
+            y[k, : len(v)] = v
+        anchors = [(k, i, min(i + refit, len(v) - top)) for k, (_, v) in enumerate(parts) for i in range(start, len(v) - top, refit)]
+        lane, first, end = (np.array(c, int) for c in (zip(*anchors, strict=True) if anchors else ([], [], [])))
+        out: list[tuple] = []
+        if anchors:
+            params, _ = fit_smoothing(y, lane, first, grid, passes)
+            wanted: dict[int, list[int]] = {}
+            for k, (_, i, stop) in enumerate(anchors):
+                for j in range(i, stop):
+                    wanted.setdefault(j, []).append(k)
+            _, kept = smooth(y, lane, params, end - 1, {j: np.array(ks) for j, ks in wanted.items()})
+            for j, (level, trend, season, sse) in kept.items():
+                for pos, k in enumerate(wanted[j]):
+                    sigma = math.sqrt(sse[pos] / (j - SEASON + 1))
+                    out += [(parts[lane[k]][0], j, h, float(level[pos] + h * trend[pos] + season[(j + h) % SEASON, pos]), sigma) for h in horizons]
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64())
+        columns = list(zip(*out, strict=True)) or [()] * 5
+        return pa.Table.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["name", "i", "h", "ets", "sigma"])
+
+    dealt = positions(names, ["name"], "_at").select(F.col("name").alias("_name"), (F.col("_at") % groups).alias("_group"))
+    rows = series.select("name", "i", "y").join(dealt, F.col("name") == F.col("_name"))
+    return rows.groupBy("_group").applyInArrow(run, "name string, i int, h int, ets double, sigma double")
 
 
 def seasonal_residuals(series: DataFrame) -> DataFrame:

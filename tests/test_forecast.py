@@ -85,7 +85,7 @@ def test_holt_winters_equals_a_recursion_from_scratch_at_each_origin(spark):
     rng = np.random.default_rng(4)
     data = {"a": 5 + np.tile([0, 1, 2, 0, -1, -2, 0], 12) + rng.normal(size=84) * 0.3, "b": np.cumsum(rng.normal(size=80)) + 9}
     grid = ((0.2, 0.05, 0.1), (0.6, 0.1, 0.3), (0.05, 0.01, 0.4))
-    told = {(r["name"], r["i"], r["h"]): (r["ets"], r["sigma"]) for r in K.holt_winters(series(spark, **data), grid=grid).collect()}
+    told = {(r["name"], r["i"], r["h"]): (r["ets"], r["sigma"]) for r in K.holt_winters(series(spark, **data), grid=grid, refit=1, passes=0).collect()}
     assert set(told) == {(n, i, h) for n, y in data.items() for i in range(60, len(y) - 7) for h in (1, 3, 7)}
     for name, i in (("a", 60), ("a", 76), ("b", 66)):
         tries = []
@@ -104,3 +104,42 @@ def test_holt_winters_equals_a_recursion_from_scratch_at_each_origin(spark):
         mse, ahead = min(tries, key=lambda x: x[0])
         for h in (1, 3, 7):
             assert told[name, i, h] == pytest.approx((ahead[h], math.sqrt(mse)))
+
+
+def _sse(y, a, b, g, stop):
+    """One series' sum of squared one-step errors, written out."""
+    level, trend = y[:7].mean(), (y[7:14].mean() - y[:7].mean()) / 7
+    season, total = list(y[:7] - level), 0.0
+    for t in range(7, stop + 1):
+        e = y[t] - level - trend - season[t % 7]
+        total += e * e
+        old, s = level, season[t % 7]
+        level = a * (y[t] - s) + (1 - a) * (level + trend)
+        trend = b * (level - old) + (1 - b) * trend
+        season[t % 7] = g * (y[t] - level) + (1 - g) * s
+    return total
+
+
+def test_fitted_smoothing_is_never_worse_than_the_grid_and_near_a_fine_search():
+    rng = np.random.default_rng(9)
+    y = np.stack([5 + np.tile([0, 1, 2, 0, -1, -2, 0], 15) + rng.normal(size=105) * 0.3, np.cumsum(rng.normal(size=105)) + 9, np.sin(np.arange(105) / 9) * 3 + rng.normal(size=105)])
+    lane, stop = np.array([0, 1, 2, 0, 1]), np.array([104, 104, 104, 60, 80])
+    params, sse = K.fit_smoothing(y, lane, stop)
+    fine = np.r_[0.0005, 0.002, 0.01, 0.03, np.arange(0.06, 1.0, 0.08), 0.995]
+    for k in range(5):
+        assert sse[k] == pytest.approx(_sse(y[lane[k]], *params[k], stop[k]))
+        assert sse[k] <= min(_sse(y[lane[k]], *p, stop[k]) for p in K.GRID) + 1e-9
+    for k in (0, 1):
+        tried = np.array([(a, b, g) for a in fine for b in fine for g in fine])
+        best = K.smooth(y, np.full(len(tried), lane[k]), tried, np.full(len(tried), stop[k])).min()
+        assert sse[k] <= best * 1.03
+
+
+def test_fits_see_nothing_after_their_origin(spark):
+    rng = np.random.default_rng(3)
+    a = 5 + np.tile([0, 1, 2, 0, -1, -2, 0], 20) + rng.normal(size=140) * 0.3
+    changed = np.r_[a[:100], a[100:] * 3 + 7]
+    one, two = ({(r["i"], r["h"]): (r["ets"], r["sigma"]) for r in K.holt_winters(series(spark, a=v)).collect()} for v in (a, changed))
+    assert set(one) == {(i, h) for i in range(60, 133) for h in (1, 3, 7)}
+    assert all(one[k] == pytest.approx(two[k]) for k in one if k[0] < 100) and any(one[k] != pytest.approx(two[k]) for k in one)
+    assert K.holt_winters(series(spark, a=a).limit(0)).count() == 0
