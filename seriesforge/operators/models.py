@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import SparkContext
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesforge.functions.columns import col
+from seriesforge.functions.lineage import written
 from seriesforge.operators import stats
 from seriesforge.operators.series import clip_target
 
@@ -34,7 +36,7 @@ def time_split(frame: DataFrame, share: float = 0.8, date: str = "feature_date")
 def stratified_folds(frame: DataFrame, k: int, label: str = "label", key: Column | str = "name") -> DataFrame:
     """Rows with ``fold``: each class dealt out in the order of ``key``."""
     keyed = stats.positions(frame.withColumn("_key", col(key)), ["_key"], "_pos", [label])
-    return keyed.withColumn("fold", ((F.col("_pos") - 1) % k).cast("int")).drop("_key", "_pos")
+    return keyed.withColumn("fold", ((F.col("_pos") - 1) % max(k, 1)).cast("int")).drop("_key", "_pos")
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -186,7 +188,55 @@ def assemble(frame: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(frame)
 
 
-def fit_growth(train: DataFrame, features: list[str], rounds: int = 20, seed: int = 42) -> GBTRegressionModel:
+#: Rounds of boosting at most, of the growth and the risk model, and rounds without gain on the watched rows that end it.
+GROWTH_ROUNDS, RISK_ROUNDS, PATIENCE = 500, 200, 40
+
+
+def stopping_round(curve: list[float], patience: int) -> tuple[int, bool]:
+    """(rounds up to the least error, whether ``patience`` rounds without gain followed) of a run that stops then."""
+    best = 0
+    for k, error in enumerate(curve):
+        if error < curve[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model after its first ``n`` rounds."""
+    sc, java = SparkContext.getOrCreate(), model._java_obj
+    jvm = sc._jvm
+    trees = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(jvm.double, n)
+    for k, (tree, weight) in enumerate(zip(list(java.trees())[:n], list(java.treeWeights())[:n], strict=True)):
+        trees[k], weights[k] = tree, weight
+    made = jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
+    for param in ("featuresCol", "labelCol", "predictionCol"):
+        made.set(made.getParam(param), java.getOrDefault(java.getParam(param)))
+    return GBTRegressionModel(made)
+
+
+def fit_patiently(gbt: GBTRegressor, fit: DataFrame, watch: DataFrame, rounds: int, patience: int) -> GBTRegressionModel:
+    """Boosting that ends after ``patience`` rounds without gain on ``watch``, cut back to its best round.
+
+    A fit is a prefix of every longer one with the same seed, so it starts with twice the patience and doubles while the
+    watch curve still falls: less than twice the rounds of a run that stops by itself.
+    """
+    n = min(rounds, 2 * patience)
+    while True:
+        model = gbt.setMaxIter(n).fit(fit)
+        best, stopped = stopping_round(model.evaluateEachIteration(watch, "squared"), patience)
+        if stopped or n == rounds:
+            return first_trees(model, best)
+        n = min(rounds, 2 * n)
+
+
+def rounds_used(model) -> int:
+    return model.getNumTrees
+
+
+def fit_growth(train: DataFrame, features: list[str], rounds: int = GROWTH_ROUNDS, seed: int = 42, patience: int = PATIENCE) -> GBTRegressionModel:
     """Boosted trees on the clipped target; every tenth date of the training part watches for early stopping.
 
     Where the hash picks none of few dates, or all of them, every row trains and all rounds run.
@@ -196,7 +246,10 @@ def fit_growth(train: DataFrame, features: list[str], rounds: int = 20, seed: in
     gbt = GBTRegressor(labelCol="_y", maxIter=rounds, stepSize=0.1, maxDepth=5, minInstancesPerNode=30, subsamplingRate=0.8, featureSubsetStrategy="0.9",
                        seed=seed, maxBins=32)
     sides = rows.agg(F.count_if("_watch").alias("watch"), F.count_if(~F.col("_watch")).alias("fit")).first()
-    return gbt.setValidationIndicatorCol("_watch").fit(rows) if sides["watch"] and sides["fit"] else gbt.fit(rows)
+    if not (sides["watch"] and sides["fit"]):
+        return gbt.fit(rows)
+    rows = written(rows.select("features", "_y", "_watch"), "boosting")
+    return fit_patiently(gbt, rows.filter("NOT _watch"), rows.filter("_watch"), rounds, patience)
 
 
 def predict_growth(model: GBTRegressionModel, frame: DataFrame, features: list[str]) -> DataFrame:
@@ -322,7 +375,7 @@ def _nodes(tree) -> tuple:
     return tuple(np.array(a) for a in (left, right, feature, split, value))
 
 
-def fit_risk(frame: DataFrame, features: list[str], label: str = "at_risk_label", rounds: int = 10, seed: int = 42):
+def fit_risk(frame: DataFrame, features: list[str], label: str = "at_risk_label", rounds: int = RISK_ROUNDS, seed: int = 42):
     """Boosted classifier, or None where a class has fewer than three rows."""
     n = frame.agg(F.count("*").alias("n"), F.sum(label).alias("p")).first()
     if (n["p"] or 0) < 3 or n["p"] > n["n"] - 3:
@@ -338,9 +391,11 @@ def predict_risk(model, frame: DataFrame, features: list[str]) -> DataFrame:
     return out.drop("features", "rawPrediction", "prediction")
 
 
-def out_of_fold(frame: DataFrame, features: list[str], k: int, label: str = "at_risk_label") -> DataFrame:
-    """Each row scored by the model that did not see its fold (folds are few; the fits are distributed)."""
-    parts = [predict_risk(fit_risk(frame.filter(F.col("fold") != i), features, label), frame.filter(F.col("fold") == i), features) for i in range(k)]
+def out_of_fold(frame: DataFrame, features: list[str], k: int, label: str = "at_risk_label", rounds: int = 10) -> DataFrame:
+    """Each row scored by the model that did not see its fold (folds are few; the fits are distributed). Null without two folds."""
+    if k < 2:
+        return predict_risk(None, frame, features)
+    parts = [predict_risk(fit_risk(frame.filter(F.col("fold") != i), features, label, rounds), frame.filter(F.col("fold") == i), features) for i in range(k)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

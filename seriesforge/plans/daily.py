@@ -23,7 +23,7 @@ def run(
 
     ``history``: (name, date, downloads); ``snapshots``: all runs' snapshot rows, the newest run being this one;
     ``model_runs``: the registry so far; ``models``: a shared folder for model files. Scores come from this run's growth
-    model if its gate passes, else from the last champion where there is one. Fits are the only actions besides the
+    model if its gate passes, else from the last champion where there is one; so does the risk model where too few cases allow no fit. Fits are the only actions besides the
     one-row frames that decide which model serves.
     """
     features = features or list(S.FEATURES)
@@ -41,7 +41,7 @@ def run(
     risk = R.choose_training(R.risk_frame(healed), R.forward_frame(snapshots))
     columns = list(R.RISK_FEATURES)
     known = _cut(R.impute_medians(risk.drop("label_mode"), columns))
-    model = M.fit_risk(known, columns)
+    model = M.fit_risk(known, columns, rounds=min(rounds, M.RISK_ROUNDS))
     candidates = metrics.select(F.lit("growth").alias("model_name"), F.lit("spearman").alias("metric_name"), F.col("spearman").alias("metric_value")).join(gate.select("model_name", F.col("passed").alias("gate_passed")), "model_name")
     if model is not None:
         k = min(5, known.agg(F.sum("at_risk_label").alias("p")).first()["p"])
@@ -54,7 +54,9 @@ def run(
     serving = _cut(M.serving_choice(gate.select("model_name", F.col("passed").alias("gate_passed")), champions))
     if (serve := serving.first()["serve"]) != "candidate":
         growth = M.load_model("growth", serve)
-    probabilities = M.predict_risk(model, R.impute_medians(R.risk_frame(healed), columns), columns)
+    # without enough cases to fit on, the last risk champion serves
+    served = model if model is not None or model_runs is None else M.load_champion(model_runs, "risk")
+    probabilities = M.predict_risk(served, R.impute_medians(R.risk_frame(healed), columns), columns)
     scores = M.predict_growth(growth, scoring, features).select("name", "growth_pred")
     reasons = C.reason_texts(M.attributions(growth, scoring, features))
     predictions = _cut(C.assemble_predictions(scores, R.composite_score(healed), probabilities, reasons, run_id).withColumn("predicted_at", F.current_timestamp()))

@@ -460,7 +460,7 @@ def e7_risk_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def e9_out_of_fold_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame, features = _risk(spark, sf_dir)
     k = min(5, frame.filter("at_risk_label = 1").count())
-    oof = M.out_of_fold(M.stratified_folds(frame.drop("fold"), k, "at_risk_label").cache(), features, k)
+    oof = M.out_of_fold(M.stratified_folds(frame.drop("fold"), k, "at_risk_label").cache(), features, k).filter("probability IS NOT NULL")
     return M.roc_auc(oof, "at_risk_label", "probability")
 
 
