@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesforge.functions.lineage import fresh_folder, written
 from seriesforge.plans import fixtures as X
 from seriesforge.plans.registry import query, rounded
 from seriesforge.plans.risk_queries import _LABEL, _LATEST, _SNAP, snaps
@@ -218,6 +219,38 @@ def a2_row_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.conform(o.select(F.col("o_orderkey").alias("name"), date.alias("date"), count.alias("downloads"), F.col("o_orderstatus").alias("unknown")), "download_history")
 
 
+@query("SELECT o_orderkey::VARCHAR AS name, o_orderdate::DATE AS date, o_custkey::BIGINT AS downloads FROM orders")
+def a1_create_keeps_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables created, rows appended to one, all created again."""
+    root = fresh_folder(spark, "tables")
+    T.create(spark, root)
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    T.append(o.select(F.col("o_orderkey").cast("string").alias("name"), F.col("o_orderdate").alias("date"), F.col("o_custkey").alias("downloads")), root, "download_history")
+    T.create(spark, root)
+    return T.load(spark, root, "download_history")
+
+
+@query(f"WITH {_SNAP}, {_LATEST} SELECT run_id, name, stars FROM cur")
+def a3_append_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots appended in two parts, the later runs first; the latest run read from its own folders."""
+    root = fresh_folder(spark, "tables")
+    T.create(spark, root)
+    rows = written(snaps(spark, sf_dir), "snapshots")
+    for part in ("snapshot_date >= DATE '1998-01-01'", "snapshot_date < DATE '1998-01-01'"):
+        T.append(rows.filter(part), root, "snapshots")
+    return T.load_latest(spark, root, "snapshots", "snapshot_date").select("run_id", "name", "stars")
+
+
+@query(f"WITH {_SNAP} SELECT run_id, name, stars FROM snap WHERE stars > 3")
+def a4_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced by part of its own rows."""
+    root = fresh_folder(spark, "tables")
+    T.create(spark, root)
+    T.append(snaps(spark, sf_dir), root, "snapshots")
+    T.reload(T.load(spark, root, "snapshots").filter("stars > 3"), root, "snapshots")
+    return T.load(spark, root, "snapshots").select("run_id", "name", "stars")
+
+
 @query(f"WITH {_SNAP}, {_LATEST} SELECT name, stars, NULL::VARCHAR AS license, NULL::BIGINT AS subscribers FROM cur")
 def a5_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     from seriesforge.operators.reads import latest_run
@@ -253,11 +286,7 @@ def a12_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_H} SELECT name, count(*) AS n FROM h GROUP BY name")
 def a14_landed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads landed as JSON files and scanned from there."""
-    from uuid import uuid4
-
-    from seriesforge.functions.lineage import shared_folder
-
-    folder = f"{shared_folder(spark)}/landed-{uuid4().hex}"
+    folder = fresh_folder(spark, "landed")
     series_payloads(spark, sf_dir).withColumn("source", F.lit("downloads")).write.partitionBy("source").json(folder)
     landed = T.scan_landed(spark, folder, "name string, payload string, source string").filter("source = 'downloads'")
     kind = "struct<data: array<struct<date: string>>>"
@@ -267,12 +296,9 @@ def a14_landed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_B1} SELECT name, date, CASE WHEN date >= DATE '2000-01-01' AND downloads > 0 THEN downloads + 5 ELSE downloads END AS downloads FROM b1")
 def m1_incremental_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landings, the second one with corrections of late days; taken in by two incremental runs."""
-    from uuid import uuid4
-
-    from seriesforge.functions.lineage import shared_folder
     from seriesforge.streaming import incremental as I
 
-    root = f"{shared_folder(spark)}/m1-{uuid4().hex}"
+    root = fresh_folder(spark, "m1")
     first = series_payloads(spark, sf_dir).withColumn("fetched_at", F.lit(1).cast("bigint"))
     kind = "struct<data: array<struct<category: string, date: string, downloads: bigint>>>"
     late = F.filter(F.from_json("payload", kind)["data"], lambda r: (r["date"] >= "2000") & (r["downloads"] > 0) & (r["date"] != "not-a-date"))
@@ -290,15 +316,10 @@ bus_factor::DOUBLE AS bus_factor, scorecard_overall, vuln_new_28d::DOUBLE AS vul
 FROM a LEFT JOIN cur ON cur.name = a.name WHERE s7 > 0""")
 def c17_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide feature table of the latest run (suppliers' series with the suppliers' snapshots), written and read back."""
-    from uuid import uuid4
-
-    from seriesforge.functions.lineage import shared_folder
     from seriesforge.operators import risk as R
     from seriesforge.operators import series as S
     from seriesforge.operators.reads import latest_run
 
     cur = latest_run(snaps(spark, sf_dir), "snapshot_date").drop("run_id")
     table = S.feature_table(S.scoring_frame(X.read(spark, sf_dir, X.history_named())), R.risk_frame(cur), cur, "now")
-    folder = f"{shared_folder(spark)}/features-{uuid4().hex}"
-    table.write.parquet(folder)
-    return rounded(spark.read.parquet(folder), 4)
+    return rounded(written(table, "features"), 4)
