@@ -4,7 +4,8 @@ Documents collapse to distinct fingerprints first, so exact copies cost one part
 fingerprint gets its row of the pivot distance table once: its Hamming distances to many reference fingerprints, one
 byte each. Pairs to look at come from fingerprints that agree on all but ``radius`` of a few bit blocks (any two that
 differ in at most ``radius`` bits must agree on the others), dealt out by the agreeing bits; a bucket of agreeing bits that
-holds more than a tile is cut into chunks, and pairs of chunks are the tiles. Inside a tile rows are in the order of
+holds more than a tile is dealt again by blocks of its other bits, and what still holds more is cut into chunks, pairs of
+which are the tiles. Inside a tile rows are in the order of
 their distance to the first reference: by the triangle inequality partners lie in a window of ``radius`` around it, pairs
 whose rows differ by more than ``radius`` in any other coordinate are discarded too, and survivors are verified by the
 distance itself. Links go to the distributed component search.
@@ -81,10 +82,12 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "id bigint, fp bigint")
 
 
-def block_masks(radius: int, blocks: int) -> list[int]:
-    """Masks that keep all but ``radius`` of the bit blocks: near fingerprints agree under at least one of them."""
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    parts = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
+def block_masks(radius: int, blocks: int, within: int = (1 << 64) - 1) -> list[int]:
+    """Masks that keep all but ``radius`` of the blocks that the bits of ``within`` are cut into: fingerprints within
+    ``radius`` of each other agree under at least one of them."""
+    bits = [1 << k for k in range(64) if within >> k & 1]
+    edges = [len(bits) * i // blocks for i in range(blocks + 1)]
+    parts = [sum(bits[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
     return [reduce(int.__or__, kept) for kept in combinations(parts, blocks - radius)]
 
 
@@ -143,7 +146,7 @@ def _either(small: DataFrame) -> DataFrame:
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-_TILE = ("m", "k", "i", "j")
+_TILE = ("m", "k", "m2", "k2", "i", "j")
 
 
 def _upto(n: Column, start: Column | int = 0) -> Column:
@@ -156,7 +159,9 @@ def near_links(distinct: DataFrame, radius: int = 4, blocks: int | None = None,
     """(a, b): ids of distinct fingerprints ``(fp, id)`` that differ in at most ``radius`` bits.
 
     ``spanning``: a link between two fingerprints that earlier links of their tile already connect is left out, so a
-    tight group gives a number of links that is linear in its size; what is reachable stays the same.
+    tight group gives a number of links that is linear in its size; what is reachable stays the same. A bucket above
+    ``tile_rows`` fingerprints is dealt once more, by blocks of the bits in which its members may differ, so its members that are far
+    apart part again; only what stays together there is compared tile by tile.
     """
     table = cut(distinct if FAR[0] in distinct.columns else with_pivots(distinct))
     if blocks is None:
@@ -167,12 +172,18 @@ def near_links(distinct: DataFrame, radius: int = 4, blocks: int | None = None,
         "fp", "id", *FAR,
         F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")).alias("k")) for i, m in enumerate(masks)])).alias("x"),
     ).select("x.m", "x.k", "fp", "id", *FAR)
-    hot = cut(keyed.groupBy("m", "k").agg(F.ceil(F.count("*") / tile_rows).alias("parts")).filter("parts > 1"))
-    split = keyed.join(_either(hot), ["m", "k"], "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    full = cut(keyed.groupBy("m", "k").agg(F.count("*").alias("held")).filter(F.col("held") > tile_rows)).select("m", "k")
+    side_by_side = _either(full)
+    finer = F.array(*[F.array(*[F.lit(_signed(x)).cast("long") for x in block_masks(radius, blocks, (1 << 64) - 1 ^ m)]) for m in masks])
+    second = F.transform(F.element_at(finer, F.col("m") + 1), lambda x, i: F.struct(i.alias("m2"), F.col("fp").bitwiseAND(x).alias("k2")))
+    again = keyed.join(side_by_side, ["m", "k"], "left_semi").withColumn("y", F.explode(second)).select("m", "k", "y.m2", "y.k2", "fp", "id", *FAR)
+    once = keyed.join(side_by_side, ["m", "k"], "left_anti").select("m", "k", F.lit(-1).alias("m2"), F.lit(0).cast("long").alias("k2"), "fp", "id", *FAR)
+    hot = cut(again.groupBy("m", "k", "m2", "k2").agg(F.ceil(F.count("*") / tile_rows).alias("parts")).filter("parts > 1"))
+    split = again.join(_either(hot), ["m", "k", "m2", "k2"], "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long"))).unionByName(once.withColumn("parts", F.lit(1).cast("long")))
     mine = split.withColumn("side", F.pmod(F.xxhash64("fp"), F.col("parts")))
     low = F.transform(_upto(F.col("parts"), F.col("side")), lambda j: F.struct(F.col("side").alias("i"), j.alias("j")))
     high = F.transform(_upto(F.col("side")), lambda i: F.struct(i.alias("i"), F.col("side").alias("j")))
-    tiles = mine.withColumn("t", F.explode(F.concat(low, high))).select("m", "k", "t.i", "t.j", "side", "fp", "id", *FAR)
+    tiles = mine.withColumn("t", F.explode(F.concat(low, high))).select("m", "k", "m2", "k2", "t.i", "t.j", "side", "fp", "id", *FAR)
 
     def links(t: pa.Table) -> Iterator[pa.RecordBatch]:
         run = _run_numbers(t, _TILE)
