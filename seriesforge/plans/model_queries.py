@@ -417,7 +417,7 @@ def e26_champion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _growth(spark: SparkSession, sf_dir: str):
     split = M.time_split(training(spark, sf_dir)).cache()
-    return split, M.fit_growth(split.filter("NOT is_test"), FEATURES)
+    return split, M.fit_growth(split.filter("NOT is_test"), FEATURES, rounds=20)
 
 
 @query()
@@ -453,7 +453,7 @@ def _risk(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
 @query()
 def e7_risk_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame, features = _risk(spark, sf_dir)
-    return M.predict_risk(M.fit_risk(frame, features), frame, features).select("name", "at_risk_label", "probability")
+    return M.predict_risk(M.fit_risk(frame, features, rounds=10), frame, features).select("name", "at_risk_label", "probability")
 
 
 @query()
