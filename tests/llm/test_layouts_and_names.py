@@ -92,30 +92,3 @@ def test_toxicity_edges(spark):
     for r in got:
         by.setdefault(r["doc_id"], set()).add(r["score"])
     assert all(len(s) == 1 for s in by.values()) and min(by[1]) > max(by[2]) and by[4] == by[5]
-
-
-def test_a_hot_bucket_without_links_grows_in_proportion(spark):
-    """Fingerprints that share their upper 34 bits: rows shuffled grow with the bucket, not with its square."""
-    from seriesforge.llm import simhash_dedup
-
-    rng, dealt = np.random.default_rng(1), []
-    for n in (4000, 8000):
-        low = np.unique(rng.integers(0, 1 << 30, n)).tolist()
-        df = spark.createDataFrame([(k | 5 << 40, k | 5 << 40) for k in low], "fp bigint, id bigint")
-        links = simhash_dedup.near_links(df, 4, tile_rows=400)
-        got = {tuple(sorted(r)) for r in links.collect()}
-        fps = np.array(low)
-        want = {(a | 5 << 40, int(b) | 5 << 40) for i, a in enumerate(low) for b in fps[i + 1 :][np.bitwise_count(fps[i + 1 :] ^ a) <= 4]}
-        assert got == want and want
-        plan = links._jdf.queryExecution()
-        dealt.append(sum(m.value() for m in _written(plan.executedPlan())))
-    assert dealt[1] <= 2.3 * dealt[0]
-
-
-def _written(plan):
-    """Metrics of the rows that the plan's last exchange wrote."""
-    text = plan.finalPhysicalPlan() if hasattr(plan, "finalPhysicalPlan") else plan
-    node = text
-    while "Exchange" not in node.nodeName():
-        node = node.plan() if "QueryStage" in node.nodeName() else node.children().head()
-    return [node.metrics().apply("shuffleRecordsWritten")]
