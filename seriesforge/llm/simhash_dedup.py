@@ -4,7 +4,8 @@ Documents collapse to distinct fingerprints first, so exact copies cost one part
 fingerprint gets its row of the pivot distance table once: its Hamming distances to many reference fingerprints, one
 byte each. Pairs to look at come from fingerprints that agree on all but ``radius`` of a few bit blocks (any two that
 differ in at most ``radius`` bits must agree on the others), dealt out by the agreeing bits; a bucket of agreeing bits that
-holds more than a tile is cut into chunks, and pairs of chunks are the tiles. Inside a tile rows are in the order of
+holds more than a tile is cut into chunks, and pairs of chunks are the tiles. A bucket of very many chunks is dealt once
+more, by blocks of the bits in which its own members differ, where that is counted to move fewer rows. Inside a tile rows are in the order of
 their distance to the first reference: by the triangle inequality partners lie in a window of ``radius`` around it, pairs
 whose rows differ by more than ``radius`` in any other coordinate are discarded too, and survivors are verified by the
 distance itself. Links go to the distributed component search.
@@ -84,8 +85,20 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 def block_masks(radius: int, blocks: int) -> list[int]:
     """Masks that keep all but ``radius`` of the bit blocks: near fingerprints agree under at least one of them."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
-    parts = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)]
-    return [reduce(int.__or__, kept) for kept in combinations(parts, blocks - radius)]
+    return _all_but([((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:], strict=False)], radius)
+
+
+def _all_but(parts: list[int], radius: int) -> list[int]:
+    return [reduce(int.__or__, kept) for kept in combinations(parts, len(parts) - radius)]
+
+
+def informed_masks(ones: np.ndarray, held: int, radius: int, blocks: int) -> list[int]:
+    """Masks as those of ``block_masks`` for ``held`` fingerprints of which ``ones`` have each bit set: the blocks hold equal
+    shares of the bits' entropy, so bits that all members share part nothing and count for nothing."""
+    p = ones / held
+    told = -sum(x * np.log2(np.where(x > 0, x, 1)) for x in (p, 1 - p))
+    block = np.minimum(blocks * (np.cumsum(told) - told / 2) / max(told.sum(), 1e-9), blocks - 1).astype(int)
+    return _all_but([sum(1 << b for b in np.flatnonzero(block == i).tolist()) for i in range(blocks)], radius)
 
 
 def _signed(x: int) -> int:
@@ -143,7 +156,7 @@ def _either(small: DataFrame) -> DataFrame:
 
 
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-_TILE = ("m", "k", "i", "j")
+_TILE = ("m", "k", "m2", "k2", "i", "j")
 
 
 def _upto(n: Column, start: Column | int = 0) -> Column:
@@ -152,11 +165,39 @@ def _upto(n: Column, start: Column | int = 0) -> Column:
     return F.when(start < n, F.sequence(start, n - 1)).otherwise(F.array().cast("array<bigint>"))
 
 
+def _dealt_again(keyed: DataFrame, hot: DataFrame, radius: int, blocks: int, tile_rows: int) -> tuple[DataFrame, DataFrame] | None:
+    """Rows of buckets that are dealt again, with ``m2`` and ``k2``, and those buckets' (m, k); None if there are none.
+
+    Dealing costs a copy for each mask and tiling one for each chunk, so only buckets of more chunks than masks come into
+    question; the copies that both ways would move are counted, and the lesser wins.
+    """
+    wide = cut(hot.filter(F.col("parts") > len(block_masks(radius, blocks))))
+    if wide.isEmpty():
+        return None
+
+    def masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ones = np.stack([b.column(f"b{i}").to_numpy() for i in range(64)], axis=1)
+            told = [[_signed(x) for x in informed_masks(o, h, radius, blocks)] for o, h in zip(ones, b.column("held").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("m"), b.column("k"), pa.array(told, pa.list_(pa.int64()))], names=["m", "k", "masks"])
+
+    members = keyed.join(_either(wide), ["m", "k"])
+    bits = [F.sum(F.shiftright("fp", i).bitwiseAND(F.lit(1).cast("long"))).alias(f"b{i}") for i in range(64)]
+    how = cut(members.groupBy("m", "k").agg(F.count("*").alias("held"), *bits).mapInArrow(masks, "m int, k bigint, masks array<bigint>"))
+    second = F.transform("masks", lambda x, i: F.struct(i.alias("m2"), F.col("fp").bitwiseAND(x).alias("k2")))
+    finer = keyed.join(_either(how), ["m", "k"]).withColumn("y", F.explode(second)).select("m", "k", "y.m2", "y.k2", "fp", "id", *FAR)
+    copies = F.col("held") * F.ceil(F.col("held") / tile_rows)
+    moved = finer.groupBy("m", "k", "m2", "k2").agg(F.count("*").alias("held")).groupBy("m", "k").agg(F.sum(copies).alias("moved"))
+    better = cut(wide.join(moved, ["m", "k"]).filter(F.col("moved") < copies).select("m", "k"))
+    return finer.join(_either(better), ["m", "k"], "left_semi"), better
+
+
 def near_links(distinct: DataFrame, radius: int = 4, blocks: int | None = None, spanning: bool = False, tile_rows: int = TILE) -> DataFrame:
     """(a, b): ids of distinct fingerprints ``(fp, id)`` that differ in at most ``radius`` bits.
 
     ``spanning``: a link between two fingerprints that earlier links of their tile already connect is left out, so a
-    tight group gives a number of links that is linear in its size; what is reachable stays the same.
+    tight group gives a number of links that is linear in its size; what is reachable stays the same. A pair that agrees
+    under several masks may be told more than once.
     """
     table = cut(distinct if FAR[0] in distinct.columns else with_pivots(distinct))
     if blocks is None:
@@ -167,12 +208,24 @@ def near_links(distinct: DataFrame, radius: int = 4, blocks: int | None = None,
         "fp", "id", *FAR,
         F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("long")).alias("k")) for i, m in enumerate(masks)])).alias("x"),
     ).select("x.m", "x.k", "fp", "id", *FAR)
-    hot = cut(keyed.groupBy("m", "k").agg(F.ceil(F.count("*") / tile_rows).alias("parts")).filter("parts > 1"))
-    split = keyed.join(_either(hot), ["m", "k"], "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+
+    def parts(rows: DataFrame, *keys: str) -> DataFrame:
+        return cut(rows.groupBy(*keys).agg(F.count("*").alias("held"), F.ceil(F.count("*") / tile_rows).alias("parts")).filter("parts > 1"))
+
+    def chunked(rows: DataFrame, hot: DataFrame, *keys: str) -> DataFrame:
+        return rows.join(_either(hot.drop("held")), list(keys), "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+
+    hot = parts(keyed, "m", "k")
+    again = _dealt_again(keyed, hot, radius, blocks, tile_rows)
+    once = keyed.join(_either(again[1]), ["m", "k"], "left_anti") if again else keyed
+    split = chunked(once, hot, "m", "k").withColumns({"m2": F.lit(-1), "k2": F.lit(0).cast("long")})
+    if again:
+        finer = ("m", "k", "m2", "k2")
+        split = split.unionByName(chunked(again[0], parts(again[0], *finer), *finer))
     mine = split.withColumn("side", F.pmod(F.xxhash64("fp"), F.col("parts")))
     low = F.transform(_upto(F.col("parts"), F.col("side")), lambda j: F.struct(F.col("side").alias("i"), j.alias("j")))
     high = F.transform(_upto(F.col("side")), lambda i: F.struct(i.alias("i"), F.col("side").alias("j")))
-    tiles = mine.withColumn("t", F.explode(F.concat(low, high))).select("m", "k", "t.i", "t.j", "side", "fp", "id", *FAR)
+    tiles = mine.withColumn("t", F.explode(F.concat(low, high))).select("m", "k", "m2", "k2", "t.i", "t.j", "side", "fp", "id", *FAR)
 
     def links(t: pa.Table) -> Iterator[pa.RecordBatch]:
         run = _run_numbers(t, _TILE)

@@ -92,3 +92,56 @@ def test_toxicity_edges(spark):
     for r in got:
         by.setdefault(r["doc_id"], set()).add(r["score"])
     assert all(len(s) == 1 for s in by.values()) and min(by[1]) > max(by[2]) and by[4] == by[5]
+
+
+def test_a_hot_bucket_without_links_grows_in_proportion(spark):
+    """Fingerprints that share their upper 34 bits: rows shuffled grow with the bucket, not with its square."""
+    from seriesforge.llm import simhash_dedup
+
+    rng, dealt = np.random.default_rng(1), []
+    for n in (4000, 8000):
+        low = np.unique(rng.integers(0, 1 << 30, n))
+        fps = low | 5 << 40
+        df = spark.createDataFrame([(k, k) for k in fps.tolist()], "fp bigint, id bigint")
+        links = simhash_dedup.near_links(df, 4, tile_rows=100)
+        got = {tuple(sorted(r)) for r in links.collect()}
+        want = {(a, b) for i, a in enumerate(fps.tolist()) for b in fps[i + 1 :][np.bitwise_count(fps[i + 1 :] ^ a) <= 4].tolist()}
+        assert got == want and want
+        dealt.append(_shuffled(links))
+    assert 4000 < dealt[0] and dealt[1] <= 2.3 * dealt[0], dealt
+
+
+def test_a_tight_hot_bucket_stays_in_tiles(spark):
+    """Fingerprints of one neighbourhood would only be copied by another deal; the links are the same."""
+    from itertools import combinations
+
+    from seriesforge.llm import simhash_dedup
+
+    fps = [sum(1 << b for b in c) for c in combinations(range(24), 3)]
+    df = spark.createDataFrame([(k, k) for k in fps], "fp bigint, id bigint")
+    got = simhash_dedup.connected_components(simhash_dedup.near_links(df, 4, spanning=True, tile_rows=100)).collect()
+    assert len(got) == len(fps) and len({r["component"] for r in got}) == 1
+
+
+def test_informed_masks_keep_every_near_pair():
+    from seriesforge.llm import simhash_dedup
+
+    rng = np.random.default_rng(2)
+    fps = [int(x) & 0x0FF0_0000_FFFF_0003 for x in rng.integers(0, 1 << 62, 500)]
+    ones = np.array([sum(f >> b & 1 for f in fps) for b in range(64)])
+    masks = simhash_dedup.informed_masks(ones, len(fps), 4, 6)
+    assert len(masks) == 15
+    varying = [b for b in range(64) if 0 < ones[b] < len(fps)]
+    for f in fps[:100]:
+        g = f
+        for b in rng.choice(varying, 4, replace=False).tolist():
+            g ^= 1 << b
+        assert any(f & m == g & m for m in masks)
+
+
+def _shuffled(links):
+    """Rows that the plan's last exchange wrote."""
+    node = links._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+    while "Exchange" not in node.nodeName():
+        node = node.plan() if "QueryStage" in node.nodeName() else node.children().head()
+    return node.metrics().apply("shuffleRecordsWritten").value()
