@@ -219,9 +219,24 @@ def k6_seasonal_strength(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(K.seasonal_strength(K.decompose(admitted(spark, sf_dir))))
 
 
-@query()
+def _regressed(src: str, xs: list[str], y: str = "v") -> str:
+    """CTEs r0, r1, ...: centred columns, of which one regressor after another is swept out of those that follow and of y, series by series."""
+    centred = ", ".join(f"{c} - avg({c}) OVER w AS {c}" for c in (*xs, y))
+    steps = [f"r0 AS (SELECT name, {centred} FROM {src} WINDOW w AS (PARTITION BY name))"]
+    for k, x in enumerate(xs):
+        rest = ", ".join(f"{c} - {x} * coalesce(sum({c} * {x}) OVER w / nullif(sum({x} * {x}) OVER w, 0), 0) AS {c}" for c in (*xs[k + 1 :], y))
+        steps.append(f"r{k + 1} AS (SELECT name, {rest} FROM r{k} WINDOW w AS (PARTITION BY name))")
+    return ", ".join(steps)
+
+
+_ARCH = f"""{_DEC}, sq AS (SELECT name, {', '.join(f'lag(resid * resid, {j}) OVER w AS x{j}' for j in range(1, 8))}, resid * resid AS v FROM de WINDOW w AS (PARTITION BY name ORDER BY i)),
+sl AS (SELECT * FROM sq WHERE x7 IS NOT NULL), {_regressed('sl', [f'x{j}' for j in range(1, 8)])}, tot AS (SELECT name, count(*) AS n, sum(v * v) AS s FROM r0 GROUP BY name),
+ar AS (SELECT tot.name, CASE WHEN any_value(s) > 0 THEN any_value(n) * (1 - sum(v * v) / any_value(s)) ELSE 0 END AS lm FROM tot JOIN r7 ON r7.name = tot.name GROUP BY tot.name)"""
+
+
+@query(f"WITH {_ARCH} SELECT name, round(lm, 4) AS lm, round({_chi2('greatest(lm, 0)', 7)}, 4) AS p_value FROM ar")
 def k7_arch_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.arch_lm(K.decompose(admitted(spark, sf_dir)))
+    return rounded(K.arch_lm(K.decompose(admitted(spark, sf_dir))), 4)
 
 
 @query(f"""WITH {_DEC}, rs AS (SELECT name, i, resid AS y FROM de), {_acf(7, 'rs')}, lb AS (SELECT name, any_value(n) * (any_value(n) + 2) * sum(rho * rho / (n - lag)) AS q FROM ac GROUP BY name)

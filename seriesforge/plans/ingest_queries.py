@@ -270,6 +270,14 @@ def a7_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.row_counts({t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders", "events")})
 
 
+@query(f"WITH {_SNAP} SELECT run_id, snapshot_date, name, repo, stars, bus_factor, archived FROM snap")
+def a10_csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All snapshots written as CSV with a header and read back under a schema."""
+    folder = fresh_folder(spark, "csv")
+    T.write_csv(snaps(spark, sf_dir).select("run_id", "snapshot_date", "name", "repo", "stars", "bus_factor", "archived"), folder)
+    return T.scan_landed(spark, folder, "run_id string, snapshot_date date, name string, repo string, stars bigint, bus_factor double, archived boolean", "csv")
+
+
 @query(f"WITH m AS ({X.model_runs(True)}) SELECT run_id, model_name, CASE WHEN NOT isnan(metric_value) THEN metric_value END AS metric_value FROM m")
 def a11_finite_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = T.finite(X.read(spark, sf_dir, X.model_runs()).select("run_id", "model_name", "metric_value"))
@@ -283,6 +291,13 @@ def a12_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.watchlist(spark, [(n, "brand") for n in names], limit=20)
 
 
+@query(f"WITH {_SNAP} SELECT run_id, name, downloads_28d, stars, vuln_new_28d AS candidate FROM snap")
+def a13_active_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots cut to the active features: the configured ones that are computed, plus the candidate on trial."""
+    rows = snaps(spark, sf_dir).withColumnRenamed("vuln_new_28d", "candidate")
+    return rows.select("run_id", "name", *T.active_features(["downloads_28d", "never_computed", "stars"], rows.columns, ["forks"], "candidate"))
+
+
 @query(f"WITH {_H} SELECT name, count(*) AS n FROM h GROUP BY name")
 def a14_landed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads landed as JSON files and scanned from there."""

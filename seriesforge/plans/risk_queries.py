@@ -250,6 +250,14 @@ def h6_activity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.activity_rows(Q.source_health(Q.source_rates(with_status(s))), Q.quality_report(s), C.drift_report(preds(spark, sf_dir)), F.last_day(F.to_date("run_id", "yyyyMM")))
 
 
+@query(f"""WITH {_SNAP} SELECT 'now' AS run_id, 'success' AS status, '{{"ingest":1.5,"quality":0.25}}' AS stages,
+'{{"rows":' || count(*) || ',"names":' || count(DISTINCT name) || ',"without_repo":' || count(*) FILTER (WHERE repo IS NULL) || '}}' AS counts FROM snap""")
+def h7_run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of a run over all snapshots."""
+    counts = snaps(spark, sf_dir).agg(F.count("*").alias("rows"), F.count_distinct("name").alias("names"), F.count_if(F.col("repo").isNull()).alias("without_repo"))
+    return Q.run_record(counts, "now", {"ingest": 1.5, "quality": 0.25})
+
+
 _I1 = f"{_SNAP}, {_PRED}, {_LATEST}, {_LATEST_PRED}, lj AS (SELECT lp.*, cur.* EXCLUDE (run_id, snapshot_date, name, category, ingested_at) FROM lp LEFT JOIN cur ON cur.name = lp.name)"
 
 
