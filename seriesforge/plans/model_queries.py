@@ -182,19 +182,73 @@ def j10_disjoint_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(J.regression_metrics(out))
 
 
-@query()
+#: The five primes of XXH64.
+_PRIMES = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+
+
+def _hashed_sql(src: str, out: str, columns: list[str], seed: int = 11) -> str:
+    """CTE ``out``: the rows of src with ``h`` = xxhash64(columns..., seed), signed, as Spark gives it for bigint columns and an int."""
+    p1, p2, p3, p4, p5 = (f"{p}::UHUGEINT" for p in _PRIMES)
+    low = f"{(1 << 64) - 1}::UHUGEINT"
+    sql = f"SELECT *, 42::UHUGEINT AS h FROM {src}"
+
+    def step(expression: str) -> None:
+        nonlocal sql
+        sql = f"SELECT * REPLACE (({expression}) & {low} AS h) FROM ({sql})"
+
+    def turn(x: str, by: int) -> str:
+        return f"((({x} << {by}) & {low}) + ({x} >> {64 - by}))"
+
+    def last_mix() -> None:
+        for shift, prime in ((33, p2), (29, p3), (32, "1::UHUGEINT")):
+            step(f"xor(h, h >> {shift}) * {prime}")
+
+    for c in columns:
+        word = f"(({c}::UHUGEINT * {p2}) & {low})"
+        step(f"xor((h + {p5} + 8) & {low}, ({turn(word, 31)} * {p1}) & {low})")
+        step(f"{turn('h', 27)} * {p1} + {p4}")
+        last_mix()
+    step(f"xor((h + {p5} + 4) & {low}, ({seed}::UHUGEINT * {p1}) & {low})")
+    step(f"{turn('h', 23)} * {p2} + {p3}")
+    last_mix()
+    return f"{out} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN h >= {1 << 63} THEN (h::HUGEINT - {1 << 64})::BIGINT ELSE h::BIGINT END AS h) FROM ({sql}))"
+
+
+_NUMBERED = f"""{_SC}, nu AS MATERIALIZED (SELECT dense_rank() OVER (ORDER BY name) - 1 AS u, row_number() OVER (ORDER BY name, t, y, yhat) - 1 AS slot, y, yhat, persistence,
+2 * rank() OVER (ORDER BY y) + count(*) OVER (PARTITION BY y) - 1 AS ry, 2 * rank() OVER (ORDER BY yhat) + count(*) OVER (PARTITION BY yhat) - 1 AS rp FROM sc WHERE y IS NOT NULL AND yhat IS NOT NULL)"""
+_BOOT = f"""{_NUMBERED}, nn AS (SELECT count(DISTINCT u) AS n FROM nu), id AS (SELECT unnest(range(2000 * n)) AS id, n FROM nn), {_hashed_sql('id', 'dr', ['id'])},
+tm AS (SELECT id // n AS b, ((h % n) + n) % n AS u, count(*) AS m FROM dr GROUP BY ALL), ex AS MATERIALIZED (SELECT b, m, y, yhat, persistence FROM tm JOIN nu ON nu.u = tm.u),
+hy AS (SELECT b, y, sum(m) AS k FROM ex GROUP BY b, y), hp AS (SELECT b, yhat, sum(m) AS k FROM ex GROUP BY b, yhat),
+wy AS (SELECT b, y, sum(k) OVER (PARTITION BY b ORDER BY y) - (k - 1) / 2 AS ry FROM hy), wp AS (SELECT b, yhat, sum(k) OVER (PARTITION BY b ORDER BY yhat) - (k - 1) / 2 AS rp FROM hp),
+su AS (SELECT ex.b, count(DISTINCT ex.y) AS varied, sum(m)::DOUBLE AS w, sum(m * ry) AS a, sum(m * rp) AS q, sum(m * ry * rp) AS aq, sum(m * ry * ry) AS aa, sum(m * rp * rp) AS qq, sum(m * ex.y) AS sy, sum(m * ex.y * ex.y) AS syy,
+  sum(m * (ex.y - ex.yhat) ** 2) AS see, coalesce(sum(m * (ex.y - persistence) ** 2), 0) AS spp FROM ex JOIN wy ON wy.b = ex.b AND wy.y = ex.y JOIN wp ON wp.b = ex.b AND wp.yhat = ex.yhat GROUP BY ex.b),
+me AS (SELECT 'spearman' AS metric, (aq - a * q / w) / sqrt(nullif(greatest((aa - a * a / w) * (qq - q * q / w), 0), 0)) AS v FROM su WHERE varied >= 3
+  UNION ALL SELECT 'r2', 1 - see / nullif(syy - sy * sy / w, 0) FROM su WHERE varied >= 3 UNION ALL SELECT 'skill', 1 - see / greatest(spp, 1e-9) FROM su WHERE varied >= 3)"""
+
+
+@query(f"WITH {_BOOT} SELECT metric, round(quantile_cont(v, 0.025), 6) AS lo, round(quantile_cont(v, 0.5), 6) AS median, round(quantile_cont(v, 0.975), 6) AS hi FROM me GROUP BY metric")
 def j11_cluster_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.cluster_bootstrap(scored(spark, sf_dir))
+    return rounded(J.cluster_bootstrap(scored(spark, sf_dir)))
 
 
-@query()
+def _permuted_sql(moved: str) -> str:
+    return f"""SELECT round(o.observed, 6) AS observed, round((1 + count(*) FILTER (WHERE pr.s >= o.seen)) / 2001, 6) AS p
+FROM (SELECT v.b, sum(v.ry * nu.rp) AS s FROM ({moved}) v JOIN nu ON nu.slot = v.slot GROUP BY v.b) pr, (SELECT corr(ry, rp) AS observed, sum(ry * rp) AS seen FROM nu) o GROUP BY o.observed"""
+
+
+_UNITS = "un AS (SELECT u, count(*) AS k, min(slot) AS first FROM nu GROUP BY u), bu AS (SELECT b, u, k, first FROM un, (SELECT unnest(range(2000)) AS b))"
+_BLOCKS = "SELECT b, ry, o + slot - first AS slot FROM (SELECT b, u, first, sum(k) OVER (PARTITION BY b ORDER BY h, u) - k AS o FROM dr) d JOIN nu ON nu.u = d.u"
+
+
+@query(f"WITH {_NUMBERED}, {_UNITS}, {_hashed_sql('bu', 'dr', ['b', 'u'])} {_permuted_sql(_BLOCKS)}")
 def j12_block_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.permutation_p(scored(spark, sf_dir))
+    return rounded(J.permutation_p(scored(spark, sf_dir)))
 
 
-@query()
+@query(f"""WITH {_NUMBERED}, br AS (SELECT b, slot AS place, ry FROM nu, (SELECT unnest(range(2000)) AS b)), {_hashed_sql('br', 'dr', ['b', 'place'])}
+{_permuted_sql("SELECT b, ry, row_number() OVER (PARTITION BY b ORDER BY h, place) - 1 AS slot FROM dr")}""")
 def j13_row_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return J.permutation_p(scored(spark, sf_dir), blocks=False)
+    return rounded(J.permutation_p(scored(spark, sf_dir), blocks=False))
 
 
 def _dm(src: str, lag: str, by: str = "") -> str:
