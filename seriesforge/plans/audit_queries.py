@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from seriesforge.operators import audit as G
 from seriesforge.operators import forecast as K
 from seriesforge.operators.stats import diebold_mariano, dm_by_horizon
 from seriesforge.plans import fixtures as X
-from seriesforge.plans.model_queries import _dm
+from seriesforge.plans.model_queries import _P, _dm
 from seriesforge.plans.registry import query, rounded
 from seriesforge.plans.series_queries import brand
 
@@ -167,9 +169,60 @@ def _acf(lags: int, src: str = "ks", v: str = "y") -> str:
 ac AS (SELECT a.name, a.n, b.i - a.i AS lag, sum(a.c * b.c) / (SELECT sum(c * c) FROM ac0 z WHERE z.name = a.name) AS rho FROM ac0 a JOIN ac0 b ON a.name = b.name AND b.i - a.i BETWEEN 1 AND {lags} GROUP BY a.name, a.n, b.i - a.i)"""
 
 
-@query()
+#: Lags that the SQL of the unit-root test can hold: enough for series of 3,900 days.
+_LAGS = 30
+
+
+def _swept(src: str, first: str, xs: list[str], keep: str = "") -> str:
+    """Rows of src from place ``first`` on, xs swept out of v (and of ``keep``) series by series; s0, s1, ...: squares of v left after so many."""
+    w = "WINDOW w AS (PARTITION BY name)"
+    rest = [*xs, *([keep] if keep else []), "v"]
+    sql = f"SELECT name, k, m, {', '.join(f'{c} - avg({c}) OVER w AS {c}' for c in rest)} FROM (SELECT *, count(*) OVER w AS m FROM {src} WHERE j >= {first} {w}) {w}"
+    for n, x in enumerate(xs):
+        told = "".join(f", s{i}" for i in range(n)) + f", sum(v * v) OVER w AS s{n}"
+        left = ", ".join(f"{c} - {x} * coalesce(sum({c} * {x}) OVER w / nullif(sum({x} * {x}) OVER w, 0), 0) AS {c}" for c in rest[n + 1 :])
+        sql = f"SELECT name, k, m{told}, {left} FROM ({sql}) {w}"
+    return sql
+
+
+def _adf_sql(tag: str, src: str, trend: bool) -> str:
+    """CTE ``{tag}``: (name, stat, lag). The lag order is that of the least criterion over the rows that all orders share."""
+    lags, line = [f"d{i}" for i in range(1, _LAGS + 1)], ["tt"] if trend else []
+    held = ", ".join(f"CASE WHEN k >= {i} THEN d{i} ELSE 0 END AS d{i}" for i in range(1, _LAGS + 1))
+    held += ", j::DOUBLE AS tt" if trend else ""
+    own = 2 + len(line)
+    order = ", ".join(f"{{'a': CASE WHEN k >= {i} THEN m * ln(greatest(s{own - 1 + i}, 1e-300) / m) + {2 * (own + i)} END, 'k': {i}}}" for i in range(_LAGS))
+    return f"""{tag}0 AS (SELECT name, row_number() OVER w - 1 AS j, count(*) OVER (PARTITION BY name) AS n, y AS x0, lead(y) OVER w - y AS v FROM {src} WINDOW w AS (PARTITION BY name ORDER BY i)),
+{tag}1 AS MATERIALIZED (SELECT *, least(ceil(12 * pow(n / 100, 0.25))::INT, n // 2 - 3) AS k, {', '.join(f'coalesce(lag(v, {i}) OVER w, 0) AS d{i}' for i in range(1, _LAGS + 1))} FROM {tag}0 WINDOW w AS (PARTITION BY name ORDER BY j)),
+{tag}2 AS (SELECT name, j, k, x0, v, {held} FROM {tag}1 WHERE v IS NOT NULL), {tag}3 AS (SELECT DISTINCT ON (name) * FROM ({_swept(tag + '2', 'k', [*line, 'x0', *lags])})),
+{tag}4 AS (SELECT name, unnest([{order}]) AS o FROM {tag}3), {tag}5 AS (SELECT name, o.k AS k FROM {tag}4 WHERE o.a IS NOT NULL QUALIFY row_number() OVER (PARTITION BY name ORDER BY o.a, o.k) = 1),
+{tag}6 AS (SELECT name, j, k, x0, v, {held} FROM (SELECT a.* REPLACE (b.k AS k) FROM {tag}1 a JOIN {tag}5 b ON b.name = a.name) WHERE v IS NOT NULL),
+{tag}7 AS (SELECT name, any_value(k) AS k, any_value(m) AS m, sum(x0 * v) AS xv, sum(x0 * x0) AS xx, sum(v * v) AS vv FROM ({_swept(tag + '6', 'k', [*line, *lags], 'x0')}) GROUP BY name),
+{tag} AS (SELECT name, k::INT AS lag, xv / xx / sqrt((vv - xv * xv / xx) / greatest(m - {own} - k, 1) / xx) AS stat FROM {tag}7)"""
+
+
+def _unit_root_z(x: str, terms: str) -> str:
+    """The normal deviate of the response surface; beyond its ends one whose tail is nothing."""
+    least, turn, most, below, above = K.UNIT_ROOT[terms]
+    low, high = (" + ".join(f"({b}) * pow({x}, {k})" for k, b in enumerate(c)) for c in (below, above))
+    return f"CASE WHEN {x} > {most} THEN 40 WHEN {x} < {least} THEN -40 WHEN {x} <= {turn} THEN {low} ELSE {high} END"
+
+
+def _below(z: str) -> str:
+    both = re.sub(r"\bz\b", z, _P)
+    return f"CASE WHEN {z} > 0 THEN 1 - ({both}) / 2 ELSE ({both}) / 2 END"
+
+
+_ADF = f"""{_K}, kd AS (SELECT * FROM (SELECT name, i, lead(y) OVER (PARTITION BY name ORDER BY i) - y AS y FROM ks) WHERE y IS NOT NULL), {_adf_sql('uc', 'ks', False)}, {_adf_sql('ut', 'ks', True)}, {_adf_sql('ud', 'kd', False)},
+uz AS MATERIALIZED (SELECT uc.name, uc.stat AS adf_c, uc.lag, ut.stat AS adf_ct, ud.stat AS adf_diff, {_unit_root_z('uc.stat', 'c')} AS z_c, {_unit_root_z('ut.stat', 'ct')} AS z_ct, {_unit_root_z('ud.stat', 'c')} AS z_diff
+FROM uc JOIN ut ON ut.name = uc.name JOIN ud ON ud.name = uc.name),
+ur AS MATERIALIZED (SELECT *, {', '.join(f'{_below(f"z_{c}")} AS p_{c}' for c in ('c', 'ct', 'diff'))} FROM uz)"""
+
+
+@query(f"""WITH {_ADF} SELECT name, round(adf_c, 4) AS adf_c, lag, round(adf_ct, 4) AS adf_ct, round(adf_diff, 4) AS adf_diff, round(p_c, 4) AS p_c, round(p_ct, 4) AS p_ct, round(p_diff, 4) AS p_diff,
+p_c < 0.05 AS rejects_c, p_ct < 0.05 AS rejects_ct, p_diff < 0.05 AS rejects_diff FROM ur""")
 def k2_unit_root(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.adf(admitted(spark, sf_dir))
+    return rounded(K.adf(admitted(spark, sf_dir)), 4)
 
 
 _KPSS = f"""{_K}, {_acf(7)}, cu AS (SELECT name, c, n, sum(c) OVER (PARTITION BY name ORDER BY i) AS s FROM ac0),
@@ -182,18 +235,22 @@ def k3_kpss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(K.kpss(admitted(spark, sf_dir), 7).select("name", "stat", "p_value"), 5)
 
 
-@query(f"""WITH {_K}, {_acf(40)}, bw AS (SELECT a.name, any_value(n) AS n, 2 * sum(lag * rho) / (1 + 2 * sum(rho)) AS s FROM ac a WHERE lag <= floor(pow(n, 2 / 9)) GROUP BY a.name),
-lg AS (SELECT name, n, floor(1.1447 * pow(s * s * n, 1 / 3))::INT AS lags FROM bw), cu AS (SELECT name, c, sum(c) OVER (PARTITION BY name ORDER BY i) AS s FROM ac0)
-SELECT lg.name, any_value(lags) AS lags, round(any_value(e.ss) / any_value(n) / any_value(n) / (any_value(e.c2) * (1 + coalesce(any_value(q.r), 0)) / any_value(n)), 5) AS stat FROM lg
+_KPSS_AUTO = f"""{_acf(40)}, bw AS (SELECT a.name, any_value(n) AS n, 2 * sum(lag * rho) / (1 + 2 * sum(rho)) AS s FROM ac a WHERE lag <= floor(pow(n, 2 / 9)) GROUP BY a.name),
+lg AS (SELECT name, n, floor(1.1447 * pow(s * s * n, 1 / 3))::INT AS lags FROM bw), cu AS (SELECT name, c, sum(c) OVER (PARTITION BY name ORDER BY i) AS s FROM ac0),
+ka AS (SELECT lg.name, any_value(lags) AS lags, any_value(e.ss) / any_value(n) / any_value(n) / (any_value(e.c2) * (1 + coalesce(any_value(q.r), 0)) / any_value(n)) AS stat FROM lg
 JOIN (SELECT name, sum(s * s) AS ss, sum(c * c) AS c2 FROM cu GROUP BY name) e ON e.name = lg.name
-LEFT JOIN (SELECT ac.name, sum(2 * (1 - lag / (lags + 1)) * rho) AS r FROM ac JOIN lg g ON g.name = ac.name WHERE lag <= lags GROUP BY ac.name) q ON q.name = lg.name GROUP BY lg.name""")
+LEFT JOIN (SELECT ac.name, sum(2 * (1 - lag / (lags + 1)) * rho) AS r FROM ac JOIN lg g ON g.name = ac.name WHERE lag <= lags GROUP BY ac.name) q ON q.name = lg.name GROUP BY lg.name)"""
+
+
+@query(f"WITH {_K}, {_KPSS_AUTO} SELECT name, lags, round(stat, 5) AS stat FROM ka")
 def k3_kpss_automatic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The automatic bandwidth and the statistic under it."""
     s = admitted(spark, sf_dir)
     return rounded(K.automatic_bandwidth(s).join(K.kpss(s), "name").select("name", "lags", "stat"), 5)
 
 
-@query()
+@query(f"""WITH {_ADF}, {_KPSS_AUTO} SELECT name, CASE WHEN p_c < 0.05 AND stat <= 0.463 THEN 'stationary' WHEN p_c >= 0.05 AND stat > 0.463 THEN 'unit_root' WHEN p_c < 0.05 THEN 'conflict' ELSE 'inconclusive' END AS cell,
+CASE WHEN p_c < 0.05 AND stat < 0.463 THEN 'I(0)' WHEN p_diff < 0.05 THEN 'I(1)' ELSE 'I(2)+' END AS integration FROM ur JOIN ka USING (name)""")
 def k4_integration(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = admitted(spark, sf_dir)
     return K.integration(K.adf(s), K.kpss(s))

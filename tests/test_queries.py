@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-NAMES = ["a10_csv_sink", "a13_active_features", "c13_training_frame", "d4_forward_frame", "e8_stratified_folds", "e13_gate_checks", "e13_gate_result", "e14_gate_metric_rows", "e18_calibration_deciles", "e19_scatter_sample", "f7_drift_severity", "g8_audit_verdicts", "h7_run_record", "i12_daily_brief", "j11_cluster_bootstrap", "j12_block_permutation", "j13_row_permutation", "j14_diebold_mariano", "k5_ljung_box", "k7_arch_lm", "m1_incremental_series"]
+NAMES = ["a10_csv_sink", "a13_active_features", "c13_training_frame", "d4_forward_frame", "e8_stratified_folds", "e13_gate_checks", "e13_gate_result", "e14_gate_metric_rows", "e18_calibration_deciles", "e19_scatter_sample", "f7_drift_severity", "g8_audit_verdicts", "h7_run_record", "i12_daily_brief", "j11_cluster_bootstrap", "j12_block_permutation", "j13_row_permutation", "j14_diebold_mariano", "k2_unit_root", "k3_kpss_automatic", "k4_integration", "k5_ljung_box", "k7_arch_lm", "m1_incremental_series"]
 
 
 def same(a, b):
