@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesforge.llm.components import connected_components, forest
-from seriesforge.llm.textkit import ODD, cut, hot_join, mix64, roll, word_hashes
+from seriesforge.llm.textkit import ODD, cut, hot_join, mix64, roll, without_join_blooms, word_hashes
 
 SEED = 42
 #: Reference fingerprints of the pivot table; a row of it fills three 64-bit integers.
@@ -322,6 +322,7 @@ def similar(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, similarity: fl
     return inside >= similarity * np.maximum(size[i] + size[j] - inside, 1) - 1e-9
 
 
+@without_join_blooms
 def similar_groups(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
@@ -451,5 +452,5 @@ def similar_groups(
         groups = connected_components(links.union(more))
 
     final = copies.join(groups, copies["id"] == groups["node"], "left").filter("component IS NOT NULL OR held > 1")
-    named = final.select("same", F.coalesce("component", "id").alias("component"), "held")
+    named = cut(final.select("same", F.coalesce("component", "id").alias("component"), "held"))
     return hot_join(signed.select("id", "same"), named, "same", "held", total).select("id", "component").groupBy("id").agg(F.min("component").alias("component"))

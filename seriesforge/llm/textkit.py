@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
 from uuid import uuid4
 
 import numpy as np
@@ -100,6 +102,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def without_join_blooms(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The operator on a frame, run without Spark's Bloom filters of joins; its result is a checkpoint, so nothing is left to run later.
+
+    Frames behind several joins have estimated sizes far above their own, so Spark makes such filters for small ones too:
+    every partition sends megabytes of bits, however few rows it has, and one task merges those of all partitions.
+    """
+    setting = "spark.sql.optimizer.runtime.bloomFilter.enabled"
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **named) -> DataFrame:
+        conf = docs.sparkSession.conf
+        before = conf.get(setting)
+        conf.set(setting, "false")
+        try:
+            return cut(operator(docs, *args, **named))
+        finally:
+            conf.set(setting, before)
+
+    return run
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a Parquet table of the shared folder: computed once, unlike a checkpoint of a map."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid4().hex}"
