@@ -79,6 +79,13 @@ def test_quantiles_equal_numpy(spark, rows, small):
     assert R.quantiles(df.limit(0), "v", ps).count() == 0
 
 
+@pytest.mark.parametrize("name", ["c", "v", "k", "lo", "held", "x", "at", "bin"])
+def test_quantiles_of_large_groups_in_a_column_of_any_name(spark, rows, name):
+    df = spark.createDataFrame([(g, v) for g, v, _ in rows], "g string, value double").withColumnRenamed("g", name)
+    got = {r[name]: r["q"][0] for r in R.quantiles(df, "value", [0.5], [name], small=100).collect()}
+    assert got == {g: pytest.approx(np.median([r[1] for r in rows if r[0] == g]), abs=1e-12) for g in ("a", "b", None)}
+
+
 def test_quantiles_of_far_apart_values(spark):
     rng = random.Random(2)
     v = [rng.choice([-1, 1]) * 10.0 ** rng.randrange(-300, 308) for _ in range(300)] + [0.0] * 50 + [1.7e308, -1.7e308]
