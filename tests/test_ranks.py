@@ -86,6 +86,15 @@ def test_quantiles_of_large_groups_in_a_column_of_any_name(spark, rows, name):
     assert got == {g: pytest.approx(np.median([r[1] for r in rows if r[0] == g]), abs=1e-12) for g in ("a", "b", None)}
 
 
+def test_medians_of_large_columns_fill_their_nulls(spark):
+    from seriesforge.operators.risk import impute_medians
+
+    df = spark.range(R.SMALL + 2).select("id", F.when(F.col("id") > 0, F.col("id").cast("double")).alias("a"), F.lit(None).cast("double").alias("b"))
+    got = impute_medians(df, ["a", "b"])
+    assert got.columns == df.columns and got.filter("id = 0").first()[1:] == (R.SMALL / 2 + 1, 0.0)
+    assert got.filter("id > 0 AND a <> id OR b <> 0").count() == 0 and got.count() == R.SMALL + 2
+
+
 def test_quantiles_of_far_apart_values(spark):
     rng = random.Random(2)
     v = [rng.choice([-1, 1]) * 10.0 ** rng.randrange(-300, 308) for _ in range(300)] + [0.0] * 50 + [1.7e308, -1.7e308]
