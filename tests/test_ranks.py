@@ -134,3 +134,60 @@ def test_hashes_equal_sparks(spark):
         two = [r[0] for r in df.select(F.xxhash64("a", "b", F.lit(seed))).collect()]
         one = [r[0] for r in df.select(F.xxhash64("a", F.lit(seed))).collect()]
         assert S.hashed(seed, a, b).tolist() == two and S.hashed(seed, a).tolist() == one
+
+
+@pytest.mark.parametrize("bits", [None, 54, 60, 63])
+def test_hashed_order_equals_a_stable_sort_by_hash(bits):
+    for n in (0, 1, 2, 1000, 70_000 if bits is None else 3000):
+        for k in (0, 7):
+            want = np.argsort(S.hashed(11, np.full(n, k), np.arange(n)), kind="stable")
+            assert S.hashed_order(k, n, 11, bits).tolist() == want.tolist()
+
+
+def test_sums_of_products_do_not_overflow():
+    r = 2 * np.arange(5_000_000, dtype=np.int32)
+    n = len(r)
+    assert S.product_sum(r, r) == 4 * ((n - 1) * n * (2 * n - 1) // 6) > 1 << 63
+    assert S.product_sum(r[:0], r[:0]) == 0
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    rng = random.Random(9)
+    rows = [(f"n{i % 23:02}", i // 23, (y := float(rng.randrange(40))), y + rng.gauss(0, 30) if i % 5 else 1.0, None if i % 11 == 0 else rng.random()) for i in range(600)]
+    return spark.createDataFrame([*rows, ("n00", 99, None, 1.0, 1.0)], "name string, t int, y double, yhat double, persistence double")
+
+
+def test_frames_above_the_broadcast_are_handed_to_tasks_in_chunks(spark, scored, monkeypatch):
+    """No row is joined with a replicate, and nothing is collected."""
+    boot = {r["metric"]: r[1:] for r in S.cluster_bootstrap(scored, 30).collect()}
+    perm = [S.permutation_p(scored, 30, blocks).first() for blocks in (True, False)]
+
+    def refused(*args):
+        raise AssertionError("rows x replicates, or all rows on the driver")
+
+    for path in ("_bootstrap_joined", "_permuted_joined", "_collected"):
+        monkeypatch.setattr(S, path, refused)
+    for bits in (2, 14):
+        monkeypatch.setattr(S, "CHUNK_BITS", bits, raising=False)
+        got = {r["metric"]: r[1:] for r in S.cluster_bootstrap(scored, 30, rows_bound=10).collect()}
+        assert set(got) == set(boot) and all(got[m] == pytest.approx(boot[m], abs=1e-12) for m in boot)
+        for blocks, want in zip((True, False), perm, strict=True):
+            told = S.permutation_p(scored, 30, blocks, rows_bound=10).first()
+            assert told["p"] == want["p"] and told["observed"] == pytest.approx(want["observed"], abs=1e-12)
+
+
+def test_frames_above_what_a_task_holds_are_joined_with_the_same_draws(spark, scored):
+    boot = [{r["metric"]: r[1:] for r in S.cluster_bootstrap(scored, 12, **bounds).collect()} for bounds in ({}, {"rows_bound": 10, "held_bound": 10})]
+    assert set(boot[0]) == set(boot[1]) and all(boot[0][m] == pytest.approx(boot[1][m], abs=1e-9) for m in boot[0])
+    for blocks in (True, False):
+        a, b = (S.permutation_p(scored, 12, blocks, **bounds).first() for bounds in ({}, {"rows_bound": 10, "held_bound": 10}))
+        assert a["p"] == b["p"] and a["observed"] == pytest.approx(b["observed"], abs=1e-9)
+
+
+def test_codes_follow_the_values():
+    v = np.array([2.0, np.nan, -1.0, 2.0, np.nan, 0.0, -0.0])
+    for x in (v, v[[0]], v[[1]], v[:0], v[[1, 4]], v[[0, 2, 3]]):
+        distinct, want = np.unique(x, return_inverse=True)
+        code, n, order = S._codes(x)
+        assert code.tolist() == want.tolist() and n == len(distinct) and (np.diff(code[order]) >= 0).all()
