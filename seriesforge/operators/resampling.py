@@ -203,6 +203,7 @@ def _bootstrap_of(n: int, seed: int) -> Callable[..., Callable[[int], tuple]]:
             unit, y, p, persistence = (v[i : i + step] for v in arrays)
             e, f = y - p, np.nan_to_num(y - persistence)
             sums += [np.bincount(unit, v, n) for v in (np.ones(len(y)), y, y * y, e * e, f * f)]
+            del unit, y, p, persistence  # views, which keep the arrays
         arrays.pop()
         cp, np_ = _codes(arrays.pop())[:2]
         cy, ny, by_y = _codes(arrays.pop())  # in this order only the forecast's ranks are looked up here and there
@@ -230,6 +231,7 @@ def _bootstrap_of(n: int, seed: int) -> Callable[..., Callable[[int], tuple]]:
             if np.count_nonzero(held) < 3:
                 return None, None, None
             m, ry, a, spread_y = weighted_ranks(held)
+            del held
             held = np.bincount(cp, w, np_)
             del w
             _, rp, q, spread_p = weighted_ranks(held)
