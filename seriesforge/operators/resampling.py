@@ -99,12 +99,13 @@ def product_sum(a: np.ndarray, b: np.ndarray) -> int:
 
 def _codes(values: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
     """(code from 0 in the order of the values, number of codes, the places in that order)."""
-    order = np.argsort(values)
+    order, n = np.argsort(values), len(values)
     held = values[order]
+    del values  # where the caller has given it up, it goes here
     new = held[1:] != held[:-1]
     new[len(new) + 1 - max(1, int(np.isnan(held).sum())) :] = False  # NaN, the last, equals NaN
     del held
-    code = np.zeros(len(values), np.int32)
+    code = np.zeros(n, np.int32)
     code[order[1:]] = np.cumsum(new, dtype=np.int32)
     return code, int(code.max(initial=-1)) + 1, order
 
